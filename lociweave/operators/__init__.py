@@ -1,0 +1 @@
+"""operators of the comparative-genomics analytics library."""

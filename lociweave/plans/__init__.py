@@ -1,0 +1 @@
+"""plans of the comparative-genomics analytics library."""

@@ -1,0 +1 @@
+"""sources of the comparative-genomics analytics library."""

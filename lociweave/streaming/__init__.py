@@ -1,0 +1 @@
+"""streaming of the comparative-genomics analytics library."""
