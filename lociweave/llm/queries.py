@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Query and the module that has it.
 MODULES = {
+    "op6_simhash": "simhash",
     "op7_toxicity": "toxicity",
     "op2_pii_spans": "pii",
     "op4_consistent_hash_sharding": "sharding",
