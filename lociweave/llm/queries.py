@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Query and the module that has it.
 MODULES = {
+    "op5_line_dedup": "line_dedup",
     "op3_embedding_join": "embedding_join",
     "op6_simhash": "simhash",
     "op7_toxicity": "toxicity",
