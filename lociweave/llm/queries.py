@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Query and the module that has it.
 MODULES = {
+    "op8_license_scan": "licenses",
     "op1_decontamination": "decontamination",
     "op5_line_dedup": "line_dedup",
     "op3_embedding_join": "embedding_join",
