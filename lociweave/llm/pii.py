@@ -122,12 +122,17 @@ def find_pii(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame) -> DataFrame:
     """The same rows and columns with each confirmed match in text replaced by [KIND], kind by kind; null texts stay."""
-    text = F.col("text")
+    cut = "_pii_pieces"
+
+    def rewrite(kind: str) -> Column:
+        def put(piece: Column, i: Column) -> Column:
+            return F.when((i % 2 == 1) & confirmed(kind, piece, F.get(F.col(cut), i - 1)), F.lit(f"[{kind.upper()}]")).otherwise(piece)
+
+        return F.when(F.size(cut) > 1, F.array_join(F.transform(F.col(cut), put), "")).otherwise(F.col("text"))
+
+    docs = docs.withColumn("text", F.translate("text", MARK, OTHER))
     for kind in ("email", "iban", "card", "phone", "ip", "ssn", "key", "secret"):
-        cut = "_pii_pieces"
-        put = lambda p, i, k=kind: F.when((i % 2 == 1) & confirmed(k, p, F.get(F.col(cut), i - 1)), F.lit(f"[{k.upper()}]")).otherwise(p)
-        docs = docs.withColumn(cut, pieces(kind, F.translate(text, MARK, OTHER) if kind == "email" else text))
-        docs = docs.withColumn("text", F.when(F.size(cut) > 1, F.array_join(F.transform(F.col(cut), put), "")).otherwise(text)).drop(cut)
+        docs = docs.withColumn(cut, pieces(kind, F.col("text"))).withColumn("text", rewrite(kind)).drop(cut)
     return docs
 
 

@@ -168,8 +168,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     return Model(float(bias), features, (w * ratios).astype(np.float32))
 
 
-def with_scores(docs: DataFrame, model: Model | None, columns: list[str]) -> DataFrame:
-    """The columns, with the score of each row's text."""
+def with_scores(docs: DataFrame, model: Model | None, columns: list[str], name: str = "score") -> DataFrame:
+    """The columns, with the score of each row's text under the name."""
     kept = docs.select(*columns, *([] if "text" in columns else ["text"]))
     names = kept.columns
     at = names.index("text")
@@ -183,9 +183,9 @@ def with_scores(docs: DataFrame, model: Model | None, columns: list[str]) -> Dat
             for run in text_groups([t or "" for t in b.column(at).to_pylist()], RUN_CHARS):
                 out.append(model._scores(run, by_feature) if model else np.zeros(len(run)))
             arrays = [c for n, c in zip(names, b.columns, strict=True) if n in columns]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(np.concatenate(out))], [*columns, "score"])
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(np.concatenate(out))], [*columns, name])
 
-    return kept.mapInArrow(judge, kept.select(*columns).schema.add("score", "double"))
+    return kept.mapInArrow(judge, kept.select(*columns).schema.add(name, "double"))
 
 
 def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -196,7 +196,8 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> D
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows, all columns, whose score is below the threshold."""
-    return with_scores(docs, train(docs, labels), docs.columns).where(F.col("score") < threshold).drop("score")
+    name = "_".join(["score", *docs.columns])  # free whatever the columns are
+    return with_scores(docs, train(docs, labels), docs.columns, name).where(F.col(name) < threshold).drop(name)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
