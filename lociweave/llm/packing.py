@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,34 +30,57 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import stored, table
-from .token_counts import CACHED_CHARS, byte_batches, load_tokenizer, text_groups
+from .token_counts import CACHED_CHARS, load_tokenizer, text_groups
 
 GROUP_PIECES = 8192
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
+LAST_LETTER = "\u024f"
 
 
-class WordEncoder:
-    """Ids, as little-endian 32-bit bytes, of texts; equal words are encoded once."""
+def byte_level() -> dict[int, str]:
+    """How the byte-level pre-tokeniser writes the letters from U+0080 to LAST_LETTER: each byte as a visible character."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    char = {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+    return {c: "".join(char[b] for b in chr(c).encode()) for c in range(0x80, ord(LAST_LETTER) + 1)}
+
+
+class WordEncoder(dict):
+    """Word to ids, as little-endian 32-bit bytes; a word is encoded when it is first asked for.
+
+    A word of letters up to LAST_LETTER, a full stop or comma after it or not, needs
+    neither normalising, other than lower case, nor cutting: it goes to the
+    tokeniser's model straight away. Any other goes through the whole tokeniser.
+    """
 
     def __init__(self, file: str) -> None:
         self.tokenizer = load_tokenizer(file)
-        self.cache: dict[str, bytes] = {}
+        self.model, self.letters = self.tokenizer.model, byte_level()
+        self.ends = {c: self.whole(c) for c in ".,"} | {"": b""}
+
+    def whole(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        core = word[:-1] if word[-1:] in (".", ",") else word
+        if core.isalpha() and max(core) <= LAST_LETTER and "\u0130" not in core:
+            ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(core.lower().translate(self.letters))]) + self.ends[word[len(core) :]]
+        else:
+            ids = self.whole(word)
+        if len(word) <= CACHED_CHARS:
+            self[word] = ids
+        return ids
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        missing: set[str] = set()
-        for words in cut:
-            missing.update(words)
-        missing.difference_update(self.cache)
-        got, kept = {}, self.cache
-        for batch in byte_batches(list(missing)):
-            for word, e in zip(batch, self.tokenizer.encode_batch_fast(batch, add_special_tokens=False), strict=True):
-                (kept if len(word) <= CACHED_CHARS else got)[word] = np.array(e.ids, "<u4").tobytes()
-        if not got:
-            return [b"".join(map(kept.__getitem__, words)) for words in cut]
-        return [b"".join([kept[w] if w in kept else got[w] for w in words]) for words in cut]
+        if len(self) > CACHE_WORDS:
+            self.clear()
+        return [b"".join(map(self.__getitem__, t.replace("\n", " ").split(" "))) for t in texts]
+
+
+@lru_cache(1)
+def worker_encoder(file: str) -> WordEncoder:
+    """One encoder for all tasks of a worker, so that later tasks find words encoded."""
+    return WordEncoder(file)
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, length: int, end_id: int = 0) -> DataFrame:
@@ -66,7 +90,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, length: int, end_id: int = 0)
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
         for b in batches:
-            encoder = encoder or WordEncoder(tokenizer)
+            encoder = encoder or worker_encoder(tokenizer)
             row: list[int] = []
             out: list[tuple[int, int, int, int]] = []
             at = 0
