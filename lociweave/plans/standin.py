@@ -50,7 +50,7 @@ def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-FEATURES = """features AS (SELECT event_id AS feat, user_id AS contig, event_type AS cluster, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos,
+FEATURES = """features AS (SELECT event_id AS feat, user_id AS contig, event_type || '_' || CAST(event_id % 40 AS VARCHAR) AS cluster, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos,
  CASE WHEN event_id % 2 = 0 THEN 1 ELSE -1 END AS orient, user_id % 10 AS genome FROM events)"""
 
 
@@ -61,7 +61,7 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("feat"),
         F.col("user_id").alias("contig"),
-        F.col("event_type").alias("cluster"),
+        F.concat("event_type", F.lit("_"), (F.col("event_id") % 40).cast("string")).alias("cluster"),
         "ts",
         F.when(F.col("event_id") % 2 == 0, 1).otherwise(-1).alias("orient"),
         (F.col("user_id") % 10).alias("genome"),
@@ -69,14 +69,13 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positions(e, ["contig"], ["ts", "feat"])
 
 
-INTERVALS = """intervals AS (SELECT o_custkey AS contig, least(date_diff('day', DATE '1990-01-01', CAST(o_orderdate AS DATE)), date_diff('day', DATE '1990-01-01', CAST(l_shipdate AS DATE))) AS start,
- greatest(date_diff('day', DATE '1990-01-01', CAST(o_orderdate AS DATE)), date_diff('day', DATE '1990-01-01', CAST(l_shipdate AS DATE))) AS stop,
- l_returnflag AS kind, l_orderkey * 10 + l_linenumber AS name, l_partkey AS part FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+INTERVALS = """days AS (SELECT o_custkey AS contig, date_diff('day', DATE '1990-01-01', CAST(o_orderdate AS DATE)) AS d1, date_diff('day', DATE '1990-01-01', CAST(l_shipdate AS DATE)) AS d2, l_returnflag AS kind, l_partkey AS part
+ FROM lineitem JOIN orders ON l_orderkey = o_orderkey), intervals AS (SELECT contig, least(d1, d2) AS start, greatest(d1, d2) AS stop, kind, contig * 100000000 + least(d1, d2) * 10000 + greatest(d1, d2) AS name, part FROM days)"""
 
 
 def intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """contig = customer; the days between order and shipping are the interval."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag", "l_partkey")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate", "l_returnflag", "l_partkey")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     day = lambda c: F.datediff(F.col(c), F.lit("1990-01-01").cast("date"))
     j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -85,9 +84,8 @@ def intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.least(day("o_orderdate"), day("l_shipdate")).alias("start"),
         F.greatest(day("o_orderdate"), day("l_shipdate")).alias("stop"),
         F.col("l_returnflag").alias("kind"),
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("name"),
         F.col("l_partkey").alias("part"),
-    )
+    ).withColumn("name", F.col("contig") * 100000000 + F.col("start") * 10000 + F.col("stop"))
 
 
 SEQUENCES = """sequences AS (SELECT doc_id AS id, lang AS genome, upper(regexp_replace(text, '[^acgtACGT]', '', 'g')) AS seq FROM documents)"""
