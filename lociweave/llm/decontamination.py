@@ -150,6 +150,24 @@ def align(item: np.ndarray, text: np.ndarray, low: int, width: int, most: int) -
     return int(cost[k]), max(0, int(start[k])), min(len(text), low + k + len(item))
 
 
+def within(item: np.ndarray, text: np.ndarray, low: int, width: int, most: int) -> bool:
+    """Whether align finds something; places outside the text equal no character, and to cross them costs an edit each as leaving out characters of the item does."""
+    padded = np.zeros(width + len(item), text.dtype)
+    a, b = max(0, low), min(len(text), low + len(padded))
+    padded[a - low : b - low] = text[a:b]
+    d = np.arange(width)
+    cost = np.zeros(width, np.int64)
+    for i, c in enumerate(item.tolist()):
+        new = cost + (padded[i : i + width] != c)
+        np.minimum(new[:-1], cost[1:] + 1, out=new[:-1])
+        new -= d
+        cost = np.minimum.accumulate(new)
+        cost += d
+        if i % 4 == 3 and int(cost.min()) > most:
+            return False
+    return int(cost.min()) <= most
+
+
 def leaks_in(items: Items, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
     """(text, item, start, end, edits) of the best occurrence of each item in each text, in the texts' own places."""
     codes, places = zip(*(normal(t) for t in texts), strict=True)
@@ -163,7 +181,10 @@ def leaks_in(items: Items, texts: list[str]) -> list[tuple[int, int, int, int, i
         at = near.find(items.plain[k])
         while at % 4 and at >= 0:
             at = near.find(items.plain[k], at + 1)
-        found = (0, a + at // 4, a + at // 4 + len(item)) if at >= 0 else align(item, codes[t], low, width, e)
+        if at >= 0:
+            found = (0, a + at // 4, a + at // 4 + len(item))
+        else:
+            found = align(item, codes[t], low, width, e) if within(item, codes[t], low, width, e) else None
         if found and found < best.get((t, k), (e + 1,)):
             best[t, k] = found
     return [(t, k, int(places[t][s]), int(places[t][x - 1]) + 1, e) for (t, k), (e, s, x) in sorted(best.items()) if x > s]
