@@ -147,3 +147,33 @@ def s06(spark, sf_dir):
 @query("f11_duplicate_coordinates", f"WITH {INTERVALS} SELECT contig, start, stop, count(*) AS n, min(part) AS first_part FROM intervals GROUP BY 1, 2, 3 HAVING count(*) > 1")
 def f11(spark, sf_dir):
     return intervals(spark, sf_dir).groupBy("contig", "start", "stop").agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("first_part")).where("n > 1")
+
+
+@query(
+    "g07_island_paths",
+    f"""WITH {FEATURES}, f AS (SELECT *, count(CASE WHEN cluster LIKE '%_7' OR cluster LIKE '%5' THEN 1 END) OVER (PARTITION BY contig ORDER BY pos) AS k FROM features), r AS (SELECT contig, genome, k, list(cluster ORDER BY pos) AS m FROM f WHERE k > 0 GROUP BY 1, 2, 3),
+p AS (SELECT genome, m[1] AS "left", lead(m[1]) OVER (PARTITION BY contig ORDER BY k) AS "right", array_to_string(m[2:], ',') AS path FROM r) SELECT "left", "right", path, count(DISTINCT genome) AS genomes, count(*) AS n FROM p WHERE "right" IS NOT NULL GROUP BY 1, 2, 3""",
+)
+def g07(spark, sf_dir):
+    from ..operators import regions as Z
+
+    f = features(spark, sf_dir)
+    core = f.where(F.col("cluster").like("%_7") | F.col("cluster").like("%5")).select("cluster").distinct()
+    return Z.island_paths(f, core, ["pos"])
+
+
+@query(
+    "j08_region_suppression",
+    f"""WITH {INTERVALS}, d AS (SELECT contig, start, stop, name, max(part) AS bits FROM intervals GROUP BY ALL), h AS (SELECT *, bits % 40 AS cluster, bits % 100 AS pid, bits % 40 + 1 AS size, bits % 3 = 0 AS best FROM d),
+p AS (SELECT l.name, l.cluster = r.cluster AS twin, l.bits AS lb, r.bits AS rb, l.name > r.name AS later, l.size AS ls, r.size AS rs, l.pid AS lp, r.pid AS rp, (least(l.stop, r.stop) - greatest(l.start, r.start) + 1) / least(l.stop - l.start + 1, r.stop - r.start + 1) AS share
+ FROM h l JOIN h r ON l.contig = r.contig AND l.name <> r.name AND l.start <= r.stop AND r.start <= l.stop),
+x AS (SELECT name, twin AND share > 0.3::DOUBLE AND (lb < rb OR lb = rb AND later) AS t, NOT twin AND share > 0.45::DOUBLE AND lb <= 0.98::DOUBLE * rb AS v, ls = 1 OR ls * 10 <= rs OR lp + 5 <= rp AS w FROM p), lost AS (SELECT name, max(CASE WHEN t OR v AND w THEN 1 ELSE 0 END) = 1 AS weak FROM x WHERE t OR v GROUP BY 1)
+SELECT h.contig, h.start, h.stop, h.name, bits, cluster, pid, size, best FROM h LEFT JOIN lost USING (name) WHERE weak IS NULL OR best AND NOT weak""",
+)
+def j08(spark, sf_dir):
+    from ..operators import regions as Z
+
+    d = intervals(spark, sf_dir).groupBy("contig", "start", "stop", "name").agg(F.max("part").alias("bits"))
+    b = F.col("bits")
+    h = d.withColumns({"cluster": b % 40, "pid": b % 100, "size": b % 40 + 1, "best": b % 3 == 0})
+    return Z.suppress_competitors(h, 200)

@@ -119,3 +119,44 @@ def test_invariants(spark, sf_dir):
     assert r.where("pan <> core + dispensable + `unique`").count() == 0
     for name in sorted(set(q) - set(registry.oracle_sql())):
         assert q[name](spark, sf_dir).limit(5).count() >= 0
+
+
+def test_alignment_against_full_table():
+    from lociweave.operators.synteny import align_ends_free
+
+    def plain(q, s, low=-1e9):
+        h = [[low] * (len(s) + 1) for _ in range(len(q) + 1)]
+        e, f = [r[:] for r in h], [r[:] for r in h]
+        h[0] = [0.0] * (len(s) + 1)
+        for i in range(1, len(q) + 1):
+            for j in range(len(s) + 1):
+                f[i][j] = max(h[i - 1][j] - 5, f[i - 1][j] - 1)
+                e[i][j] = max(h[i][j - 1] - 5, e[i][j - 1] - 1) if j else low
+                d = h[i - 1][j - 1] + (3 if q[i - 1] == s[j - 1] else -3) if j else low
+                h[i][j] = max(d, e[i][j], f[i][j])
+        return max(h[-1])
+
+    rng = random.Random(6)
+    for _ in range(60):
+        s = "".join(rng.choice("ACGT") for _ in range(rng.randint(1, 40)))
+        q = list(s[rng.randint(0, 10) : rng.randint(10, 40)]) or ["A"]
+        for _ in range(rng.randint(0, 6)):
+            k = rng.randrange(len(q))
+            q[k : k + 1] = rng.choice([[], ["A"], ["C", "G"], ["T", "T", "T"]])
+            q = q or ["A"]
+        q = "".join(q)
+        score, beg, end, matches = align_ends_free(q, s)
+        assert score == plain(q, s)
+        assert 1 <= beg <= end + 1 <= len(s) + 1 and 0 <= matches <= min(len(q), len(s))
+    assert align_ends_free("GATT", "AAGATTCC") == (12.0, 3, 6, 4)
+
+
+def test_plateaus_and_overlap_table(spark):
+    from lociweave.operators import synteny as Y
+
+    values = [(1, k, v) for k, v in enumerate([10.0, 10.5, 9.8, 20.0, 21.0, 5.0])]
+    got = Y.smoothed_plateaus(spark.createDataFrame(values, "contig long, pos long, value double")).orderBy("pos").collect()
+    assert [r.level for r in got] == [10.5, 10.5, 10.5, 21.0, 21.0, 5.0]
+    rows = [(1, 0, 9, 1, "A"), (1, 1, 10, 2, "A"), (1, 0, 10, 3, "B"), (1, 2, 9, 4, "C"), (1, 100, 110, 5, "C")]
+    t = Y.overlap_table(spark.createDataFrame(rows, "contig long, start long, stop long, name long, species string"), ["A", "B", "C"], 7).collect()
+    assert {r.name: (r.B, r.C) for r in t} == {1: (3, 4), 2: (None, None)}
