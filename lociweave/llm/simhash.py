@@ -39,7 +39,7 @@ from .common import components, drop_stored, stored, table
 PARTS = 4
 BLOCK = 1024
 HOT = 16_384
-WIDE_WORDS = 8  # 512 bits
+WIDE_WORDS = 16  # 1024 bits
 BANDS, BAND_ROWS = 10, 3
 _MIX = np.array([xxhash.xxh64_intdigest(f"mix {k}") | 1 for k in range(64)], np.uint64)
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -75,7 +75,7 @@ def widened(hashes: np.ndarray, words: int) -> np.ndarray:
     """(n, words) well-mixed words of each hash."""
     x = hashes[:, None] * _MIX[None, :words]
     x ^= x >> np.uint64(29)
-    x *= _MIX[None, 8 : 8 + words]
+    x *= _MIX[None, 16 : 16 + words]
     return x ^ (x >> np.uint64(32))
 
 
@@ -83,7 +83,7 @@ def band_keys(hashes: np.ndarray) -> list[int]:
     """A key for each band of minimum hashes of distinct hashes."""
     if not len(hashes):
         return [0]
-    low = np.array([(x ^ (x >> np.uint64(31))).min() for x in (hashes * m for m in _MIX[20 : 20 + BANDS * BAND_ROWS])], np.uint64)
+    low = np.array([(x ^ (x >> np.uint64(31))).min() for x in (hashes * m for m in _MIX[32 : 32 + BANDS * BAND_ROWS])], np.uint64)
     return [xxhash.xxh64_intdigest(low[b * BAND_ROWS : (b + 1) * BAND_ROWS].tobytes(), b) - (1 << 63) for b in range(BANDS)]
 
 
@@ -273,8 +273,9 @@ def simhash_components(docs: DataFrame, words: int = 3, radius: int = 2) -> Data
 
 
 def wide_radius(similarity: float, bits: int = 64 * WIDE_WORDS) -> int:
-    """Differing bits to expect of two shingle sets of equal size at that Jaccard similarity."""
-    return round(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+    """Differing bits to expect of two shingle sets of equal size at that Jaccard similarity, and one standard error more."""
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return round(bits * p + math.sqrt(bits * p * (1 - p)))
 
 
 def keep_first(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
