@@ -31,7 +31,9 @@ _BOUNDARY = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 def safe_pieces(text: str) -> list[str]:
     """Pieces whose encodings, joined, are that of the text under a byte-level pre-tokeniser."""
-    if "\0" not in text and len(text.split()) == text.count(" ") + text.count("\n") + 1:
+    words = text.split()
+    gaps = len(words) - 1
+    if gaps == text.count(" ") + text.count("\n") and sum(map(len, words)) + gaps == len(text) and "\0" not in text:
         return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")  # single blanks only: each begins a piece
     return _BOUNDARY.split(text)
 

@@ -6,7 +6,7 @@ from lociweave.llm import token_counts as C
 from tests.llm.test_packing import TRICKY
 
 DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("n_bytes", T.StringType())])
-MORE = ["  two  blanks ", "a \n b\n\nc   d  e   f", "x   y \n", " 'll 're", "don't 's", "\n", " ", "a\t b\t\tc", "1 2  3  4"]
+MORE = ["  two  blanks ", "a \n b\n\nc   d  e   f", "x   y \n", " 'll 're", "don't 's", "\n", " ", "a\t b\t\tc", "a\tb\tc   d", "a\u00a0b\u00a0c   d", " a\tb", "a\tb ", "1 2  3  4"]
 
 
 def whole(text):
