@@ -1,6 +1,6 @@
 """Operator 4: consistent-hash sharding with virtual nodes and bounded loads (native).
 
-The ring has CELLS cells; a row's key (doc_id) hashes to a cell, and every shard
+The ring has CELLS cells; a row's key (doc_id and checksum) hashes to a cell, and every shard
 owns virtual nodes on the ring. A row belongs to the shard of the first virtual
 node at or after its cell. A shard holds at most its bound, here an equal share of all rows; rows
 that find it full continue clockwise to the next shard with room. So counts differ
@@ -8,13 +8,14 @@ by one at most (law `rows`), and only the overflow leaves its home shard.
 
 Spark counts the rows of each cell (at most CELLS counts reach the driver, however
 large the table). From these the bound is worked out: each cell's rows, in the order of their hash,
-fall into runs that go to one shard each, with their first slot there. A window per cell
-ranks the rows, and a broadcast join with the runs (at most CELLS + shards x vnodes
-rows) places them. Shards are never gathered in one task.
-
-Input cases: null text: size 8, checksum 0; null doc_ids share one cell; rows with
-equal doc_id share a cell and fill it in a fixed order (rows that are equal in all of doc_id,
-size and checksum are interchangeable); empty table: empty result; other columns are ignored.
+fall into runs that go to one shard each, with their first slot there. Rows that are equal in doc_id, size
+and checksum are counted first, in a table that is read again for the ranks; a window per cell gives each of these groups its range of ranks, and a
+broadcast join with the runs (at most CELLS + shards x vnodes rows) cuts the ranges by
+shard and gives the rows back, REPEATS at a time. So neither shards nor equal rows are gathered in one task.
+
+Input cases: null text: size 8, checksum 0; the key has the text's checksum besides doc_id, so that rows of one
+doc_id, or of none, spread over the ring; rows equal in all of doc_id, size and checksum take
+neighbouring ranks and are interchangeable; empty table: empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,11 +26,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import stored, table
 
 CELL_BITS = 12
 CELLS = 1 << CELL_BITS
 VNODES = 32
+REPEATS = 65_536
 
 
 def ring(shards: int, vnodes: int = VNODES) -> list[tuple[int, int]]:
@@ -64,21 +66,21 @@ def allocate(counts: dict[int, int], shards: int, vnodes: int = VNODES) -> list[
 def shard(docs: DataFrame, shards: int = 24, vnodes: int = VNODES) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard, home_shard for each row."""
     spark = docs.sparkSession
-    key = F.xxhash64("doc_id")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).cast("long").alias("text_crc32"))
+    key = F.xxhash64("doc_id", "text_crc32")
     cell = F.shiftrightunsigned(key, 64 - CELL_BITS).cast("int")
-    counts = {r["cell"]: r["n"] for r in docs.select(cell.alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    equal = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("n"))
+    equal = stored(equal.withColumns({"cell": cell, "key": key}))
+    counts = {r["cell"]: r["n"] for r in equal.groupBy("cell").agg(F.sum("n").alias("n")).collect()}
     kind = "array<struct<cell:int,first:long,last:long,shard:int,slot0:long,home_shard:int>>"
     runs = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(allocate(counts, shards, vnodes))), kind)))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(
-        "doc_id",
-        (F.octet_length(text) + 8).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
-        cell.alias("cell"),
-        key.alias("key"),
-    )
-    rank = F.row_number().over(Window.partitionBy("cell").orderBy("key", "doc_id", "text_crc32", "size")) - 1
-    placed = rows.withColumn("rank", rank).join(F.broadcast(runs), "cell").where("rank between first and last")
+    up_to = Window.partitionBy("cell").orderBy("key", "doc_id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = equal.withColumn("end", F.sum("n").over(up_to)).withColumn("begin", F.col("end") - F.col("n"))
+    parts = ranked.join(F.broadcast(runs), "cell").where("begin <= last and first < end")
+    parts = parts.withColumns({"low": F.greatest("begin", "first"), "high": F.least(F.col("end") - 1, "last")})
+    parts = parts.withColumn("at", F.explode(F.sequence("low", "high", F.lit(REPEATS).cast("long"))))
+    placed = parts.withColumn("rank", F.explode(F.sequence("at", F.least(F.col("at") + (REPEATS - 1), "high"))))
     return placed.select(
         "doc_id",
         "size",

@@ -38,3 +38,9 @@ def test_cases(spark):
     docs = [(1, None), (2, ""), (3, "é"), (None, "x"), (None, "x")] + [(9, "same")] * 100
     check(S.shard(spark.createDataFrame([(*d, "s", "c") for d in docs], DOCS)).collect(), docs)
     assert S.shard(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_equal_rows_are_given_back_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(S, "REPEATS", 7)
+    docs = [(None, None)] * 400 + [(5, "same")] * 400 + [(5, str(k)) for k in range(400)]
+    check(S.shard(spark.createDataFrame([(*d, "s", "c") for d in docs], DOCS)).collect(), docs)
