@@ -7,7 +7,7 @@
    checksum leaves the task.
 2. The pieces, a few numbers each, are written to the shared folder and counted.
 3. Full pieces are sequences of their own. The others go, by a hash of their
-   place, to groups of about GROUP_PIECES pieces, whose number follows the input.
+   place in that table (so that equal rows part as well), to groups of about GROUP_PIECES pieces, whose number follows the input.
    Each group is packed alone: a bin takes the longest piece left, then again and again the longest
    that fits; where a gap remains, its smallest piece gives way to the two unpacked
    pieces that fit the widened gap most tightly. A group wastes less than one
@@ -168,7 +168,7 @@ def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", length: int = 20
     groups = max(1, -(-n_short // GROUP_PIECES))
     full = pieces.where(F.col("length") >= length)
     short = pieces.where(F.col("length") < length)
-    short = short.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", "length", "ids_crc32"), F.lit(groups)))
+    short = short.withColumn("grp", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
 
     def fill(group: pa.Table) -> pa.Table:
         group = group.sort_by([("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending")])

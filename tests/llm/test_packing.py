@@ -61,3 +61,10 @@ def test_best_two_fit():
         assert all(sum(lengths[i] for i in b) <= 100 for b in bins)
     # 60 + 30 leaves 10; 30 gives way to 25 + 15
     assert sorted(map(sorted, P.best_two_fit([60, 30, 25, 15], 100))) == [[0, 2, 3], [1]]
+
+
+def test_equal_rows_go_to_several_groups(spark, monkeypatch):
+    monkeypatch.setattr(P, "GROUP_PIECES", 16)
+    rows = P.pack(spark.createDataFrame([(None, None, "x")] * 400, DOCS), length=16).collect()
+    check(rows, [(None, None)] * 400, 16)
+    assert len({r.sequence_id // 2 % 25 for r in rows}) > 10
