@@ -132,10 +132,42 @@ def locus_prefix(locus: Column) -> Column:
     return F.regexp_extract(locus, "^(.*?)_?[0-9]+$", 1)
 
 
-def homology_score(pid: Column, share: Column) -> Column:
-    """Piecewise score of identity (percent) and length share."""
-    base = F.when(pid >= 98, 3.0).when(pid >= 90, 2.0).when(pid >= 80, 1.0).otherwise(0.0)
-    return base + F.when(share >= 0.95, 1.0).when(share >= 0.8, 0.5).otherwise(0.0)
+#: Least share of the length, its score; least identity, its score.
+LENGTH_BANDS = ((0.98, 2.0), (0.95, 1.0), (0.9, 0.5), (0.8, 0.25), (0.7, 0.1), (0.5, 0.05))
+IDENTITY_BANDS = ((0.98, 1.0), (0.95, 0.75), (0.9, 0.5), (0.8, 0.25), (0.7, 0.1), (0.5, 0.05))
+
+
+def banded(value: Column, bands: tuple[tuple[float, float], ...]) -> Column:
+    """The score of the first band whose least value is reached, else 0."""
+    return F.coalesce(*(F.when(value >= least, F.lit(score)) for least, score in bands), F.lit(0.0))
+
+
+def homology_score(pid: Column, share: Column, prevalence: Column, hits: Column, single_copy: Column) -> Column:
+    """Score of a hit: bands of length share and identity (percent, compared as a fraction), prevalence of the cluster (0 to 1), one over its hits, 1 if single-copy core."""
+    return single_copy.cast("double") + prevalence + 1 / hits + banded(pid / 100, IDENTITY_BANDS) + banded(share, LENGTH_BANDS)
+
+
+def buffered_length(n: Column) -> Column:
+    """How much sequence to take for an alignment of n characters."""
+    longer = F.when(n < 50, 2 * n + 1).when(n < 100, 1.5 * n + 26).when(n < 1000, 1.2 * n + 56).otherwise(1.1 * n + 156)
+    return F.floor(longer).cast("long")
+
+
+def introduced_stops(seq: Column, open_before: Column) -> Column:
+    """(frame, offset) of the first stop codon in each frame that open_before, six booleans, has as open; the codon that ends the sequence does not count.
+
+    Frames are 1 to 3 forward and -1 to -3 on the reverse complement.
+    """
+    both = ((F.upper(seq), 1), (reverse_complement_iupac(F.upper(seq)), -1))
+    found = []
+    for side, (text, sign) in enumerate(both):
+        for f in range(3):
+            places = (F.nullif(F.array_position(codons(text, f), stop), F.lit(0)) for stop in STOPS)
+            hit = F.array_min(F.array(*places))
+            at = (hit - 1) * 3 + f
+            good = F.get(open_before, F.lit(3 * side + f)) & (at <= F.length(seq) - 4)
+            found.append(F.when(good, F.struct(F.lit(sign * (f + 1)).alias("frame"), at.cast("int").alias("offset"))))
+    return F.array_compact(F.array(*found))
 
 
 def coordinates(text: Column) -> Column:

@@ -7,6 +7,7 @@ folder (checkpoint) so that lineage stays short and survives lost executors.
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -168,3 +169,15 @@ def linkage_medoids(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     s = both.join(g, "a").join(h, "b").where("component = c2").groupBy("component", "a").agg(F.round(F.sum("distance"), 9).alias("d"), F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("component").orderBy(F.col("n").desc(), "d", "a")
     return s.withColumn("r", F.row_number().over(w)).where("r = 1").select("component", F.col("a").alias("medoid"))
+
+
+def until_stable(start: DataFrame, step: Callable[[DataFrame], DataFrame], max_rounds: int = 100) -> DataFrame:
+    """Apply the step until its rows are those of the round before, or max_rounds is reached; each round is checkpointed."""
+    now = settle(start)
+    for _ in range(max_rounds):
+        new = settle(step(now))
+        same = now.exceptAll(new).union(new.exceptAll(now)).limit(1).count() == 0
+        now = new
+        if same:
+            break
+    return now

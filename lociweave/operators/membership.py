@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .order import numbered
+
 
 def sizes(members: DataFrame) -> DataFrame:
     """cluster, n_genomes."""
@@ -187,8 +189,5 @@ def numbering(members: DataFrame, order: list[str]) -> DataFrame:
     The first members are found by aggregation; numbers come from counts of ranges, not from one sort of all rows in a task.
     """
     first = members.groupBy("cluster").agg(F.min(F.struct(*order)).alias("first"))
-    ranged = first.repartitionByRange("first", "cluster").sortWithinPartitions("first", "cluster").withColumn("part", F.spark_partition_id())
-    per = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # one row for each partition
-    before = per.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
-    own = F.row_number().over(Window.partitionBy("part").orderBy("first", "cluster"))
-    return ranged.withColumn("own", own).join(F.broadcast(before), "part").select("cluster", (F.col("own") + F.col("before")).cast("long").alias("number"))
+    named = numbered(first, "first", "cluster")
+    return named.select("cluster", F.col("k").alias("number"))

@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .graph import settle
+
 
 def positions(features: DataFrame, contig: list[str], order: list[str], name: str = "pos") -> DataFrame:
     """The place of each feature on its contig, from 1."""
@@ -29,6 +31,27 @@ def qualifying(features: DataFrame, cluster_sizes: DataFrame, at_least: int) ->
     return features.join(cluster_sizes.where(F.col("n_genomes") >= at_least).select("cluster"), "cluster", "left_semi")
 
 
+def numbered(rows: DataFrame, *key: str) -> DataFrame:
+    """The rows with k, from 1 in the order of the key, which should be unique.
+
+    Ranges are cut once and checkpointed; numbers come from their counts (one row a range), not from one sort of all rows in a task.
+    """
+    ranged = settle(rows.repartitionByRange(*key).withColumn("_part", F.spark_partition_id()))
+    per = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
+    before = per.select("_part", (F.sum("n").over(Window.orderBy("_part")) - F.col("n")).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("_part").orderBy(*key))
+    return ranged.withColumn("_own", own).join(F.broadcast(before), "_part").withColumn("k", (F.col("_own") + F.col("_before")).cast("long")).drop("_part", "_own", "_before")
+
+
+def circular_neighbours(features: DataFrame, circular: Column, order: list[str], value: str = "cluster") -> DataFrame:
+    """The features with `previous` and `next`; on circular contigs the first follows the last. Filter to qualifying features first."""
+    w = Window.partitionBy("contig").orderBy(*order)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    wraps = circular & (F.count(F.lit(1)).over(whole) > 1)
+    around = lambda near, end: F.coalesce(near(value).over(w), F.when(wraps, end(value).over(whole)))
+    return features.withColumns({"previous": around(F.lag, F.last), "next": around(F.lead, F.first)})
+
+
 def _end(orient: Column, forward: int, backward: int) -> Column:
     return F.when(orient == 1, forward).otherwise(backward)
 

@@ -5,6 +5,8 @@ import random
 
 import pytest
 
+from lociweave.functions import sequence as S
+from lociweave.operators import fragments as P
 from lociweave.operators import graph as G
 from lociweave.operators import intervals as V
 from lociweave.operators import order as O
@@ -160,3 +162,56 @@ def test_plateaus_and_overlap_table(spark):
     rows = [(1, 0, 9, 1, "A"), (1, 1, 10, 2, "A"), (1, 0, 10, 3, "B"), (1, 2, 9, 4, "C"), (1, 100, 110, 5, "C")]
     t = Y.overlap_table(spark.createDataFrame(rows, "contig long, start long, stop long, name long, species string"), ["A", "B", "C"], 7).collect()
     assert {r.name: (r.B, r.C) for r in t} == {1: (3, 4), 2: (None, None)}
+
+
+def test_fragment_groups(spark):
+    # 1 2 3 follow each other as pieces of query 9; 4 is too far off; 5 and 6 overlap too much; 7 and 8 have more whole matches than links
+    places = [(n, 0, p, size) for n, p, size in ((1, 1, 5), (2, 2, 9), (3, 4, 9), (4, 9, 3), (5, 20, 4), (6, 21, 4), (7, 30, 4), (8, 31, 4))]
+    hits = [(9, 1, 1, 10), (9, 2, 11, 20), (9, 3, 21, 30), (9, 4, 31, 40), (10, 5, 1, 10), (10, 6, 3, 11), (11, 7, 1, 10), (11, 8, 11, 20)]
+    got = P.fragment_groups(
+        spark.createDataFrame(hits, "qid long, sid long, start int, stop int"),
+        spark.createDataFrame(places, "feat long, contig int, pos int, length int"),
+        spark.createDataFrame([(1, 2), (7, 3)], "feat long, n int"),
+    )
+    assert {(r.feat, r.group, r.kept) for r in got.collect()} == {(1, 1, False), (2, 1, True), (3, 1, False)}
+
+
+def test_until_stable_peels_to_the_core(spark):
+    edges = [(1, 2), (2, 3), (3, 1), (3, 4), (4, 5), (6, 7)]
+
+    def step(e):
+        from pyspark.sql import functions as F
+
+        ends = e.select(F.explode(F.array("a", "b")).alias("n")).groupBy("n").count().where("count > 1").select("n")
+        return e.join(ends.withColumnRenamed("n", "a"), "a", "left_semi").join(ends.withColumnRenamed("n", "b"), "b", "left_semi").select("a", "b")
+
+    assert {tuple(r) for r in G.until_stable(spark.createDataFrame(edges, "a long, b long"), step).collect()} == {(1, 2), (2, 3), (3, 1)}
+
+
+def test_introduced_stops(spark):
+    from pyspark.sql import functions as F
+
+    def plain(seq):
+        back = seq[::-1].translate(str.maketrans("ACGT", "TGCA"))
+        out = []
+        for text, sign in ((seq, 1), (back, -1)):
+            for f in range(3):
+                if f == 1:
+                    continue  # not open before
+                at = next((i for i in range(f, len(seq) - 3, 3) if text[i : i + 3] in ("TAA", "TAG", "TGA")), None)
+                if at is not None:
+                    out.append((sign * (f + 1), at))
+        return out
+
+    rng = random.Random(4)
+    seqs = ["".join(rng.choice("ACGT") for _ in range(rng.randrange(0, 60))) for _ in range(60)] + ["ATGTAA", "TAAA", "TAA", ""]
+    opens = F.array(*(F.lit(f % 3 != 1) for f in range(6)))
+    df = spark.createDataFrame(list(enumerate(seqs)), "id int, seq string").select("id", S.introduced_stops(F.col("seq"), opens).alias("s"))
+    assert {r.id: [tuple(x) for x in r.s] for r in df.collect()} == {k: plain(q) for k, q in enumerate(seqs)}
+
+
+def test_consensus_lines_and_numbering(spark):
+    chains = spark.createDataFrame([(1, 2, 5), (1, 1, 9), (2, 1, 7)], "chain long, place int, node long")
+    assert {tuple(r) for r in P.consensus_lines(chains).collect()} == {(1, 2, "9,5"), (2, 1, "7")}
+    rows = O.numbered(spark.createDataFrame([(x,) for x in random.Random(5).sample(range(10_000), 3000)], "x long"), "x").collect()
+    assert [r.k for r in sorted(rows, key=lambda r: r.x)] == list(range(1, 3001))
