@@ -8,7 +8,9 @@ from ..functions import sequence as S
 from ..operators import fragments as P
 from ..operators import graph as G
 from ..operators import hits as H
+from ..operators import membership as M
 from ..operators import order as O
+from ..operators import partition as D
 from ..operators import trees as R
 from .hits import BOUND, pairs
 from .more import REL, _relations
@@ -88,6 +90,13 @@ def g06(spark, sf_dir):
     return P.consensus_lines(g05c(spark, sf_dir))
 
 
+@query("g09_median_partition")
+def g09(spark, sf_dir):
+    p = M.pairwise_shared(members(spark, sf_dir)).select(F.col("g1").alias("a"), F.col("g2").alias("b"), (1 - F.col("jaccard") / 100).alias("distance"))
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("node"), F.col("n_nationkey").alias("place"))
+    return D.median_partition(n, p, 0.02)
+
+
 @query("g15_refined_edges")
 def g15(spark, sf_dir):
     """Clusters with a single edge fall off, round by round, until the edges settle."""

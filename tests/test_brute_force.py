@@ -10,6 +10,7 @@ from lociweave.operators import fragments as P
 from lociweave.operators import graph as G
 from lociweave.operators import intervals as V
 from lociweave.operators import order as O
+from lociweave.operators import partition as D
 from lociweave.operators import trees as R
 from lociweave.plans import registry
 
@@ -215,3 +216,33 @@ def test_consensus_lines_and_numbering(spark):
     assert {tuple(r) for r in P.consensus_lines(chains).collect()} == {(1, 2, "9,5"), (2, 1, "7")}
     rows = O.numbered(spark.createDataFrame([(x,) for x in random.Random(5).sample(range(10_000), 3000)], "x long"), "x").collect()
     assert [r.k for r in sorted(rows, key=lambda r: r.x)] == list(range(1, 3001))
+
+
+def test_median_partition(spark):
+    rng = random.Random(6)
+    near = {}
+    for a, b in itertools.combinations(range(40), 2):
+        if rng.random() < 0.95:
+            near[a, b] = near[b, a] = round(rng.random(), 3)
+
+    def plain(group, name):
+        if not group:
+            return []
+        m = group[len(group) // 2]
+        out = [(m, name)]
+        rest = sorted((near.get((m, x), 1.0), k, x) for k, x in enumerate(group) if x != m)
+        rest = [r for r in rest if r[0] > 0.05]
+        groups, start, last = [], None, None
+        for d, _, x in rest:
+            if start is None or d - start > 0.1 or d - last > 0.05:
+                groups.append([])
+                start = d
+            groups[-1].append(x)
+            last = d
+        for k, g in enumerate(groups, 1):
+            out += plain(g, f"{name}_{k}")
+        return out
+
+    pairs = spark.createDataFrame([(a, b, d) for (a, b), d in near.items() if a < b], "a long, b long, distance double")
+    got = D.median_partition(spark.range(40).selectExpr("id as node", "id as place"), pairs, 0.05)
+    assert sorted(map(tuple, got.collect())) == sorted(plain(list(range(40)), "1"))
