@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,3 +38,32 @@ def median_partition(nodes: DataFrame, distances: DataFrame, redundant: float, m
         if todo.isEmpty():
             return found
     raise RuntimeError(f"groups are left after {max_rounds} rounds")
+
+
+def spaced_representatives(distances: DataFrame, quota: int, gap: float) -> DataFrame:
+    """type, node, distance: of each type's nodes, farther than `gap` from it, about `quota` spread evenly along the sorted distances.
+
+    Aims are the ends of equal slices of the list; where the node there is within `gap` of the one picked before,
+    the next nodes are tried. distances: type, node, distance. One type's nodes are a genome list and fit a task.
+    """
+
+    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf[pdf["distance"] > gap].sort_values(["distance", "node"])
+        values, n = pdf["distance"].to_numpy(), len(pdf)
+        aim = lambda step: int(step * n / quota + 0.499) - 1
+        picked, at, step, last = [], max(0, aim(1)), 1, 0.0
+        while at < n:
+            if values[at] - last <= gap:
+                at += 1
+                continue
+            picked.append(at)
+            last = values[at]
+            before = at
+            while at <= before:
+                step += 1
+                at = aim(step)
+            at = at if at < n or before == n - 1 else n - 1
+        return pdf.iloc[picked][["type", "node", "distance"]]
+
+    kinds = {f.name: f.dataType.simpleString() for f in distances.schema}
+    return distances.groupBy("type").applyInPandas(pick, f"type {kinds['type']}, node {kinds['node']}, distance double")

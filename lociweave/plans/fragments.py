@@ -148,6 +148,12 @@ def j22(spark, sf_dir):
     return numbered("customer", "c_custkey", "c_name").join(numbered("part", "p_partkey", "p_name"), "k").select("k", "c_name", "p_name")
 
 
+@query("t08_spaced_representatives")
+def t08(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select(F.col("p_brand").alias("type"), F.col("p_partkey").alias("node"), (F.col("p_retailprice") / 3000).alias("distance"))
+    return D.spaced_representatives(p, 5, 0.01)
+
+
 @query("t10_sorted_kmers", """WITH s AS (SELECT upper(regexp_replace(text, '[^acgtACGT]', '', 'g')) AS seq FROM documents), k AS (SELECT substr(seq, i, 6) AS kmer FROM (SELECT seq, unnest(range(1, length(seq) - 4)) AS i FROM s)),
 c AS (SELECT least(kmer, reverse(translate(kmer, 'ACGT', 'TGCA'))) AS kmer, count(*) AS n FROM k GROUP BY 1) SELECT kmer, n, row_number() OVER (ORDER BY kmer) AS place FROM c""")
 def t10(spark, sf_dir):

@@ -246,3 +246,11 @@ def test_median_partition(spark):
     pairs = spark.createDataFrame([(a, b, d) for (a, b), d in near.items() if a < b], "a long, b long, distance double")
     got = D.median_partition(spark.range(40).selectExpr("id as node", "id as place"), pairs, 0.05)
     assert sorted(map(tuple, got.collect())) == sorted(plain(list(range(40)), "1"))
+
+
+def test_spaced_representatives(spark):
+    even = [("a", k, k / 10) for k in range(1, 11)]  # slices of two: the 2nd, 4th, ... node
+    close = [("b", k, 0.5 + k / 1000) for k in range(10)] + [("b", 99, 0.9), ("b", 100, 0.01)]  # only one of the close ones, and the far one
+    rows = D.spaced_representatives(spark.createDataFrame(even + close, "type string, node long, distance double"), 5, 0.05).collect()
+    assert sorted(r.node for r in rows if r.type == "a") == [2, 4, 6, 8, 10]
+    assert sorted(r.node for r in rows if r.type == "b") == [1, 99]
