@@ -39,6 +39,22 @@ def drop_stored(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Keys with more than one in so many rows count as popular; there are fewer of them than this.
+HOT_KEYS = 256
+
+
+def join_counted(rows: DataFrame, keyed: DataFrame, key: list[str], total: int, n: str) -> DataFrame:
+    """rows joined with keyed, which has one row a key and in n how many of the `total` rows hold it; without n.
+
+    Popular keys, fewer than HOT_KEYS by their definition, are broadcast; rows of all others
+    are shuffled by key. So no task gathers the rows of one popular key.
+    """
+    popular = F.col(n) * HOT_KEYS > total
+    hot = keyed.where(popular).drop(n)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(keyed.where(~popular).drop(n), key)
+    return rows.join(F.broadcast(hot), key).unionByName(rest)
+
+
 class Forest:
     """Union-find over hashable nodes; the smallest member is the root of its tree."""
 

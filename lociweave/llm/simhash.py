@@ -13,7 +13,8 @@
    rows whose every distance has passed the radius are abandoned. Groups of more than
    HOT rows are split: each pair of chunks of it is a group of its own.
    A block returns a spanning forest of its links, never all pairs.
-4. Components of the forests' edges join the links.
+4. Components of the forests' edges join the links. Fingerprints that many rows share
+   are broadcast to them, the others joined by shuffle.
 
 Input cases: a null text counts as empty; empty texts have fingerprint zero and
 link like any other; repeated rows share a fingerprint; very long texts are hashed
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, drop_stored, stored, table
+from .common import components, drop_stored, join_counted, stored, table
 
 PARTS = 4
 BLOCK = 1024
@@ -256,13 +257,13 @@ def part_keys(radius: int) -> Column:
 def near_components(prints: DataFrame, radius: int, keys: Column) -> DataFrame:
     """doc_id, fp, component_id of each row of the stored prints; keys: column of block keys for a fingerprint's row."""
     more = "bands" if "bands" in prints.columns else "bits"
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("node"), F.first(more).alias(more))
+    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("node"), F.first(more).alias(more), F.count(F.lit(1)).alias("copies"))
     rows = distinct.where("node is not null").select(F.explode(keys).alias("key"), "node", "fp")
     edges = stored(block_links(rows, radius))
     joined = components(edges)
     drop_stored(edges)
-    tied = distinct.select("fp", "node").join(joined, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return prints.select("doc_id", "fp", *(["bits"] if more == "bits" else [])).join(tied, "fp")
+    tied = distinct.select("fp", "node", "copies").join(joined, "node", "left").select("fp", "copies", F.coalesce("component", "node").alias("component_id"))
+    return join_counted(prints.select("doc_id", "fp", *(["bits"] if more == "bits" else [])), tied, ["fp"], prints.count(), "copies")
 
 
 def simhash_components(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:

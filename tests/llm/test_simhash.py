@@ -1,11 +1,12 @@
 import itertools
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import xxhash
 from pyspark.sql import types as T
 
 from lociweave.llm import simhash as S
+from lociweave.llm.common import join_counted
 
 DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("fp", T.StringType())])
 
@@ -90,3 +91,12 @@ def test_keep_first_drops_near_copies(spark):
     kept = S.keep_first(spark.createDataFrame(rows, DOCS))
     assert kept.columns == [f.name for f in DOCS]
     assert {r.doc_id for r in kept.collect()} == set(range(20)) | {None}
+
+
+def test_popular_keys_join_like_others(spark):
+    keys = [0] * 700 + [1] * 9 + list(range(2, 1300))
+    rows = spark.createDataFrame([(k, f"row {r}") for r, k in enumerate(keys)], "k long, row string")
+    keyed = spark.createDataFrame([(k, n, k * 10) for k, n in Counter(keys).items() if k != 5], "k long, n long, v long")
+    got = join_counted(rows, keyed, ["k"], len(keys), "n")
+    assert sorted(map(tuple, got.select("k", "row", "v").collect())) == sorted((k, f"row {r}", k * 10) for r, k in enumerate(keys) if k != 5)
+    assert "n" not in got.columns
