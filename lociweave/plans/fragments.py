@@ -105,7 +105,7 @@ def g15(spark, sf_dir):
         ends = e.select(F.explode(F.array("c1", "c2")).alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         return e.join(ends.select(F.col("c").alias("c1")), "c1", "left_semi").join(ends.select(F.col("c").alias("c2")), "c2", "left_semi").select("c1", "c2")
 
-    w = O.edge_weights(feature_edges(spark, sf_dir)).where("weight > 2 and c1 <> c2")
+    w = O.edge_weights(feature_edges(spark, sf_dir)).where("c1 <> c2")
     return G.until_stable(w.select("c1", "c2").distinct(), step)
 
 
