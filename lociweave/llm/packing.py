@@ -48,7 +48,8 @@ def byte_level() -> dict[int, str]:
 class WordEncoder(dict):
     """Word to ids, as little-endian 32-bit bytes; a word is encoded when it is first asked for.
 
-    A word of letters up to LAST_LETTER, a full stop or comma after it or not, needs
+    A word of letters that are up to LAST_LETTER in lower case too (some capitals' small
+    letters lie beyond it), a full stop or comma after it or not, needs
     neither normalising, other than lower case, nor cutting: it goes to the
     tokeniser's model straight away. Any other goes through the whole tokeniser.
     """
@@ -63,8 +64,9 @@ class WordEncoder(dict):
 
     def __missing__(self, word: str) -> bytes:
         core = word[:-1] if word[-1:] in (".", ",") else word
-        if core.isalpha() and max(core) <= LAST_LETTER and "\u0130" not in core:
-            ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(core.lower().translate(self.letters))]) + self.ends[word[len(core) :]]
+        low = core.lower()
+        if core.isalpha() and (low.isascii() or max(low) <= LAST_LETTER) and max(core) <= LAST_LETTER and "\u0130" not in core:
+            ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(low.translate(self.letters))]) + self.ends[word[len(core) :]]
         else:
             ids = self.whole(word)
         if len(word) <= CACHED_CHARS:

@@ -68,3 +68,17 @@ def test_equal_rows_go_to_several_groups(spark, monkeypatch):
     rows = P.pack(spark.createDataFrame([(None, None, "x")] * 400, DOCS), length=16).collect()
     check(rows, [(None, None)] * 400, 16)
     assert len({r.sequence_id // 2 % 25 for r in rows}) > 10
+
+
+def test_every_letter_of_the_short_way():
+    encoder = P.WordEncoder("word_bpe_49k.json")
+    letters = [c for c in map(chr, range(ord(P.LAST_LETTER) + 1)) if c.isalpha()]
+    for c in letters:
+        for word in (c, c + "li", "a" + c, "A" + c + "b", c + c, c + "li.", "la" + c + ","):
+            assert encoder[word] == encoder.whole(word), word
+    assert np.frombuffer(encoder["\u018fli"], "<u4").tolist() == [133, 247, 4250]
+
+
+def test_texts_with_capitals_of_distant_small_letters(spark):
+    docs = [(0, "\u018fli v\u0259 \u018fhm\u0259d. \u0181ala, \u0186d\u0254 \u0190\u028be"), (1, "\u0191\u0194\u0196 \u2c65\u023a \u023e"), (2, "plain")]
+    check(P.pack(spark.createDataFrame([(*d, "x") for d in docs], DOCS), length=4).collect(), docs, 4)
