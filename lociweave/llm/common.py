@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,9 +13,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one is made only where none is set."""
+    """The folder that driver and executors share; a local one is made only in local mode where none is set."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="shared-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -55,33 +55,19 @@ def join_counted(rows: DataFrame, keyed: DataFrame, key: list[str], total: int,
     return rows.join(F.broadcast(hot), key).unionByName(rest)
 
 
-class Forest:
-    """Union-find over hashable nodes; the smallest member is the root of its tree."""
-
-    def __init__(self) -> None:
-        self.parent: dict = {}
-
-    def find(self, x):
-        parent = self.parent
-        root = x
-        while (up := parent.get(root, root)) != root:
-            root = up
-        while (up := parent.get(x, x)) != root:
-            parent[x], x = root, up
-        return root
+def join_salted(rows: DataFrame, keyed: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """rows joined with keyed, whose rows are wide; a key with more than one in HOT_KEYS of rows meets that many copies of keyed's row for it.
 
-    def union(self, a, b) -> bool:
-        a, b = self.find(a), self.find(b)
-        if a == b:
-            return False
-        if b < a:
-            a, b = b, a
-        self.parent.setdefault(a, a)
-        self.parent[b] = a
-        return True
-
-    def edges(self) -> Iterable[tuple]:
-        return ((x, r) for x in list(self.parent) if (r := self.find(x)) != x)
+    Only the popular keys, fewer than HOT_KEYS, are broadcast, never keyed's columns.
+    """
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    share = F.ceil(F.col("_n") * HOT_KEYS / F.lit(max(1, rows.count())))
+    popular = F.broadcast(counts.select(key, share.cast("int").alias("_copies")).where("_copies > 1"))
+    copies = F.coalesce("_copies", F.lit(1))
+    others = [c for c in rows.columns if c != key]
+    salted = rows.join(popular, key, "left").withColumn("_salt", F.pmod(F.xxhash64(*others), copies).cast("int")).drop("_copies")
+    copied = keyed.join(popular, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), copies - 1))).drop("_copies")
+    return salted.join(copied, [key, "_salt"], how).drop("_salt")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
@@ -89,21 +75,23 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
 
     Alternates the two star operations: every node's larger neighbours, then its
     smaller ones, are tied to the smallest neighbour. Each round is two
-    aggregations and two joins of edges with per-node minima, written to the shared
-    folder. It ends when a round changes nothing. Nulls and loops are dropped.
+    aggregations and two joins of edges with per-node minima (those of hubs are broadcast, so no
+    task gathers a hub's edges), written to the shared folder. It ends when a round changes nothing. Nulls and loops are dropped.
     """
     e = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
     e = stored(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    total = e.count()
     seen = None
     for _ in range(max_rounds):
         both = e.union(e.select("v", "u"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e"))
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = join_counted(both.where("v > u"), low, ["u"], 2 * total, "n").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        small = join_counted(large, low, ["u"], total, "n").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e"))
         small = small.select(F.col("e.v").alias("u"), F.col("e.m").alias("v")).where("u <> v").distinct()
         new = stored(small)
         now = new.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+        total = now[0]
         drop_stored(e)
         e = new
         if now == seen:

@@ -10,9 +10,11 @@
 3. Rows are dealt and sorted by key. Blocks of whole groups are compared at once:
    bit planes stand vertically, so one machine word holds a bit of 64 rows, and
    carry-save counters add the differing planes for all pairs. After every few planes the
-   rows whose every distance has passed the radius are abandoned. Groups of more than
-   HOT rows are split: each pair of chunks of it is a group of its own.
-   A block returns a spanning forest of its links, never all pairs.
+   rows whose every distance has passed the radius are abandoned. Large groups, beyond a share of all
+   rows and HOT at most, are split: each pair of chunks of it is a group of its own.
+   A block returns a spanning forest of its links, never all pairs; for wide fingerprints FORESTS disjoint
+   spanning forests of its nearest pairs, whose similarity is then computed from the documents' whole sets
+   of shingle hashes, so that only pairs that reach it link.
 4. Components of the forests' edges join the links. Fingerprints that many rows share
    are broadcast to them, the others joined by shuffle.
 
@@ -27,7 +29,8 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +38,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, drop_stored, join_counted, stored, table
+from .common import components, drop_stored, join_counted, join_salted, stored, table
 
 PARTS = 4
 BLOCK = 1024
 HOT = 16_384
+SHARE = 256  # a chunk of a group holds one in so many rows, but BLOCK / 2 at least and HOT at most
+FORESTS = 2
 WIDE_WORDS = 16  # 1024 bits
 BANDS, BAND_ROWS = 10, 3
 _MIX = np.array([xxhash.xxh64_intdigest(f"mix {k}") | 1 for k in range(64)], np.uint64)
@@ -183,11 +188,41 @@ def lowest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return label
 
 
-def block_links(rows: DataFrame, radius: int) -> DataFrame:
-    """Edges (a, b) of spanning forests of the links within groups of (key, node, fp)."""
+def nearest_forests(n: int, i: np.ndarray, j: np.ndarray, d: np.ndarray, times: int = FORESTS) -> np.ndarray:
+    """Places of the pairs (i, j) that form, one after the other, `times` disjoint spanning forests of the least distances d."""
+    left = np.argsort(d, kind="stable")
+    out = [left[:0]]
+    for _ in range(times):
+        label, at, took = np.arange(n), np.arange(len(left)), np.zeros(len(left), bool)
+        a, b = i[left], j[left]
+        while True:
+            la, lb = label[a[at]], label[b[at]]
+            apart = la != lb
+            at, la, lb = at[apart], la[apart], lb[apart]
+            if not len(at):
+                break
+            best = np.full(n, len(left))  # of each tree, its first pair that leaves it
+            np.minimum.at(best, la, at)
+            np.minimum.at(best, lb, at)
+            best = np.unique(best[best < len(left)])
+            took[best] = True
+            label = lowest(n, label[a[best]], label[b[best]])[label]
+        out.append(left[took])
+        left = left[~took]
+    return np.concatenate(out)
+
+
+def bits_apart(fps: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Differing bits of each pair of rows of fps, some pairs at a time."""
+    parts = [np.bitwise_count(fps[i[k : k + 65_536]] ^ fps[j[k : k + 65_536]]).sum(1, dtype=np.int32) for k in range(0, len(i), 65_536)]
+    return np.concatenate(parts) if parts else np.zeros(0, np.int32)
+
+
+def block_links(rows: DataFrame, radius: int, total: int, pairs: bool = False) -> DataFrame:
+    """Edges (a, b) of spanning forests of the links within groups of (key, node, fp), `total` nodes; pairs: edges are the nearest pairs themselves."""
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     rows = rows.join(sizes, "key")
-    chunks = F.ceil(F.col("n") / HOT).cast("int")
+    chunks = F.ceil(F.col("n") / min(HOT, max(BLOCK // 2, total // SHARE))).cast("int")
     rows = rows.withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     rows = rows.withColumn("other", other).withColumn("one", F.least("own", "other")).withColumn("two", F.greatest("own", "other"))
@@ -199,11 +234,22 @@ def block_links(rows: DataFrame, radius: int) -> DataFrame:
             for x in range(0, len(fps), BLOCK):
                 for y in range(x, len(fps), BLOCK):
                     i, j = near_pairs(fps[x : x + BLOCK], None if x == y else fps[y : y + BLOCK], radius)
+                    if pairs:
+                        i, j = i + x, j + y
+                        i, j = i[node[i] != node[j]], j[node[i] != node[j]]
+                        some = nearest_forests(len(fps), i, j, bits_apart(fps, i, j))
+                        out_i.append(i[some])
+                        out_j.append(j[some])
+                        continue
                     label = lowest(2 * BLOCK, i, j + (BLOCK if x != y else 0))
                     tied = np.nonzero(label != np.arange(len(label)))[0]
                     place = lambda k, x=x, y=y: np.where(k < BLOCK, x + k, y + k - BLOCK)
                     out_i.append(place(tied))
                     out_j.append(place(label[tied]))
+            if pairs:
+                i, j = np.concatenate(out_i), np.concatenate(out_j)
+                some = nearest_forests(len(fps), i, j, bits_apart(fps, i, j))
+                return pa.RecordBatch.from_arrays([pa.array(node[i[some]]), pa.array(node[j[some]])], ["a", "b"])
             label = lowest(len(fps), np.concatenate(out_i), np.concatenate(out_j))
             tied = np.nonzero(label != np.arange(len(label)))[0]
             return pa.RecordBatch.from_arrays([pa.array(node[tied]), pa.array(node[label[tied]])], ["a", "b"])
@@ -254,16 +300,41 @@ def part_keys(radius: int) -> Column:
     return F.array(*keys)
 
 
-def near_components(prints: DataFrame, radius: int, keys: Column) -> DataFrame:
-    """doc_id, fp, component_id of each row of the stored prints; keys: column of block keys for a fingerprint's row."""
+def similar_pairs(pairs: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of doc_ids whose texts' sets of shingle hashes reach the Jaccard similarity."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(0, b.num_rows, 256):
+                part = b.slice(k, 256)
+                sets = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "hashes"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
+    sets = stored(texts.mapInArrow(hashes, "doc_id long, hashes array<long>").distinct())
+    one = join_salted(pairs, sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("ha")), "a").select("a", "b", "ha")
+    both = join_salted(one, sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("hb")), "b")
+    shared = F.size(F.array_intersect("ha", "hb"))
+    return both.where(shared >= similarity * (F.size("ha") + F.size("hb") - shared) - 1e-9).select("a", "b").distinct()
+
+
+def near_components(prints: DataFrame, radius: int, keys: Column, verify: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """doc_id, fp, component_id of each row of the stored prints; keys: column of block keys for a fingerprint's row; verify: keeps the pairs (a, b) that link."""
     more = "bands" if "bands" in prints.columns else "bits"
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("node"), F.first(more).alias(more), F.count(F.lit(1)).alias("copies"))
     rows = distinct.where("node is not null").select(F.explode(keys).alias("key"), "node", "fp")
-    edges = stored(block_links(rows, radius))
+    total = prints.count()
+    edges = stored(block_links(rows, radius, total, verify is not None))
+    if verify:
+        found = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        drop_stored(edges)
+        edges = stored(verify(found))
+        drop_stored(found)
     joined = components(edges)
     drop_stored(edges)
     tied = distinct.select("fp", "node", "copies").join(joined, "node", "left").select("fp", "copies", F.coalesce("component", "node").alias("component_id"))
-    return join_counted(prints.select("doc_id", "fp", *(["bits"] if more == "bits" else [])), tied, ["fp"], prints.count(), "copies")
+    return join_counted(prints.select("doc_id", "fp", *(["bits"] if more == "bits" else [])), tied, ["fp"], total, "copies")
 
 
 def simhash_components(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
@@ -273,21 +344,38 @@ def simhash_components(docs: DataFrame, words: int = 3, radius: int = 2) -> Data
     return parts.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def bit_differs(shared: int, a: int, b: int) -> float:
+    """Chance that a fingerprint bit differs between sets that share so many shingles and have a and b of their own."""
+    heads = lambda n: [math.comb(n, k) / 2**n for k in range(n + 1)]
+    total = 0.0
+    for k, p in enumerate(heads(shared)):
+        x, y = (sum(q for m, q in enumerate(heads(n)) if 2 * (k + m) > shared + n) for n in (a, b))
+        total += p * (x * (1 - y) + y * (1 - x))
+    return total
+
+
+@lru_cache
 def wide_radius(similarity: float, bits: int = 64 * WIDE_WORDS) -> int:
-    """Differing bits to expect of two shingle sets of equal size at that Jaccard similarity, and one standard error more."""
-    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(bits * p + math.sqrt(bits * p * (1 - p)))
+    """Differing bits to expect of two sets at that similarity or above, in the worst case of few shingles or many, and three standard errors more."""
+    worst = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    for n in range(1, 40):
+        own = int(n / similarity - n + 1e-9)
+        worst = max([worst, *(bit_differs(n, a, own - a) for a in range(own // 2 + 1))])
+    return round(bits * worst + 3 * math.sqrt(bits * worst * (1 - worst)))
 
 
 def keep_first(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows, all columns, without those that wide fingerprints find near an earlier one: the smallest doc_id of each component stays.
+    """The rows, all columns, without those near an earlier one: the smallest doc_id of each component of near pairs stays.
 
-    Rows that share a doc_id are one document and stay or go together; rows without doc_id stay.
+    Wide fingerprints find the pairs, and their texts' exact Jaccard similarity confirms them. Rows that share a doc_id are one
+    document and stay or go together; rows without doc_id stay; empty texts, null ones among them, are copies of each
+    other; an empty table gives an empty one.
     """
     prints = stored(fingerprints(docs, words, wide=True))
-    parts = near_components(prints, wide_radius(similarity), F.col("bands"))
+    verify = lambda pairs: similar_pairs(pairs, docs, words, similarity)
+    parts = near_components(prints, wide_radius(similarity), F.col("bands"), verify)
     going = parts.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(going, "doc_id", "left_anti")
+    return docs.join(going, "doc_id", "left_anti").select(*docs.columns)
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import xxhash
 from pyspark.sql import types as T
 
 from lociweave.llm import simhash as S
-from lociweave.llm.common import join_counted
+from lociweave.llm.common import join_counted, join_salted
 
 DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("fp", T.StringType())])
 
@@ -70,8 +70,9 @@ def test_near_pairs_and_hot_groups(spark, monkeypatch):
         assert {(a, b + 250) for a, b in zip(i.tolist(), j.tolist(), strict=True)} == {(a, b) for a, b in want if a < 250 <= b}
     monkeypatch.setattr(S, "HOT", 64)
     monkeypatch.setattr(S, "BLOCK", 32)
+    monkeypatch.setattr(S, "SHARE", 1)
     rows = spark.createDataFrame([(k % 2, n, int(f).to_bytes(8, "little")) for n, f in enumerate(fps) for k in (0, 1)], "key long, node long, fp binary")
-    edges = S.block_links(rows, 2).collect()
+    edges = S.block_links(rows, 2, len(fps)).collect()
     i, j = S.near_pairs(fps[:, None], None, 2)
     want = S.lowest(len(fps), i, j)
     e = np.array([(r.a, r.b) for r in edges])
@@ -100,3 +101,63 @@ def test_popular_keys_join_like_others(spark):
     got = join_counted(rows, keyed, ["k"], len(keys), "n")
     assert sorted(map(tuple, got.select("k", "row", "v").collect())) == sorted((k, f"row {r}", k * 10) for r, k in enumerate(keys) if k != 5)
     assert "n" not in got.columns
+
+
+def plain_like(a, b, n=5):
+    sets = []
+    for t in (a, b):
+        w = t.lower().split()
+        sets.append({" ".join(w[k : k + n]) for k in range(max(1, len(w) - n + 1))})
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def test_nearest_forests_are_the_cheapest():
+    rng = np.random.default_rng(4)
+    n = 40
+    i, j = np.triu_indices(n, 1)
+    some = rng.random(len(i)) < 0.3
+    i, j = i[some], j[some]
+    d = rng.integers(0, 20, len(i))
+
+    def plain(order):
+        label, out = np.arange(n), []
+        for k in order:
+            if label[i[k]] != label[j[k]]:
+                out.append(k)
+                label[label == label[j[k]]] = label[i[k]]
+        return out
+
+    first = plain(np.argsort(d, kind="stable"))
+    second = plain([k for k in np.argsort(d, kind="stable") if k not in set(first)])
+    got = S.nearest_forests(n, i, j, d)
+    assert sorted(got.tolist()) == sorted(first + second)
+    assert S.bits_apart(np.array([[3], [1], [255]], np.uint64), np.array([0, 0]), np.array([1, 2])).tolist() == [1, 6]
+
+
+def test_keep_first_goes_by_exact_similarity(spark):
+    """Texts of every size around 0.8, short ones too: exactly those go that reach it with an earlier one."""
+    rng = np.random.default_rng(5)
+    rows, k = [], 0
+    for n in (5, 6, 7, 8, 9, 12, 20, 60, 300):
+        for edits in range(1, 12):
+            w = [f"v{x}" for x in rng.integers(0, 10**6, n)]
+            other = list(w)
+            for at in rng.choice(n, min(n, edits * n // 60 or (edits % 2)), replace=False):
+                other[at] = f"u{rng.integers(0, 10**6)}"
+            rows += [(k, " ".join(w), "", ""), (k + 1, " ".join(other + ["more"] * (edits % 3 == 1)), "", "")]
+            k += 2
+    kept = {r.doc_id for r in S.keep_first(spark.createDataFrame(rows, DOCS)).collect()}
+    want = {d for d, t, *_ in rows if d % 2 == 0 or plain_like(rows[d - 1][1], t) < 0.8 - 1e-9}
+    assert kept == want and len(rows) - len(want) >= 15
+    assert S.keep_first(spark.createDataFrame([], DOCS)).count() == 0
+    same = [(9, None, None, None), (8, "", None, None), (7, "a b", "x", None), (None, "a b", None, None)]
+    assert sorted((r.doc_id for r in S.keep_first(spark.createDataFrame(same, DOCS)).collect()), key=str) == [7, 8, None]
+
+
+def test_popular_keys_meet_copies_of_wide_rows(spark):
+    keys = [0] * 700 + [1] * 9 + list(range(2, 1300))
+    rows = spark.createDataFrame([(k, r) for r, k in enumerate(keys)], "k long, row long")
+    keyed = spark.createDataFrame([(k, [k] * 3) for k in set(keys) if k != 5], "k long, v array<long>")
+    got = join_salted(rows, keyed, "k")
+    assert got.columns == ["k", "row", "v"]
+    assert sorted((r.k, r.row, r.v[0]) for r in got.collect()) == sorted((k, r, k) for r, k in enumerate(keys) if k != 5)
