@@ -55,16 +55,16 @@ def join_counted(rows: DataFrame, keyed: DataFrame, key: list[str], total: int,
     return rows.join(F.broadcast(hot), key).unionByName(rest)
 
 
-def join_salted(rows: DataFrame, keyed: DataFrame, key: str, how: str = "inner") -> DataFrame:
+def join_salted(rows: DataFrame, keyed: DataFrame, key: str, how: str = "inner", by: list[str] | None = None) -> DataFrame:
     """rows joined with keyed, whose rows are wide; a key with more than one in HOT_KEYS of rows meets that many copies of keyed's row for it.
 
-    Only the popular keys, fewer than HOT_KEYS, are broadcast, never keyed's columns.
+    by: the columns of rows that deal them to the copies, all others if not given. Only the popular keys, fewer than HOT_KEYS, are broadcast, never keyed's columns.
     """
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     share = F.ceil(F.col("_n") * HOT_KEYS / F.lit(max(1, rows.count())))
     popular = F.broadcast(counts.select(key, share.cast("int").alias("_copies")).where("_copies > 1"))
     copies = F.coalesce("_copies", F.lit(1))
-    others = [c for c in rows.columns if c != key]
+    others = by or [c for c in rows.columns if c != key]
     salted = rows.join(popular, key, "left").withColumn("_salt", F.pmod(F.xxhash64(*others), copies).cast("int")).drop("_copies")
     copied = keyed.join(popular, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), copies - 1))).drop("_copies")
     return salted.join(copied, [key, "_salt"], how).drop("_salt")

@@ -1,18 +1,20 @@
 """Operator 1: benchmark decontamination by q-gram lemma filtering.
 
 An occurrence of an item of m characters with at most e = floor(EDITS x m) edits
-shares at least m - Q + 1 - Q e of its q-grams with the document, on at most e + 1 neighbouring
+shares at least m - q + 1 - q e of its q-grams with the document, on at most e + 1 neighbouring
 diagonals (place in the document less place in the item). So per document and item
 the shared q-grams are counted in overlapping bands of diagonals, twice e + 1 wide at distances of
 e + 1; bands that reach the bound are kept, and there the item is aligned within the
 band, giving up once all cells of a row exceed the budget. Nothing within the budget is lost.
 
-Both sides are compared in lower case with runs of blanks as one. Where e leaves no shared
-q-gram to expect, it is lowered until one is; items shorter than Q characters match nothing.
+Both sides are compared in lower case with runs of blanks as one. q is Q, or for short items the largest
+that leaves a shared q-gram to expect, so items of any length but none have the same budget; items of
+different q have q-gram tables of their own.
 
 The items are a query set that all documents are held against: they travel to the
-tasks in blocks of at most BLOCK_CHARS characters, with one pass over the documents for each,
-so that what a task holds is bounded whatever their number.
+tasks in blocks of about BLOCK_CHARS characters, dealt by Spark. One block, checked by a sum of lengths, is
+a single pass; of more, each has a pass whose findings are written before the next block leaves the
+driver, so that neither the driver, a task nor the plan holds more than one.
 
 Input cases: null and empty texts and items match nothing; repeated documents or items give
 repeated rows; very long texts are processed whole, on their own; empty tables: empty
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import join_salted, stored, table
 from .token_counts import text_groups
 
 Q = 8
@@ -51,69 +53,81 @@ def normal(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.where(blank, np.uint32(32), codes)[keep], np.nonzero(keep)[0]
 
 
-def grams(codes: np.ndarray) -> np.ndarray:
-    """A hash of each run of Q = 8 codes, by doubling."""
-    h = codes.astype(np.uint64) + np.uint64(1)
-    p = _P
-    for n in (1, 2, 4):
-        if len(h) <= n:
-            return h[:0]
+def grams(codes: np.ndarray, q: int = Q) -> np.ndarray:
+    """A hash of each run of q codes: lengths double, or grow by one, along the binary digits of q."""
+    h = one = codes.astype(np.uint64) + np.uint64(1)
+    if len(h) < q:
+        return h[:0]
+    n, p = 1, _P
+    for digit in f"{q:b}"[1:]:
         h = h[:-n] * np.uint64(p) + h[n:]
-        p = p * p % (1 << 64)
+        n, p = 2 * n, p * p % (1 << 64)
+        if digit == "1":
+            h = h[:-1] * np.uint64(_P) + one[n:]
+            n, p = n + 1, p * _P % (1 << 64)
     h ^= h >> np.uint64(32)
     return h * np.uint64(0xD6E8FEB86659FD93)
 
 
-def budget(m: int, edits: float = EDITS) -> tuple[int, int]:
-    """Edits allowed for an item of m characters, and q-grams that must then be shared."""
+def budget(m: int, edits: float = EDITS) -> tuple[int, int, int]:
+    """Edits allowed for an item of m characters, the length of its q-grams, and how many must then be shared."""
     e = int(edits * m)
-    while e and m - Q + 1 - Q * e < 1:
-        e -= 1
-    return e, m - Q + 1 - Q * e
+    q = max(1, min(Q, m // (e + 1)))
+    return e, q, m - q + 1 - q * e
 
 
-class Items:
-    """A block of items with their q-grams."""
+class Grams:
+    """The q-grams, of one length, of some items: where each occurs."""
 
-    def __init__(self, items: list[tuple], edits: float) -> None:
-        kept = [(i, normal((t or "").strip())[0]) for i, t in items]
-        kept = [(i, c) for i, c in kept if len(c) >= Q]
-        self.ids, self.codes = [i for i, _ in kept], [c for _, c in kept]
-        self.plain = [c.tobytes() for c in self.codes]
-        both = [budget(len(c), edits) for c in self.codes]
-        self.edits, self.need = np.array([b[0] for b in both], np.int64), np.array([b[1] for b in both], np.int64)
-        g = [grams(c) for c in self.codes]
-        every = np.concatenate(g) if g else np.zeros(0, np.uint64)
-        item = np.repeat(np.arange(len(g)), [len(x) for x in g])
-        place = np.concatenate([np.arange(len(x)) for x in g]) if g else np.zeros(0, np.int64)
+    def __init__(self, q: int, items: list[int], codes: list[np.ndarray]) -> None:
+        self.q = q
+        g = [grams(codes[k], q) for k in items]
+        every = np.concatenate(g)
+        item = np.repeat(np.array(items), [len(x) for x in g])
+        place = np.concatenate([np.arange(len(x)) for x in g])
         order = np.argsort(every, kind="stable")
         self.grams, self.first, self.times = np.unique(every[order], return_index=True, return_counts=True)
         self.item, self.place = item[order], place[order]
         self.marked = np.zeros(1 << FILTER_BITS, bool)
         self.marked[self.grams >> np.uint64(64 - FILTER_BITS)] = True
 
-    def bands(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, int, int]]:
-        """(text, item, first diagonal, diagonals) of each band that shares enough q-grams."""
-        if not len(self.grams):
-            return
-        starts = np.cumsum([0, *(len(t) for t in texts)])
-        g = grams(np.concatenate(texts))
+    def shared(self, joined: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """text, item and diagonal of each q-gram that a text, which begins at starts in joined, shares with an item."""
+        g = grams(joined, self.q)
         at = np.nonzero(self.marked[g >> np.uint64(64 - FILTER_BITS)])[0]
         k = np.minimum(np.searchsorted(self.grams, g[at]), len(self.grams) - 1)
         same = self.grams[k] == g[at]
         at, k = at[same], k[same]
         text = np.searchsorted(starts, at, "right") - 1
-        inside = at + Q <= starts[text + 1]
+        inside = at + self.q <= starts[text + 1]
         at, k, text = at[inside], k[inside], text[inside]
         times = self.times[k]
         which = np.repeat(self.first[k], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        item = self.item[which]
-        width = self.edits[item] + 1
+        return np.repeat(text, times), self.item[which], np.repeat(at - starts[text], times) - self.place[which]
+
+
+class Items:
+    """A block of items with their q-grams."""
+
+    def __init__(self, items: list[tuple], edits: float) -> None:
+        kept = [(i, normal((t or "").strip())[0]) for i, t in items]
+        kept = [(i, c) for i, c in kept if len(c)]
+        self.ids, self.codes = [i for i, _ in kept], [c for _, c in kept]
+        self.plain = [c.tobytes() for c in self.codes]
+        self.edits, lengths, self.need = np.array([budget(len(c), edits) for c in self.codes], np.int64).reshape(-1, 3).T
+        self.tables = [Grams(q, np.nonzero(lengths == q)[0].tolist(), self.codes) for q in np.unique(lengths).tolist()]
+
+    def bands(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, int, int]]:
+        """(text, item, first diagonal, diagonals) of each band that shares enough q-grams."""
+        starts, joined = np.cumsum([0, *(len(t) for t in texts)]), np.concatenate(texts)
+        for table in self.tables:
+            text, item, diagonal = table.shared(joined, starts)
+            if len(text):
+                yield from self.full_bands(text, item, diagonal)
+
+    def full_bands(self, text: np.ndarray, item: np.ndarray, diagonal: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
         low = int(max(map(len, self.codes)))
-        band = (np.repeat(at - starts[text], times) - self.place[which] + low) // width
-        key, count = np.unique((np.repeat(text, times) * len(self.ids) + item) << 32 | band, return_counts=True)
-        if not len(key):
-            return
+        key, count = np.unique((text * len(self.ids) + item) << 32 | (diagonal + low) // (self.edits[item] + 1), return_counts=True)
         after = np.zeros(len(key), np.int64)
         after[:-1] = np.where(key[1:] == key[:-1] + 1, count[1:], 0)
         item = (key >> 32) % len(self.ids)
@@ -190,62 +204,74 @@ def leaks_in(items: Items, texts: list[str]) -> list[tuple[int, int, int, int, i
     return [(t, k, int(places[t][s]), int(places[t][x - 1]) + 1, e) for (t, k), (e, s, x) in sorted(best.items()) if x > s]
 
 
-def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple]]:
-    """The items in blocks of bounded size, read one partition at a time."""
-    block, size = [], 0
-    for r in benchmark.select("item_id", "text").where("text is not null").toLocalIterator():
-        block.append((r["item_id"], r["text"]))
-        size += len(r["text"])
-        if size >= BLOCK_CHARS:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
+def item_blocks(benchmark: DataFrame) -> tuple[int, Iterator[list[tuple]]]:
+    """The number of blocks of items, and the blocks, read one at a time."""
+    items = benchmark.where("text is not null").select("item_id", "text")
+    blocks = -(-(items.agg(F.sum(F.length("text"))).first()[0] or 0) // BLOCK_CHARS)
+    if blocks <= 1:
+        return blocks, iter([[(r[0], r[1]) for r in items.collect()]] * blocks)
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
+    dealt = stored(dealt.repartitionByRange(blocks, "block").sortWithinPartitions("block"))  # so that a block's rows are read alone
+    return blocks, ([(r[0], r[1]) for r in dealt.where(F.col("block") == k).collect()] for k in range(blocks))
+
+
+def found_in(docs: DataFrame, key: list[str], block: list[tuple], edits: float, item_type: str) -> DataFrame:
+    """The key columns with item_id, start, end, edits of each finding of the block's items in the texts."""
+    shared = docs.sparkSession.sparkContext.broadcast(block)
+    schema = docs.select(*key).schema.add("item_id", item_type).add("start", "integer").add("end", "integer").add("edits", "integer")
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = Items(shared.value, edits)
+        for b in batches:
+            rows, at = [], 0
+            for run in text_groups([t or "" for t in b.column(len(key)).to_pylist()], RUN_CHARS):
+                rows += [(at + t, items.ids[k], s, x, e) for t, k, s, x, e in leaks_in(items, run)]
+                at += len(run)
+            row = pa.array([r[0] for r in rows], pa.int64())
+            columns = [pa.array([r[1] for r in rows], pa.string() if item_type == "string" else pa.int64()), *(pa.array([r[c] for r in rows], pa.int32()) for c in (2, 3, 4))]
+            yield pa.RecordBatch.from_arrays([*(c.take(row) for c in b.columns[: len(key)]), *columns], schema.fieldNames())
+
+    return docs.select(*key, "text").mapInArrow(scan, schema)
+
+
+def all_found(docs: DataFrame, key: list[str], benchmark: DataFrame, edits: float) -> DataFrame:
+    kind = "string" if benchmark.schema["item_id"].dataType.simpleString() == "string" else "long"
+    blocks, items = item_blocks(benchmark)
+    out = found_in(docs.limit(0), key, [], edits, kind) if not blocks else None
+    for block in items:
+        part = found_in(docs, key, block, edits, kind)
+        part = stored(part) if blocks > 1 else part
+        out = part if out is None else out.union(part)
+    return out
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFrame:
     """doc_id, item_id, start, end, edits of the best place of each item in each document that has it; places are those of the text itself."""
-    spark = docs.sparkSession
-    ids = [docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()]
-    schema = f"doc_id {ids[0]}, item_id {ids[1]}, start int, end int, edits int"
-    out = spark.createDataFrame([], schema)
-    for block in item_blocks(benchmark):
-        shared = spark.sparkContext.broadcast(block)
-
-        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            items = Items(shared.value, edits)
-            for b in batches:
-                rows, at = [], 0
-                for run in text_groups([t or "" for t in b.column(1).to_pylist()], RUN_CHARS):
-                    rows += [(at + t, items.ids[k], s, x, e) for t, k, s, x, e in leaks_in(items, run)]
-                    at += len(run)
-                row = pa.array([r[0] for r in rows], pa.int64())
-                columns = [pa.array([r[c] for r in rows], pa.int64() if c == 1 else pa.int32()) for c in range(1, 5)]
-                yield pa.RecordBatch.from_arrays([b.column(0).take(row), *columns], ["doc_id", "item_id", "start", "end", "edits"])
-
-        out = out.union(docs.select("doc_id", "text").mapInArrow(scan, schema))
-    return out
+    return all_found(docs, ["doc_id"], benchmark, edits)
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFrame:
-    """The rows, all columns, in which no item is found."""
-    names = docs.columns
-    for block in item_blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
-        at = names.index("text")
-
-        def scan(batches: Iterator[pa.RecordBatch], shared=shared, at=at) -> Iterator[pa.RecordBatch]:
-            items = Items(shared.value, edits)
-            for b in batches:
-                keep, first = np.ones(b.num_rows, bool), 0
-                for run in text_groups([t or "" for t in b.column(at).to_pylist()], RUN_CHARS):
-                    for t, *_ in leaks_in(items, run):
-                        keep[first + t] = False
-                    first += len(run)
-                yield b.filter(pa.array(keep))
-
-        docs = docs.mapInArrow(scan, docs.schema)
-    return docs
+    """The rows, all columns, in which no item is found. Beyond one block of items, rows with a finding are told by 128 bits of their text."""
+    blocks, items = item_blocks(benchmark)
+    if blocks > 1:
+        key = "_".join(["key", *docs.columns])  # free whatever the columns are
+        digest = F.concat_ws(":", F.xxhash64("text"), F.xxhash64(F.lit(1), "text"))
+        bad = all_found(docs.select(digest.alias(key), "text"), [key], benchmark, edits).select(key).distinct()
+        return join_salted(docs.withColumn(key, digest), stored(bad), key, "left_anti", ["doc_id"]).select(*docs.columns)
+    at = docs.columns.index("text")
+    shared = docs.sparkSession.sparkContext.broadcast(next(items, []))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Items(shared.value, edits)
+        for b in batches:
+            keep, first = np.ones(b.num_rows, bool), 0
+            for run in text_groups([t or "" for t in b.column(at).to_pylist()], RUN_CHARS):
+                for t, *_ in leaks_in(held, run):
+                    keep[first + t] = False
+                first += len(run)
+            yield b.filter(pa.array(keep))
+
+    return docs.mapInArrow(scan, docs.schema)
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

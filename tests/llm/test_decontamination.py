@@ -73,3 +73,47 @@ def test_cases(spark, monkeypatch):
     kept = D.keep_clean(d, i)
     assert kept.columns == d.columns and {r.doc_id for r in kept.collect()} == {1, 2, 5}
     assert D.find_leaks(d.limit(0), i).count() == 0 and D.find_leaks(d, i.limit(0)).count() == 0 and D.keep_clean(d, i.limit(0)).count() == len(docs)
+
+
+def test_short_items_against_full_alignment():
+    """Items of 1 to 45 characters have the same budget as long ones, down to verbatim search."""
+    rng = random.Random(6)
+    text = lambda n: "".join(rng.choice("abc de") for _ in range(n))
+    items = [(n, ("x" + text(n) + "y")[:n].replace(" ", "z")) for n in range(1, 46)]
+    texts = []
+    for n, t in items:
+        for _ in range(3):
+            c = list(t)
+            for _ in range(rng.randint(0, n // 10 + 1)):
+                c[rng.randrange(len(c))] = rng.choice("qw")
+            texts.append(text(30) + "".join(c) + text(20))
+    got = {(t, items[k][0]): e for t, k, _, _, e in D.leaks_in(D.Items(items, D.EDITS), texts)}
+    want = {}
+    for t, x in enumerate(texts):
+        for n, item in items:
+            e = least_edits(fold(item), fold(x))
+            if e <= int(D.EDITS * n):
+                want[t, n] = e
+    assert got == want and len({n for _, n in want}) > 30
+
+
+def test_grams_of_any_length():
+    codes = np.frombuffer("abcabcabc".encode("utf-32-le"), "<u4")
+    for q in range(1, 10):
+        g = D.grams(codes, q)
+        assert len(g) == 10 - q and len(set(g.tolist())) == min(3, 10 - q)
+    assert len(D.grams(codes, 10)) == 0
+
+
+def test_many_blocks_and_popular_texts(spark, monkeypatch):
+    """Results do not depend on the number of blocks; item ids may be text."""
+    rng = random.Random(7)
+    items = [(f"i{k}", " ".join(str(rng.randint(0, 10**6)) for _ in range(12))) for k in range(40)]
+    docs = [(k, "some words " + (items[k % 40][1] if k % 3 == 0 else str(k)), {"a": k}) for k in range(120)] + [(k, "some words " + items[0][1], None) for k in range(200, 900)]
+    d = spark.createDataFrame(docs, "doc_id long, text string, more map<string,long>")
+    i = spark.createDataFrame(items, "item_id string, text string")
+    one = sorted(map(tuple, D.find_leaks(d, i).collect()))
+    kept = {r.doc_id for r in D.keep_clean(d, i).collect()}
+    monkeypatch.setattr(D, "BLOCK_CHARS", 700)
+    assert sorted(map(tuple, D.find_leaks(d, i).collect())) == one and len(one) == 40 + 700
+    assert {r.doc_id for r in D.keep_clean(d, i).collect()} == kept == {k for k in range(120) if k % 3}
