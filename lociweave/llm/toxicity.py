@@ -32,7 +32,7 @@ SIZES = (3, 4, 5)
 BITS = 21
 SAMPLE_ROWS = 2000
 MIN_DF = 0.004
-MAX_FEATURES = 20_000
+MAX_FEATURES = 2000
 THRESHOLD = 0.7
 RUN_CHARS = 1_000_000
 
@@ -91,7 +91,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def fit_logistic(rows: np.ndarray, cols: np.ndarray, x: np.ndarray, y: np.ndarray, width: int, penalty: float = 1.0, steps: int = 300) -> tuple[float, np.ndarray]:
+def fit_logistic(rows: np.ndarray, cols: np.ndarray, x: np.ndarray, y: np.ndarray, width: int, penalty: float = 1.0, steps: int = 1000) -> tuple[float, np.ndarray]:
     """L2-penalised logistic regression over sparse entries, by accelerated gradient steps."""
     weight = np.where(y > 0, len(y) / (2 * max(1, y.sum())), len(y) / (2 * max(1, len(y) - y.sum())))
     norm = np.bincount(rows, x * x, len(y))
