@@ -20,6 +20,7 @@ columns are ignored. Ties are broken by length, then doc_id, piece and checksum.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -45,6 +46,14 @@ def byte_level() -> dict[int, str]:
     return {c: "".join(char[b] for b in chr(c).encode()) for c in range(0x80, ord(LAST_LETTER) + 1)}
 
 
+#: How the tokeniser normalises and cuts a text; WordEncoder does the same for plain words.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+CUTS = [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+
+
 class WordEncoder(dict):
     """Word to ids, as little-endian 32-bit bytes; a word is encoded when it is first asked for.
 
@@ -56,6 +65,9 @@ class WordEncoder(dict):
 
     def __init__(self, file: str) -> None:
         self.tokenizer = load_tokenizer(file)
+        made = json.loads(self.tokenizer.to_str())
+        if (made["normalizer"] or {}).get("normalizers") != NORMALIZERS or (made["pre_tokenizer"] or {}).get("pretokenizers") != CUTS:
+            raise ValueError(f"{file}: words can only be encoded apart where blanks are dropped and words cut as in word_bpe_49k.json")
         self.model, self.letters = self.tokenizer.model, byte_level()
         self.ends = {c: self.whole(c) for c in ".,"} | {"": b""}
 

@@ -8,7 +8,7 @@ within CONTEXT characters before the match, raise; from SCORE_MIN on they count.
 Email, ip, card and phone are the base kinds and always count once their own rule holds.
 
 Possessive quantifiers and the look-behind before a run keep the matching linear in
-very long texts. The marker U+0001 in a text is read as U+0002, which no pattern knows either.
+very long texts. The marker U+0001 in a text is read as U+0002, which no pattern knows either; redact keeps it.
 
 Input cases: a null text counts as empty; no match: empty spans, the checksum of
 the empty string; repeated rows are judged alike; empty table: empty result; other
@@ -122,17 +122,28 @@ def find_pii(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame) -> DataFrame:
     """The same rows and columns with each confirmed match in text replaced by [KIND], kind by kind; null texts stay."""
-    cut = "_pii_pieces"
+    cut = "_".join(["pieces", *docs.columns])  # free whatever the columns are
+    own = F.col("text")
 
     def rewrite(kind: str) -> Column:
+        name = F.lit(f"[{kind.upper()}]")
+
         def put(piece: Column, i: Column) -> Column:
-            return F.when((i % 2 == 1) & confirmed(kind, piece, F.get(F.col(cut), i - 1)), F.lit(f"[{kind.upper()}]")).otherwise(piece)
+            return F.when((i % 2 == 1) & confirmed(kind, piece, F.get(F.col(cut), i - 1)), name).otherwise(piece)
+
+        def put_marked(acc: Column, piece: Column) -> Column:  # what stays comes from the text itself, which holds the marker
+            n = F.length(piece)
+            stays = F.substring(own, acc["at"] + 1, n)
+            out = F.when(F.when(acc["hit"], confirmed(kind, piece, acc["before"])).otherwise(False), name).otherwise(stays)
+            return F.struct((acc["at"] + n).alias("at"), (~acc["hit"]).alias("hit"), piece.alias("before"), F.array_append(acc["out"], out).alias("out"))
 
-        return F.when(F.size(cut) > 1, F.array_join(F.transform(F.col(cut), put), "")).otherwise(F.col("text"))
+        start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("hit"), F.lit("").alias("before"), F.array().cast("array<string>").alias("out"))
+        marked = F.array_join(F.aggregate(cut, start, put_marked, lambda acc: acc["out"]), "")
+        plain = F.array_join(F.transform(F.col(cut), put), "")
+        return F.when(F.size(cut) > 1, F.when(own.contains(MARK), marked).otherwise(plain)).otherwise(own)
 
-    docs = docs.withColumn("text", F.translate("text", MARK, OTHER))
     for kind in ("email", "iban", "card", "phone", "ip", "ssn", "key", "secret"):
-        docs = docs.withColumn(cut, pieces(kind, F.col("text"))).withColumn("text", rewrite(kind)).drop(cut)
+        docs = docs.withColumn(cut, pieces(kind, F.translate(own, MARK, OTHER))).withColumn("text", rewrite(kind)).drop(cut)
     return docs
 
 

@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pytest
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
@@ -82,3 +83,38 @@ def test_every_letter_of_the_short_way():
 def test_texts_with_capitals_of_distant_small_letters(spark):
     docs = [(0, "\u018fli v\u0259 \u018fhm\u0259d. \u0181ala, \u0186d\u0254 \u0190\u028be"), (1, "\u0191\u0194\u0196 \u2c65\u023a \u023e"), (2, "plain")]
     check(P.pack(spark.createDataFrame([(*d, "x") for d in docs], DOCS), length=4).collect(), docs, 4)
+
+
+def plain_bins(lengths, capacity):
+    left = sorted(range(len(lengths)), key=lambda i: (-lengths[i], i))
+    bins = []
+    while left:
+        held = [left.pop(0)]
+        gap = capacity - lengths[held[0]]
+        while (i := next((i for i in left if lengths[i] <= gap), None)) is not None:
+            left.remove(i)
+            held.append(i)
+            gap -= lengths[i]
+        if gap and len(held) > 1:
+            small = lengths[held[-1]]
+            fits = [(lengths[a] + lengths[b], lengths[a], -x, -y) for x, a in enumerate(left) for y, b in enumerate(left) if x < y and small < lengths[a] + lengths[b] <= small + gap]
+            if fits:
+                _, _, x, y = max(fits)
+                two = [left[-x], left[-y]]
+                left = sorted([i for i in left if i not in two] + [held.pop()], key=lambda i: (-lengths[i], i))
+                held += two
+        bins.append(held)
+    return bins
+
+
+def test_best_two_fit_against_a_plain_version():
+    rng = np.random.default_rng(8)
+    for case in range(40):
+        lengths = rng.integers(1, rng.choice([12, 60]), rng.integers(1, 60)).tolist()
+        sizes = lambda bins: sorted(sorted(lengths[i] for i in b) for b in bins)
+        assert sizes(P.best_two_fit(lengths, 60)) == sizes(plain_bins(lengths, 60)), lengths
+
+
+def test_other_tokenisers_are_refused():
+    with pytest.raises(ValueError):
+        P.WordEncoder("byte_bpe_50k.json")

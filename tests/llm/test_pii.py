@@ -74,3 +74,13 @@ def test_tricky_texts(spark):
     got = {r.doc_id: r.text for r in out.collect()}
     assert got[0] is None and got[1] == "" and got[4].startswith("[CARD]; [CARD], [CARD]. 4041894974608796/") and "[IBAN] and GB82WEST12345698765433" in got[8]
     assert P.find_pii(df.limit(0)).count() == 0
+
+
+def test_redact_keeps_what_is_not_personal(spark):
+    texts = ["a\x01b", "x\x01y me@x.org \x01\x02 10.0.0.1\x01.", "\x01", None, "me@x.org"]
+    df = spark.createDataFrame([(k, t, "mine") for k, t in enumerate(texts)], "doc_id long, text string, _pii_pieces string")
+    out = P.redact(df)
+    assert out.columns == df.columns
+    got = sorted(out.collect())
+    assert [r.text for r in got] == ["a\x01b", "x\x01y [EMAIL] \x01\x02 [IP]\x01.", "\x01", None, "[EMAIL]"]
+    assert {r._pii_pieces for r in got} == {"mine"}

@@ -60,3 +60,22 @@ def test_run(spark, sf_dir):
     rows = C.run(spark, sf_dir).collect()
     assert rows and {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"} <= set(rows[0].asDict())
     assert zlib.crc32(b"") == 0 and simhash.wide_radius(1.0) == 0
+
+
+def test_stages_with_nulls_repeats_other_columns_and_without_rows(spark, sf_dir):
+    """Every stage keeps the columns, whatever their names, and takes nulls, empty and repeated rows, long texts and empty tables."""
+    kind = "doc_id long, text string, score string, _doc string, fp map<string,long>"
+    long = "word after word " * 40_000
+    rows = [(1, None, "a", None, None), (2, "", None, "b", {"x": 1}), (None, "no id", None, None, None), (None, "no id", None, None, None), (3, "twice the same text", None, None, None), (3, "twice the same text", None, None, None), (4, "twice the same text", "s", "d", None), (5, long, None, None, None), (6, "write to me@x.org", None, None, None)]
+    docs = spark.createDataFrame(rows, kind)
+    kept = {"toxicity": 9, "simhash_near_dedup": 7, "decontamination": 9, "pii": 9}
+    for name, stage in C.STAGES:
+        out = stage(spark, docs, sf_dir)
+        if name != "best_fit_packing":
+            assert out.columns == docs.columns, name
+            got = out.collect()
+            assert len(got) == kept[name], name
+            assert {r.doc_id: r.fp for r in got}.get(2, {"x": 1}) == {"x": 1}
+        else:
+            check(out.collect(), [r[:2] for r in rows], 2048)
+        assert stage(spark, docs.limit(0), sf_dir).count() == 0, name

@@ -1,6 +1,7 @@
 import zlib
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lociweave.llm import sharding as S
@@ -44,3 +45,22 @@ def test_equal_rows_are_given_back_in_slices(spark, monkeypatch):
     monkeypatch.setattr(S, "REPEATS", 7)
     docs = [(None, None)] * 400 + [(5, "same")] * 400 + [(5, str(k)) for k in range(400)]
     check(S.shard(spark.createDataFrame([(*d, "s", "c") for d in docs], DOCS)).collect(), docs)
+
+
+def test_against_a_plain_ring(spark):
+    """Cell by cell clockwise, each row walks from its home to the first shard with room."""
+    docs = spark.range(900).selectExpr("id % 300 as doc_id", "if(id % 7 = 0, null, string(id % 450)) as text")
+    text = F.coalesce("text", F.lit(""))
+    keyed = docs.select("doc_id", F.octet_length(text).alias("size"), F.crc32(text.cast("binary")).alias("crc"))
+    rows = keyed.withColumn("key", F.xxhash64("doc_id", "crc")).collect()
+    cell = lambda r: (r.key % (1 << 64)) >> (64 - S.CELL_BITS)
+    nodes, shards = S.ring(7), 7
+    room = [len(rows) // shards + (s < len(rows) % shards) for s in range(shards)]
+    filled, want = [0] * shards, []
+    for r in sorted(rows, key=lambda r: (cell(r), r.key, r.doc_id, r.crc, r.size)):
+        k = next((k for k, (c, _) in enumerate(nodes) if c >= cell(r)), 0)
+        while filled[s := nodes[k % len(nodes)][1]] == room[s]:
+            k += 1
+        want.append((r.doc_id, r.crc, s, filled[s]))
+        filled[s] += 1
+    assert sorted((r.doc_id, r.text_crc32, r.shard, r.slot) for r in S.shard(docs, 7).collect()) == sorted(want)
