@@ -43,7 +43,7 @@ from .common import components, drop_stored, join_counted, join_salted, stored,
 PARTS = 4
 BLOCK = 1024
 HOT = 16_384
-SHARE = 256  # a chunk of a group holds one in so many rows, but BLOCK / 2 at least and HOT at most
+SHARE = 256  # a chunk of a group holds one in so many rows, but BLOCK / 4 at least and HOT at most
 FORESTS = 2
 WIDE_WORDS = 16  # 1024 bits
 BANDS, BAND_ROWS = 10, 3
@@ -222,7 +222,7 @@ def block_links(rows: DataFrame, radius: int, total: int, pairs: bool = False) -
     """Edges (a, b) of spanning forests of the links within groups of (key, node, fp), `total` nodes; pairs: edges are the nearest pairs themselves."""
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     rows = rows.join(sizes, "key")
-    chunks = F.ceil(F.col("n") / min(HOT, max(BLOCK // 2, total // SHARE))).cast("int")
+    chunks = F.ceil(F.col("n") / min(HOT, max(BLOCK // 4, total // SHARE))).cast("int")
     rows = rows.withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     rows = rows.withColumn("other", other).withColumn("one", F.least("own", "other")).withColumn("two", F.greatest("own", "other"))
