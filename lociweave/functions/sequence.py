@@ -148,7 +148,7 @@ def homology_score(pid: Column, share: Column, prevalence: Column, hits: Column,
 
 
 def buffered_length(n: Column) -> Column:
-    """How much sequence to take for an alignment of n characters."""
+    """How much sequence to take for an alignment of n characters. The numbers are fixed values."""
     longer = F.when(n < 50, 2 * n + 1).when(n < 100, 1.5 * n + 26).when(n < 1000, 1.2 * n + 56).otherwise(1.1 * n + 156)
     return F.floor(longer).cast("long")
 
@@ -185,9 +185,9 @@ def intron_phases(lengths: Column) -> Column:
 
 
 def kmer_counts(sequences: DataFrame, k: int) -> DataFrame:
-    """genome, kmer (canonical), n."""
-    k_ = sequences.select("genome", F.explode(kmers(F.col("seq"), k)).alias("kmer")).select("genome", canonical(F.col("kmer")).alias("kmer"))
-    return k_.groupBy("genome", "kmer").agg(F.count(F.lit(1)).alias("n"))
+    """genome, kmer (canonical), n. Occurrences are counted first, so that only distinct k-mers are turned."""
+    raw = sequences.select("genome", F.explode(kmers(F.col("seq"), k)).alias("kmer")).groupBy("genome", "kmer").agg(F.count(F.lit(1)).alias("n"))
+    return raw.groupBy("genome", canonical(F.col("kmer")).alias("kmer")).agg(F.sum("n").alias("n"))
 
 
 def anchor_kmers(sequences: DataFrame, k: int, genomes: int) -> DataFrame:

@@ -1,26 +1,34 @@
 """Graphs over clusters and genomes: components, constrained merging, cliques, chains, rule fixpoints.
 
 Loops run on the driver over DataFrames; each round is written to the shared
-folder (checkpoint) so that lineage stays short and survives lost executors.
+folder so that lineage stays short and survives lost executors.
 """
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """checkpoint() into the folder that the session names; a local one only where none is named, as in tests."""
+    """Write to a table in the shared folder and read it again: evaluated once, lineage cut, safe from lost executors.
+
+    The session names the folder in spark.checkpoint.dir; a local one is made only in local mode where none is named, as in tests.
+    """
     spark: SparkSession = df.sparkSession
-    sc = spark.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="shared-"))
-    return df.checkpoint()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="shared-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    path = f"{folder.rstrip('/')}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -34,41 +42,47 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         low = e.groupBy("a").agg(F.min("b").alias("m"))
         e = e.join(low, "a").select(F.explode(F.array(F.struct("a", "m"), F.struct(F.col("b").alias("a"), "m"))).alias("x")).select(F.col("x.a").alias("a"), F.col("x.m").alias("b")).where("a <> b").distinct()
         e = settle(e)
-        now = e.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("long"))).first()
+        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if now == before:
             return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
         before = now
     raise RuntimeError("components did not settle")
 
 
-def greedy_clusters(edges: DataFrame) -> DataFrame:
-    """node, cluster: merge along edges (a, b, ga, gb, score) by falling score unless a genome would repeat.
+def greedy_clusters(edges: DataFrame, max_rounds: int = 500) -> DataFrame:
+    """node, cluster: merge along edges (a, b, ga, gb, score) by falling score unless a genome would repeat; cluster is the smallest node.
 
-    Merges never leave a connected component, so components are exact groups of the ordered fold. cluster is the smallest node.
+    Rounds of joins over clusters in place of one ordered fold. Of the edges between two clusters the highest ranked (score, then
+    a, b) stands for all; clusters with a genome in common never merge, so their edges go. What is left and ranks first at both of its
+    clusters is met by no earlier edge in the fold, so all such edges merge at once. A task holds clusters, whose size the
+    genomes bound, never a component.
     """
-    ids = components(edges.select("a", "b"))
-    e = edges.join(ids.select(F.col("node").alias("a"), "component"), "a", "left").withColumn("component", F.coalesce("component", "a"))
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["score", "a", "b"], ascending=[False, True, True])
-        of: dict = {}
-        groups: dict = {}
-        for a, b, ga, gb in zip(pdf["a"], pdf["b"], pdf["ga"], pdf["gb"], strict=True):
-            for n, g in ((a, ga), (b, gb)):
-                if n not in of:
-                    of[n], groups[n] = n, ({n}, {g})
-            x, y = of[a], of[b]
-            if x == y or groups[x][1] & groups[y][1]:
-                continue
-            x, y = min(x, y), max(x, y)
-            for n in groups[y][0]:
-                of[n] = x
-            members, genomes = groups.pop(y)
-            groups[x][0].update(members)
-            groups[x][1].update(genomes)
-        return pd.DataFrame({"node": list(of), "cluster": list(of.values())})
-
-    return e.groupBy("component").applyInPandas(merge, "node long, cluster long")
+    ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("ga").alias("genome")), F.struct(F.col("b").alias("node"), F.col("gb").alias("genome")))).alias("x")).select("x.*")
+    genomes = settle(ends.distinct().groupBy(F.col("node").alias("c")).agg(F.collect_set("genome").alias("g")))
+    nodes = genomes.select(F.col("c").alias("node"))
+    rank = F.struct("score", (-F.least("a", "b")).alias("low"), (-F.greatest("a", "b")).alias("high"))
+    live = settle(edges.where("a <> b").groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).agg(F.max(rank).alias("rank")))
+    merged = None
+    side = lambda c: genomes.select(F.col("c").alias(c), F.col("g").alias(f"g{c}"))
+    for _ in range(max_rounds):
+        live = settle(live.join(side("x"), "x").join(side("y"), "y").where(~F.arrays_overlap("gx", "gy")).select("x", "y", "rank"))
+        if live.isEmpty():
+            break
+        first = live.select(F.explode(F.array("x", "y")).alias("c"), "rank").groupBy("c").agg(F.max("rank").alias("rank"))
+        one, two = (first.select(F.col("c").alias(c), "rank") for c in ("x", "y"))
+        into = settle(live.join(one, ["x", "rank"], "left_semi").join(two, ["y", "rank"], "left_semi").select("x", "y"))
+        merged = into if merged is None else merged.union(into)
+        goes = into.select(F.col("y").alias("c"), F.col("x").alias("to"))
+        for c in ("x", "y"):
+            live = live.join(goes.select(F.col("c").alias(c), "to"), c, "left").withColumn(c, F.coalesce("to", c)).drop("to")
+        live = live.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).agg(F.max("rank").alias("rank")).where("x <> y")
+        genomes = settle(genomes.join(goes, "c", "left").groupBy(F.coalesce("to", "c").alias("c")).agg(F.array_distinct(F.flatten(F.collect_list("g"))).alias("g")))
+    else:
+        raise RuntimeError(f"clusters are left to merge after {max_rounds} rounds")
+    if merged is None:
+        return nodes.select("node", F.col("node").alias("cluster"))
+    ids = components(merged.toDF("a", "b"))
+    return nodes.join(ids, "node", "left").select("node", F.coalesce("component", "node").alias("cluster"))
 
 
 def top_cliques(best: DataFrame) -> DataFrame:
@@ -81,28 +95,41 @@ def top_cliques(best: DataFrame) -> DataFrame:
     return ok.select("qid", F.size("members").alias("size"))
 
 
-def chains(edges: DataFrame) -> DataFrame:
-    """chain, place, node: paths of mutual edges (a, b) in which each node has at most two; a cycle begins at its smallest node.
+def chains(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+    """chain, place, node: paths of mutual edges (a, b) in which each node has at most two, from the smaller end; a cycle begins at its smallest node and goes on to the smaller neighbour.
 
-    Nodes of one chain are walked together; the longest chain bounds a task, not the graph.
+    Each edge is two arcs; an arc knows an arc further along and how far that is, and every round doubles the reach
+    by a join, so a chain of n nodes takes log n rounds and no task holds one.
     """
-    ids = components(edges.select("a", "b"))
-    e = edges.select("a", "b").join(ids.select(F.col("node").alias("a"), "component"), "a", "left").withColumn("component", F.coalesce("component", "a"))
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        near: dict = {}
-        for a, b in zip(pdf["a"], pdf["b"], strict=True):
-            near.setdefault(a, set()).add(b)
-            near.setdefault(b, set()).add(a)
-        ends = sorted(n for n in near if len(near[n] - {n}) < 2)
-        at, path, seen = (ends or sorted(near))[0], [], set()
-        while at is not None:
-            path.append(at)
-            seen.add(at)
-            at = min((n for n in near[at] if n not in seen), default=None)
-        return pd.DataFrame({"chain": pdf["component"].iloc[0], "place": range(1, len(path) + 1), "node": path})
-
-    return e.groupBy("component").applyInPandas(walk, "chain long, place int, node long")
+    e = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    ids = components(e)
+    ids = settle(ids.union(ids.select("component", "component").distinct()))
+    both = e.union(e.select("b", "a")).toDF("u", "v")
+    near = both.groupBy("u").agg(F.min("v").alias("v1"), F.max("v").alias("v2"), F.count(F.lit(1)).alias("n"))
+    of = near.join(ids.withColumnRenamed("node", "u"), "u")
+    circles = of.groupBy("component").agg(F.min("n").alias("least")).where("least = 2").select("component")
+    cut = of.where("u = component").join(circles, "component", "left_semi").select(F.col("u").alias("a"), F.col("v2").alias("b"))  # from its smallest node to the larger neighbour
+    e = settle(e.join(cut, ["a", "b"], "left_anti"))
+    both = settle(e.union(e.select("b", "a")).toDF("u", "v"))
+    on = both.select(F.col("u").alias("v"), F.col("v").alias("w"))
+    arcs = both.join(on, "v").where("u <> w").select("u", "v", F.col("v").alias("p"), F.col("w").alias("q"), F.lit(1).cast("long").alias("d"))
+    ends = both.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n = 1").select("u")
+    arcs = settle(arcs)
+    resolved = settle(both.join(ends.select(F.col("u").alias("v")), "v", "left_semi").select("u", "v", F.col("v").alias("end"), F.lit(1).cast("long").alias("d")))
+    for _ in range(max_rounds):
+        if arcs.isEmpty():
+            break
+        there = resolved.toDF("p", "q", "end", "d2")
+        new = settle(arcs.join(there, ["p", "q"]).select("u", "v", "end", (F.col("d") + F.col("d2")).alias("d")))
+        reach = arcs.toDF("p", "q", "p2", "q2", "d2")
+        left = arcs.join(new, ["u", "v"], "left_anti").join(reach, ["p", "q"])
+        arcs = settle(left.select("u", "v", F.col("p2").alias("p"), F.col("q2").alias("q"), (F.col("d") + F.col("d2")).alias("d")))
+        resolved = settle(resolved.union(new))
+    else:
+        raise RuntimeError("chains did not settle")
+    found = resolved.select("u", "end", "d").union(ends.select("u", F.col("u").alias("end"), F.lit(0).cast("long").alias("d")))
+    start = found.groupBy("u").agg(F.min(F.struct("end", "d")).alias("m"))
+    return start.join(ids.withColumnRenamed("node", "u"), "u").select(F.col("component").alias("chain"), (F.col("m.d") + 1).cast("int").alias("place"), F.col("u").alias("node"))
 
 
 def greedy_representatives(pairs: DataFrame, order: DataFrame) -> DataFrame:
@@ -172,12 +199,12 @@ def linkage_medoids(pairs: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def until_stable(start: DataFrame, step: Callable[[DataFrame], DataFrame], max_rounds: int = 100) -> DataFrame:
-    """Apply the step until its rows are those of the round before, or max_rounds is reached; each round is checkpointed."""
+    """Apply the step until its rows are those of the round before; each round is checkpointed."""
     now = settle(start)
     for _ in range(max_rounds):
         new = settle(step(now))
         same = now.exceptAll(new).union(new.exceptAll(now)).limit(1).count() == 0
         now = new
         if same:
-            break
-    return now
+            return now
+    raise RuntimeError(f"rows still change after {max_rounds} rounds")

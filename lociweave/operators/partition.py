@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import settle
@@ -40,30 +39,27 @@ def median_partition(nodes: DataFrame, distances: DataFrame, redundant: float, m
     raise RuntimeError(f"groups are left after {max_rounds} rounds")
 
 
+#: Fixed value: a target rank is rounded down after this is added.
+ROUNDING = 0.499
+
+
 def spaced_representatives(distances: DataFrame, quota: int, gap: float) -> DataFrame:
     """type, node, distance: of each type's nodes, farther than `gap` from it, about `quota` spread evenly along the sorted distances.
 
-    Aims are the ends of equal slices of the list; where the node there is within `gap` of the one picked before,
-    the next nodes are tried. distances: type, node, distance. One type's nodes are a genome list and fit a task.
+    The i-th of n nodes by distance is taken if it has come to the target rank, the end of one of `quota` equal slices (the last node
+    stands for targets beyond it), and lies more than `gap` beyond the one taken before; the next target is the first after it.
+    distances: type, node, distance. A fold over each type's sorted array, a genome list, in the JVM.
     """
+    lists = distances.where(F.col("distance") > gap).groupBy("type").agg(F.array_sort(F.collect_list(F.struct(F.col("distance").cast("double").alias("distance"), "node"))).alias("m"))
+    n = F.size("m")
+    target = lambda s: F.least(F.floor(s * n / quota + ROUNDING) - 1, n - 1).cast("long")
+    numbered = F.transform("m", lambda x, i: F.struct(i.cast("long").alias("i"), x["distance"].alias("distance"), x["node"].alias("node")))
+    begin = F.struct(F.greatest(target(F.lit(1)), F.lit(0).cast("long")).alias("target"), F.lit(0.0).alias("last"), F.slice(numbered, 1, 0).alias("took"))
 
-    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf[pdf["distance"] > gap].sort_values(["distance", "node"])
-        values, n = pdf["distance"].to_numpy(), len(pdf)
-        aim = lambda step: int(step * n / quota + 0.499) - 1
-        picked, at, step, last = [], max(0, aim(1)), 1, 0.0
-        while at < n:
-            if values[at] - last <= gap:
-                at += 1
-                continue
-            picked.append(at)
-            last = values[at]
-            before = at
-            while at <= before:
-                step += 1
-                at = aim(step)
-            at = at if at < n or before == n - 1 else n - 1
-        return pdf.iloc[picked][["type", "node", "distance"]]
+    def walk(state: Column, x: Column) -> Column:
+        takes = (x["i"] >= state["target"]) & (x["distance"] - state["last"] > gap)
+        after = target(F.ceil((x["i"] + 2 - ROUNDING) * quota / n))
+        taken = F.struct(after.alias("target"), x["distance"].alias("last"), F.array_append(state["took"], x).alias("took"))
+        return F.when(takes, taken).otherwise(state)
 
-    kinds = {f.name: f.dataType.simpleString() for f in distances.schema}
-    return distances.groupBy("type").applyInPandas(pick, f"type {kinds['type']}, node {kinds['node']}, distance double")
+    return lists.select("type", F.explode(F.aggregate(numbered, begin, walk, lambda s: s["took"])).alias("x")).select("type", "x.node", "x.distance")

@@ -47,11 +47,16 @@ def overlap_table(intervals: DataFrame, species: list, width: int, least: float
     """name and, for each other species, the name of its interval that overlaps best and is not used yet.
 
     Intervals of the first species are served in order of place; an interval is used once. intervals: contig, start, stop, name, species.
-    Candidates come from the binned overlap join; the order-dependent choice runs per contig over candidates only.
+    Candidates come from the binned overlap join; the order-dependent choice runs over stretches of them that no
+    candidate bridges (a window cuts contigs at such gaps), so no task holds a whole contig.
     """
     one, rest = intervals.where(F.col("species") == species[0]), intervals.where(F.col("species") != species[0])
     share = F.expr("(least(l_stop, r_stop) - greatest(l_start, r_start) + 1) / greatest(l_stop - l_start + 1, r_stop - r_start + 1)")
     c = overlap_join(one, rest, width).withColumn("share", F.round(share, 9)).where(F.col("share") >= least)
+    w = Window.partitionBy("contig").orderBy("_from", "_to").rowsBetween(Window.unboundedPreceding, -1)
+    c = c.withColumns({"_from": F.least("l_start", "r_start"), "_to": F.greatest("l_stop", "r_stop")})
+    c = c.withColumn("_new", F.coalesce((F.col("_from") > F.max("_to").over(w)).cast("int"), F.lit(1)))
+    c = c.withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_from", "_to", "_new")
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
         used: set = set()
@@ -66,7 +71,7 @@ def overlap_table(intervals: DataFrame, species: list, width: int, least: float
         table = pd.DataFrame(out, columns=["name", *map(str, species[1:])])
         return table.astype({str(s): "Int64" for s in species[1:]})
 
-    return c.groupBy("contig").applyInPandas(choose, "name long, " + ", ".join(f"`{s}` long" for s in species[1:]))
+    return c.groupBy("contig", "_run").applyInPandas(choose, "name long, " + ", ".join(f"`{s}` long" for s in species[1:]))
 
 
 def smoothed_plateaus(rows: DataFrame, tolerance: float = 0.1) -> DataFrame:

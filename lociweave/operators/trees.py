@@ -61,18 +61,20 @@ def newick_table(texts: DataFrame) -> DataFrame:
     return texts.mapInPandas(parse, "tree long, node long, parent long, name string, length double")
 
 
-def ancestors(edges: DataFrame, max_depth: int = 200) -> DataFrame:
-    """node, ancestor, steps, distance: each node's line to the root, itself with 0, by joins of doubling reach."""
+def ancestors(edges: DataFrame) -> DataFrame:
+    """node, ancestor, steps, distance: each node's line to the root, itself with 0, by joins of doubling reach, as deep as the tree is."""
     reach = settle(edges.select("node", F.col("parent").alias("ancestor"), F.lit(1).cast("long").alias("steps"), F.col("length").alias("distance")).where("ancestor is not null"))
     step = reach
     every = reach
-    for _ in range(max_depth.bit_length()):
+    for _ in range(64):
         up = step.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("further"), F.col("steps").alias("s2"), F.col("distance").alias("d2"))
         longer = every.join(up, "ancestor").select("node", F.col("further").alias("ancestor"), (F.col("steps") + F.col("s2")).alias("steps"), (F.col("distance") + F.col("d2")).alias("distance"))
         every = settle(every.union(longer).dropDuplicates(["node", "ancestor"]))
         step = settle(step.select("node", "ancestor", "steps", "distance").join(up, "ancestor").select("node", F.col("further").alias("ancestor"), (F.col("steps") + F.col("s2")).alias("steps"), (F.col("distance") + F.col("d2")).alias("distance")))
-        if not step.limit(1).count():
+        if step.isEmpty():
             break
+    else:
+        raise RuntimeError("the tree has a circle")
     own = edges.select("node", F.col("node").alias("ancestor"), F.lit(0).cast("long").alias("steps"), F.lit(0.0).alias("distance"))
     return own.union(every)
 

@@ -254,3 +254,68 @@ def test_spaced_representatives(spark):
     rows = D.spaced_representatives(spark.createDataFrame(even + close, "type string, node long, distance double"), 5, 0.05).collect()
     assert sorted(r.node for r in rows if r.type == "a") == [2, 4, 6, 8, 10]
     assert sorted(r.node for r in rows if r.type == "b") == [1, 99]
+
+
+def test_clusters_and_chains_of_every_shape(spark):
+    """Merging by rounds against the ordered fold, pointers of doubling reach against a walk."""
+    rng = random.Random(11)
+    edges = []
+    for _ in range(120):
+        a, b = rng.sample(range(45), 2)
+        edges.append((min(a, b), max(a, b), min(a, b) % 9, max(a, b) % 9, rng.randint(1, 30) / 30))
+    edges = list({e[:2]: e for e in edges}.values())
+    of = {n: n for e in edges for n in e[:2]}
+    sets = {n: {n % 9} for n in of}
+    for a, b, *_ in sorted(edges, key=lambda e: (-e[4], e[0], e[1])):
+        x, y = sorted((of[a], of[b]))
+        if x != y and not sets[x] & sets[y]:
+            sets[x] |= sets.pop(y)
+            of = {n: x if c == y else c for n, c in of.items()}
+    got = {r.node: r.cluster for r in G.greedy_clusters(spark.createDataFrame(edges, "a long, b long, ga long, gb long, score double")).collect()}
+    assert got == of
+    paths, walks = [], set()
+    at = 1000
+    for n in (2, 3, 5, 19, 4, 9):
+        nodes = list(range(at, at + n))
+        rng.shuffle(nodes)
+        circle = n in (4, 9)
+        paths += list(zip(nodes, nodes[1:])) + ([(nodes[-1], nodes[0])] if circle else [])
+        if circle:
+            k = nodes.index(at)
+            nodes = nodes[k:] + nodes[:k]
+            nodes = nodes if nodes[1] < nodes[-1] else [nodes[0], *nodes[:0:-1]]
+        elif nodes[0] > nodes[-1]:
+            nodes.reverse()
+        walks |= {(at, k + 1, v) for k, v in enumerate(nodes)}
+        at += 100
+    assert {tuple(r) for r in G.chains(spark.createDataFrame(paths, "a long, b long")).collect()} == walks
+
+
+def test_deep_tree(spark):
+    t = spark.range(1, 301).selectExpr("id as node", "if(id > 1, id - 1, null) as parent", "1.0D as length")
+    assert R.ancestors(t).count() == 300 * 301 // 2
+
+
+def test_unsettled_rounds_are_an_error(spark):
+    import pytest
+
+    with pytest.raises(RuntimeError):
+        G.until_stable(spark.range(1), lambda d: d.selectExpr("id + 1 as id"), 3)
+
+
+def test_spaced_representatives_against_a_walk(spark):
+    rng = random.Random(3)
+    rows = [(t, k, round(rng.random() ** 2, 3)) for t in "abcde" for k in range(rng.randint(1, 60))]
+    for quota, gap in ((5, 0.05), (9, 0.01), (40, 0.002)):
+        want = set()
+        for t in "abcde":
+            v = sorted((d, k) for x, k, d in rows if x == t and d > gap)
+            last, s = 0.0, 1
+            for i, (d, k) in enumerate(v):
+                if i >= min(max(int(s * len(v) / quota + 0.499) - 1, 0), len(v) - 1) and d - last > gap:
+                    want.add((t, k, d))
+                    last = d
+                    while int(s * len(v) / quota + 0.499) - 1 <= i:
+                        s += 1
+        got = D.spaced_representatives(spark.createDataFrame(rows, "type string, node long, distance double"), quota, gap)
+        assert {tuple(r) for r in got.collect()} == want
