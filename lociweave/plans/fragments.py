@@ -230,9 +230,9 @@ def x31(spark, sf_dir):
 
 @query("x33_introduced_stops")
 def x33(spark, sf_dir):
-    """Stop codons where the longest sequence of the genome has open frames in its first 30 letters."""
+    """Stop codons where the longest sequence of the genome has open frames."""
     s = sequences(spark, sf_dir).where(F.length("seq") > 0)
-    model = s.groupBy("genome").agg(F.max_by(F.substring("seq", 1, 30), F.struct(F.length("seq"), -F.col("id"))).alias("model"))
+    model = s.groupBy("genome").agg(F.max_by("seq", F.struct(F.length("seq"), -F.col("id"))).alias("model"))
     opens = model.select("genome", S.open_frames(F.col("model")).alias("o"))
     found = s.join(F.broadcast(opens), "genome").select("id", F.explode(S.introduced_stops(F.col("seq"), F.col("o"))).alias("f"))
     return found.select("id", "f.frame", "f.offset")

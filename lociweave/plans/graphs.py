@@ -10,16 +10,17 @@ from .hits import BEST, ratios
 from .registry import query
 from .standin import MEMBERS, members, table
 
-LINKS = "links AS (SELECT DISTINCT o_custkey AS a, 10000000 + l_partkey AS b FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity >= 49 AND l_discount >= 0.09)"
+LINKS = "links AS (SELECT DISTINCT o_custkey AS a, 10000000 + l_partkey AS b FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"
 
 
 def links(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").where("l_quantity >= 49 and l_discount >= 0.09").select("l_orderkey", "l_partkey")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("o_custkey").alias("a"), (F.lit(10000000) + F.col("l_partkey")).alias("b")).distinct()
 
 
-CC = f"""WITH RECURSIVE {LINKS}, e AS (SELECT a, b FROM links UNION SELECT b, a FROM links), r AS (SELECT a AS node, a AS low FROM e UNION SELECT e.b, r.low FROM r JOIN e ON e.a = r.node WHERE r.low < e.b), c AS (SELECT node, min(low) AS component FROM r GROUP BY node)"""
+CC = f"""WITH RECURSIVE {LINKS}, e AS (SELECT a, b FROM links UNION SELECT b, a FROM links), c(node, component) USING KEY (node) AS (SELECT DISTINCT a, a FROM e
+ UNION (SELECT e.b, min(c.component) FROM c JOIN e ON e.a = c.node JOIN recurring.c AS r ON r.node = e.b WHERE c.component < r.component GROUP BY e.b))"""
 
 
 @query("g01_components", f"{CC} SELECT node, component FROM c WHERE node <> component")
@@ -66,14 +67,14 @@ def t05(spark, sf_dir):
     return G.linkage_medoids(p.withColumn("distance", (F.col("a") + F.col("b")) % 97 / F.lit(97.0)), groups)
 
 
-@query("g14_property_states", """WITH RECURSIVE steps AS (SELECT DISTINCT p_size % 30 AS prop, CAST(substr(p_brand, 7) AS INTEGER) % 7 AS step FROM part), found AS (SELECT DISTINCT p_partkey % 37 AS query FROM part WHERE p_partkey % 5 = 0 AND p_partkey < 60),
+@query("g14_property_states", """WITH RECURSIVE steps AS (SELECT DISTINCT p_size % 30 AS prop, CAST(substr(p_brand, 7) AS INTEGER) % 7 AS step FROM part), found AS (SELECT DISTINCT length(p_name) % 37 AS query FROM part),
 hit AS (SELECT DISTINCT prop, step FROM steps WHERE (prop * 7 + step) % 37 IN (SELECT query FROM found) AND step % 2 = 0), ask AS (SELECT prop, step, prop + step AS needs FROM steps WHERE step % 2 = 1 AND prop + step < 30),
 ok(prop, step) AS (SELECT prop, step FROM hit UNION SELECT a.prop, a.step FROM ask a JOIN ok o ON o.prop = a.needs), n AS (SELECT s.prop, count(o.step) AS n, count(*) FILTER (s.step < 2 AND o.step IS NULL) AS lacking FROM steps s LEFT JOIN (SELECT DISTINCT prop, step FROM ok) o ON s.prop = o.prop AND s.step = o.step GROUP BY 1)
 SELECT prop, CASE WHEN n = 0 THEN 'NO' WHEN lacking > 0 THEN 'PARTIAL' ELSE 'YES' END AS state FROM n""")
 def g14(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     s = p.select((F.col("p_size") % 30).alias("prop"), (F.expr("cast(substr(p_brand, 7) as int)") % 7).alias("step")).distinct().withColumn("required", F.col("step") < 2)
-    found = p.where("p_partkey % 5 = 0 and p_partkey < 60").select((F.col("p_partkey") % 37).alias("query")).distinct()
+    found = p.select((F.length("p_name") % 37).cast("long").alias("query")).distinct()
     hit = s.where("step % 2 = 0").select("prop", "step", F.lit("hit").alias("kind"), ((F.col("prop") * 7 + F.col("step")) % 37).cast("long").alias("query"))
     ask = s.where("step % 2 = 1 and prop + step < 30").select("prop", "step", F.lit("prop").alias("kind"), (F.col("prop") + F.col("step")).cast("long").alias("query"))
     return G.property_states(s, hit.union(ask), found)

@@ -41,13 +41,13 @@ def u07(spark, sf_dir):
     return V.annotation_difference(side(spark, sf_dir, "A"), side(spark, sf_dir, "R"), 200)
 
 
-UNION = f"""{WITH}, s AS (SELECT contig, start, stop, max(stop) OVER (PARTITION BY contig ORDER BY start, stop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM intervals WHERE kind = 'R'),
+UNION = f"""{WITH}, s AS (SELECT contig, start, stop, max(stop) OVER (PARTITION BY contig ORDER BY start, stop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM intervals),
 r AS (SELECT *, sum(CASE WHEN before IS NULL OR start > before + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY contig ORDER BY start, stop ROWS UNBOUNDED PRECEDING) AS run FROM s), u AS (SELECT contig, run, min(start) AS start, max(stop) AS stop, count(*) AS n FROM r GROUP BY ALL)"""
 
 
 @query("w08_interval_union", f"{UNION} SELECT contig, start, stop, n FROM u")
 def w08(spark, sf_dir):
-    return V.union(intervals(spark, sf_dir).where("kind = 'R'"))
+    return V.union(intervals(spark, sf_dir))
 
 
 @query("a28_percent_covered", f"{UNION}, n AS (SELECT contig, sum(stop - start + 1) AS n FROM u GROUP BY 1) SELECT c_custkey AS contig, round(coalesce(n, 0) * 100 / 3000, 9) AS percent FROM customer LEFT JOIN n ON c_custkey = contig")
@@ -55,7 +55,7 @@ def a28(spark, sf_dir):
     from .standin import table
 
     lengths = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("contig"), F.lit(3000).alias("length"))
-    return V.covered(intervals(spark, sf_dir).where("kind = 'R'"), lengths).withColumn("percent", F.round("percent", 9))
+    return V.covered(intervals(spark, sf_dir), lengths).withColumn("percent", F.round("percent", 9))
 
 
 @query("f14_drop_contained", f"{WITH}, d AS (SELECT contig, start, stop, min(name) AS name FROM intervals GROUP BY ALL) SELECT * FROM d x WHERE NOT EXISTS (SELECT 1 FROM d y WHERE y.contig = x.contig AND y.start <= x.start AND y.stop >= x.stop AND y.name <> x.name)")

@@ -185,9 +185,9 @@ def a29(spark, sf_dir):
     return table(spark, sf_dir, "events").groupBy((F.col("user_id") % 10).alias("genome"), F.col("event_type").alias("type")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("a30_having_counts", "SELECT l_partkey AS cluster FROM lineitem GROUP BY l_partkey HAVING count(DISTINCT l_suppkey) = 4")
+@query("a30_having_counts", "SELECT l_partkey AS cluster FROM lineitem GROUP BY l_partkey HAVING count(DISTINCT l_linenumber) = 7")
 def a30(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("cluster")).agg(F.countDistinct("l_suppkey").alias("n")).where("n = 4").select("cluster")
+    return table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("cluster")).agg(F.countDistinct("l_linenumber").alias("n")).where("n = 7").select("cluster")
 
 
 @query("a38_genomes_per_cluster", f"{WITH} SELECT cluster, count(DISTINCT genome) AS n, min(genome) AS first_genome, max(genome) AS last_genome FROM members GROUP BY cluster")

@@ -48,8 +48,9 @@ def w11(spark, sf_dir):
 
 @query("x14_alignments")
 def x14(spark, sf_dir):
-    b = table(spark, sf_dir, "benchmark")
-    return Y.alignments(b.select(F.col("item_id").alias("id"), F.substring("text", 20, 40).alias("query"), F.col("text").alias("subject")))
+    """Each item, whole, within the next one's text."""
+    b = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("query"))
+    return Y.alignments(b.join(b.select((F.col("id") - 1).alias("id"), F.col("query").alias("subject")), "id"))
 
 
 @query("w12_quantile_thresholds", f"{PAIRS}, r AS (SELECT qgenome, row_number() OVER w AS k, score, coalesce(lead(score) OVER w, 0) AS second FROM pairs WINDOW w AS (PARTITION BY qid ORDER BY score DESC, sid)), v AS (SELECT qgenome, list_sort(list(score)) AS b, list_sort(list(second)) AS s FROM r WHERE k = 1 GROUP BY 1) SELECT qgenome AS genome, b[len(b) // 2 + 1] AS median_best, (b[len(b) // 4 + 1] + s[len(s) - len(s) // 4]) / 2 AS threshold FROM v")
@@ -79,10 +80,10 @@ def j15(spark, sf_dir):
     return members(spark, sf_dir).join(p, "cluster").groupBy("fgi", "annotation").agg(F.countDistinct("genome").alias("genomes"))
 
 
-@query("j16_island_membership", f"WITH {MEMBERS}, m AS (SELECT DISTINCT p_brand AS fgi, genome FROM members JOIN part ON cluster = p_partkey WHERE p_size > 48) SELECT b.fgi, n_nationkey AS genome, m.genome IS NOT NULL AS present FROM (SELECT DISTINCT p_brand AS fgi FROM part) b CROSS JOIN nation LEFT JOIN m ON m.fgi = b.fgi AND m.genome = n_nationkey")
+@query("j16_island_membership", f"WITH {MEMBERS}, m AS (SELECT DISTINCT p_brand AS fgi, genome FROM members JOIN part ON cluster = p_partkey) SELECT b.fgi, n_nationkey AS genome, m.genome IS NOT NULL AS present FROM (SELECT DISTINCT p_brand AS fgi FROM part) b CROSS JOIN nation LEFT JOIN m ON m.fgi = b.fgi AND m.genome = n_nationkey")
 def j16(spark, sf_dir):
     p = table(spark, sf_dir, "part")
-    m = members(spark, sf_dir).join(p.where("p_size > 48").select(F.col("p_partkey").alias("cluster"), F.col("p_brand").alias("fgi")), "cluster")
+    m = members(spark, sf_dir).join(p.select(F.col("p_partkey").alias("cluster"), F.col("p_brand").alias("fgi")), "cluster")
     got = m.groupBy("fgi").agg(F.collect_set("genome").alias("have"))
     every = table(spark, sf_dir, "nation").agg(F.collect_list("n_nationkey").alias("every"))  # the genome list, one row
     fgi = p.select(F.col("p_brand").alias("fgi")).distinct().join(got, "fgi", "left").join(F.broadcast(every))
@@ -128,13 +129,13 @@ def f17(spark, sf_dir):
     return members(spark, sf_dir).join(p, "cluster").groupBy("cluster").agg(F.max("metal").alias("metal"), F.max("coloured").alias("coloured"))
 
 
-@query("k02_pairwise_matrix", f"""WITH {MEMBERS}, p AS (SELECT a.genome AS a, b.genome AS b, count(*) AS n FROM members a JOIN members b ON a.cluster = b.cluster WHERE a.genome < 5 AND b.genome < 5 GROUP BY 1, 2) SELECT CAST(a AS VARCHAR) AS name, {", ".join(f"max(CASE WHEN b = {g} THEN n END) AS g{g}" for g in range(5))} FROM p GROUP BY a""")
+@query("k02_pairwise_matrix", f"""WITH {MEMBERS}, p AS (SELECT a.genome AS a, b.genome AS b, count(*) AS n FROM members a JOIN members b ON a.cluster = b.cluster GROUP BY 1, 2) SELECT CAST(a AS VARCHAR) AS name, {", ".join(f"max(CASE WHEN b = {g} THEN n END) AS g{g}" for g in range(25))} FROM p GROUP BY a""")
 def k02(spark, sf_dir):
-    s = M.pairwise_shared(members(spark, sf_dir).where("genome < 5")).select("g1", "g2", "shared")
-    own = members(spark, sf_dir).where("genome < 5").groupBy("genome").agg(F.count(F.lit(1)).alias("shared")).select("genome", F.col("genome").alias("g2"), "shared")
+    s = M.pairwise_shared(members(spark, sf_dir)).select("g1", "g2", "shared")
+    own = members(spark, sf_dir).groupBy("genome").agg(F.count(F.lit(1)).alias("shared")).select("genome", F.col("genome").alias("g2"), "shared")
     long = s.union(s.select("g2", "g1", "shared")).union(own)
-    wide = long.groupBy(F.col("g1").cast("string").alias("name")).pivot("g2", list(range(5))).agg(F.max("shared"))
-    return wide.select("name", *(F.col(str(g)).alias(f"g{g}") for g in range(5)))
+    wide = long.groupBy(F.col("g1").cast("string").alias("name")).pivot("g2", list(range(25))).agg(F.max("shared"))
+    return wide.select("name", *(F.col(str(g)).alias(f"g{g}") for g in range(25)))
 
 
 @query("s06_hit_summary", f"WITH {HITS} SELECT qgenome, sgenome, count(*) AS n, max(bits) AS best, min(evalue) AS least FROM hits GROUP BY 1, 2")

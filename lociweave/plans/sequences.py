@@ -14,12 +14,12 @@ KMERS = f"""{WITH}, k AS (SELECT genome, id, unnest(list_transform(range(1, leng
 
 
 def rows(spark, sf_dir):
-    """Aligned rows of six for each group of benchmark items: aln, id, seq of 60 letters, x and q as gaps."""
+    """Aligned rows of six for each group of benchmark items: aln, id, seq, e as gaps; rows end where their text does."""
     b = table(spark, sf_dir, "benchmark")
-    return b.select((F.col("item_id") % 7).alias("aln"), F.col("item_id").alias("id"), F.upper(F.substring(F.regexp_replace(F.translate("text", "eE \n", "--  "), "[^a-zA-Z-]", ""), 1, 60)).alias("seq"))
+    return b.select((F.col("item_id") % 7).alias("aln"), F.col("item_id").alias("id"), F.upper(F.regexp_replace(F.translate("text", "eE \n", "--  "), "[^a-zA-Z-]", "")).alias("seq"))
 
 
-ROWS = "rows AS (SELECT item_id % 7 AS aln, item_id AS id, upper(regexp_replace(translate(text, 'eE' || chr(32) || chr(10), '--' || chr(32) || chr(32)), '[^a-zA-Z-]', '', 'g')[1:60]) AS seq FROM benchmark)"
+ROWS = "rows AS (SELECT item_id % 7 AS aln, item_id AS id, upper(regexp_replace(translate(text, 'eE' || chr(32) || chr(10), '--' || chr(32) || chr(32)), '[^a-zA-Z-]', '', 'g')) AS seq FROM benchmark)"
 COLUMNS = f"WITH {ROWS}, e AS (SELECT aln, id, unnest(range(1, length(seq) + 1)) AS pos, unnest(string_split(seq, '')) AS base FROM rows)"
 
 

@@ -9,12 +9,12 @@ from ..operators import trees as R
 from .registry import query
 from .standin import table
 
-SETS = """WITH s AS (SELECT DISTINCT n_regionkey AS "set", l_partkey AS x FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE l_quantity <= 12)"""
+SETS = """WITH s AS (SELECT DISTINCT n_regionkey AS "set", l_partkey AS x FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"""
 
 
 def named(spark, sf_dir):
     t = lambda n: table(spark, sf_dir, n)
-    li = t("lineitem").where("l_quantity <= 12").select("l_orderkey", "l_partkey")
+    li = t("lineitem").select("l_orderkey", "l_partkey")
     c = t("customer").join(F.broadcast(t("nation")), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_regionkey")
     o = t("orders").select("o_orderkey", "o_custkey").join(c, F.col("o_custkey") == F.col("c_custkey"))
     return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("n_regionkey").alias("set"), F.col("l_partkey").alias("x")).distinct()
@@ -46,9 +46,9 @@ def u05(spark, sf_dir):
     return U.differences(s.where("set = 0").select("x"), s.where("set = 1").select("x"))
 
 
-@query("u06_subset_pairs", """WITH s AS (SELECT DISTINCT l_suppkey AS "set", l_returnflag || l_linestatus || (l_linenumber % 3) AS x FROM lineitem WHERE l_quantity > 46), n AS (SELECT "set", count(*) AS n FROM s GROUP BY 1), p AS (SELECT a."set" AS i, b."set" AS o, count(*) AS n FROM s a JOIN s b ON a.x = b.x AND a."set" <> b."set" GROUP BY 1, 2) SELECT i AS "inner", o AS "outer" FROM p JOIN n ON n."set" = i AND n.n = p.n""")
+@query("u06_subset_pairs", """WITH s AS (SELECT DISTINCT l_suppkey AS "set", l_returnflag || l_linestatus || (l_linenumber % 3) AS x FROM lineitem), n AS (SELECT "set", count(*) AS n FROM s GROUP BY 1), p AS (SELECT a."set" AS i, b."set" AS o, count(*) AS n FROM s a JOIN s b ON a.x = b.x AND a."set" <> b."set" GROUP BY 1, 2) SELECT i AS "inner", o AS "outer" FROM p JOIN n ON n."set" = i AND n.n = p.n""")
 def u06(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").where("l_quantity > 46")
+    li = table(spark, sf_dir, "lineitem")
     return U.subset_pairs(li.select(F.col("l_suppkey").alias("set"), F.concat("l_returnflag", "l_linestatus", (F.col("l_linenumber") % 3).cast("string")).alias("x")).distinct())
 
 
