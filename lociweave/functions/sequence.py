@@ -228,3 +228,31 @@ def unique_alleles(rows: DataFrame) -> DataFrame:
     e = rows.select("aln", "id", F.posexplode(F.split("seq", ""))).where("col <> ''")
     one = e.groupBy("aln", "pos", "col").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id")).where("n = 1")
     return one.groupBy("aln", "id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def sanitized_header(header: Column) -> Column:
+    """Runs of characters that tools trip over as one underscore."""
+    return F.regexp_replace(header, "[^A-Za-z0-9_.|-]+", "_")
+
+
+def valid_header(header: Column) -> Column:
+    """Whether a FASTA header line has an id of visible characters right after its sign."""
+    return F.coalesce(header.rlike("^>[!-~]+( .*)?$"), F.lit(False))
+
+
+def valid_sequence(seq: Column, protein: bool = False) -> Column:
+    """Whether all letters are nucleotide codes, or amino acids with stops."""
+    return F.coalesce(seq.rlike("^[A-IK-NP-Z*a-ik-np-z-]+$" if protein else "^[ACGTURYSWKMBDHVNacgturyswkmbdhvn-]+$"), F.lit(False))
+
+
+def nucleotide_snp(seq: Column, spec: Column) -> Column:
+    """mutant, wild type or other: which letter of a spec such as A123G the sequence has at its place; null where it has none."""
+    s = snp(spec)
+    at = F.substring(F.upper(seq), s["position"], F.lit(1))
+    return F.when(at == s["change"], "mutant").when(at == s["original"], "wild type").when(at != "", "other")
+
+
+def date_strings(at: Column) -> Column:
+    """Struct iso, sql, log: the three forms of a time stamp that reports use."""
+    form = lambda f, n: F.date_format(at, f).alias(n)
+    return F.struct(form("yyyy-MM-dd'T'HH:mm:ss", "iso"), form("yyyy-MM-dd HH:mm:ss", "sql"), form("yyyyMMdd.HHmmss", "log"))

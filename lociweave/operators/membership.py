@@ -191,3 +191,27 @@ def numbering(members: DataFrame, order: list[str]) -> DataFrame:
     first = members.groupBy("cluster").agg(F.min(F.struct(*order)).alias("first"))
     named = numbered(first, "first", "cluster")
     return named.select("cluster", F.col("k").alias("number"))
+
+
+def combinations(genomes: DataFrame, size: int, sample: int = 0, seed: int = 123) -> DataFrame:
+    """combo, place (from 1), genome: every combination of so many of the genomes, or that many sampled ones.
+
+    All are built by joins, each adding a later genome; a sample takes, for each number, the genomes with the smallest
+    hashes of seed, number and genome, so it is the same whatever the partitions, and samples may repeat.
+    """
+    g = genomes.select("genome").distinct()
+    if sample:
+        number = g.sparkSession.range(sample).select(F.col("id").alias("combo"))
+        every = F.broadcast(g.agg(F.array_sort(F.collect_list("genome")).alias("every")))  # the genome list, one row
+        hashed = F.transform("every", lambda x: F.struct(F.xxhash64(F.lit(seed), F.col("combo"), x).alias("h"), x.alias("genome")))
+        return number.join(every).select("combo", F.posexplode(F.slice(F.array_sort(hashed), 1, size)).alias("place", "x")).select("combo", (F.col("place") + 1).alias("place"), "x.genome")
+    got = g.select(F.array("genome").alias("c"))
+    for k in range(1, size):
+        got = got.join(g, F.element_at("c", k) < F.col("genome")).select(F.array_append("c", F.col("genome")).alias("c"))
+    return got.select(F.array_join(F.transform("c", lambda x: x.cast("string")), "-").alias("combo"), F.posexplode("c").alias("place", "genome")).select("combo", (F.col("place") + 1).alias("place"), "genome")
+
+
+def assemblies(rows: DataFrame, term: str, excluded: DataFrame, min_n50: int, max_contigs: int, levels: tuple[str, ...] = ("Complete Genome", "WGS")) -> DataFrame:
+    """The rows of the latest version, at one of the levels, whose name has the term, of enough N50 and few enough contigs, that the list (accession) doesn't exclude."""
+    good = (F.col("version") == "latest") & F.col("level").isin(*levels) & F.col("name").contains(term)
+    return rows.where(good & (F.col("n50") >= min_n50) & (F.col("contigs") <= max_contigs)).join(excluded.select("accession"), "accession", "left_anti").select(*rows.columns)

@@ -23,7 +23,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from . import annotation, fragments, graphs, hits, intervals, membership, more, order, sequences, sets  # noqa: F401
+    from . import annotation, formats, fragments, graphs, hits, intervals, membership, more, order, sequences, sets  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -182,3 +182,10 @@ def relational(spark: SparkSession, url: str, query: str, **options: str) -> Dat
 def checked(df: DataFrame, fine: Column, message: str) -> DataFrame:
     """The rows; reading one that is not fine is an error."""
     return df.where(F.when(fine, True).otherwise(F.raise_error(F.lit(message)).cast("boolean")))
+
+
+def mash_table(spark: SparkSession, path: str) -> DataFrame:
+    """a, b, distance, p, shared, sketch of tabular distances; shared hashes come as `shared/sketch`."""
+    t = spark.read.csv(path, sep="\t", schema="a string, b string, distance double, p double, s string")
+    part = lambda k: F.split_part("s", F.lit("/"), F.lit(k)).cast("long")
+    return t.select("a", "b", "distance", "p", part(1).alias("shared"), part(2).alias("sketch"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sequence import wrap
+from ..operators.graph import settle
 
 
 def fasta_lines(df: DataFrame, width: int = 60) -> DataFrame:
@@ -51,7 +52,7 @@ def gaf_lines(df: DataFrame, database: str, date: str, taxon: str) -> DataFrame:
 
 def write_split(df: DataFrame, main: str, left: str, condition: str) -> None:
     """Rows that meet the condition to one place, all others (null as well) to another."""
-    marked = df.withColumn("_main", F.coalesce(F.expr(condition), F.lit(False)))
+    marked = settle(df.withColumn("_main", F.coalesce(F.expr(condition), F.lit(False))))  # evaluated once
     marked.where("_main").drop("_main").write.parquet(main)
     marked.where("not _main").drop("_main").write.parquet(left)
 
@@ -59,3 +60,20 @@ def write_split(df: DataFrame, main: str, left: str, condition: str) -> None:
 def write_synteny(features: DataFrame, path: str) -> None:
     """The feature table in folders by genome, sorted by contig and place in each file, so that readers prune."""
     features.repartition("genome").sortWithinPartitions("contig", "start").write.partitionBy("genome").parquet(path)
+
+
+def expression_table(members: DataFrame, attributes: DataFrame, genomes: list) -> DataFrame:
+    """cluster, name, role of its first feature, and a 0 or 1 for each listed genome. members: cluster, genome; attributes: cluster, feat, name, role."""
+    first = attributes.groupBy("cluster").agg(F.min(F.struct("feat", "name", "role")).alias("f")).select("cluster", "f.name", "f.role")
+    wide = members.groupBy("cluster").pivot("genome", genomes).agg(F.lit(1))
+    return first.join(wide, "cluster").select("cluster", "name", "role", *(F.coalesce(F.col(f"`{g}`"), F.lit(0)).alias(f"g{g}") for g in genomes))
+
+
+def statistics_report(members: DataFrame, n_genomes: int, core_percent: float = 95) -> DataFrame:
+    """name, value: clusters in all, core, in one genome only, members, and mean members a cluster (two places)."""
+    n = members.groupBy("cluster").agg(F.countDistinct("genome").alias("n"))
+    count = lambda c: F.sum(F.when(c, 1).otherwise(0))
+    one = n.agg(F.count(F.lit(1)).alias("clusters"), count(F.col("n") * 100 >= n_genomes * core_percent).alias("core"), count(F.col("n") == 1).alias("single"), F.sum("n").alias("members"))
+    mean = F.format_string("%.2f", F.col("members") / F.col("clusters"))
+    rows = [F.struct(F.lit(k).alias("name"), F.col(k).cast("string").alias("value")) for k in ("clusters", "core", "single", "members")]
+    return one.select(F.explode(F.array(*rows, F.struct(F.lit("mean").alias("name"), mean.alias("value")))).alias("r")).select("r.*")
