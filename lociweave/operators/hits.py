@@ -65,6 +65,27 @@ def blast_score_ratio(pairs: DataFrame) -> DataFrame:
     return n.join(back, ["qid", "sid"]).select("qid", "sid", "qgenome", "sgenome", "norm", ((F.col("norm") + F.col("_back")) / 2).alias("bsr"))
 
 
+def score_ratios(pairs: DataFrame) -> DataFrame:
+    """blast_score_ratio(symmetric(bounded(pairs))) in one aggregation of the pairs, both directions of a pair in one row.
+
+    pairs: qid, sid, qgenome, sgenome, score, one row a direction; a feature has one genome.
+    """
+    sides = pairs.select("score", F.explode(F.array(F.struct(F.col("qid").alias("id"), (F.col("qid") == F.col("sid")).alias("own")), F.struct(F.col("sid").alias("id"), F.lit(False).alias("own")))).alias("x"))
+    selfs = sides.groupBy("x.id").agg(F.coalesce(F.max(F.when(F.col("x.own"), F.col("score"))), F.max("score")).alias("self"))
+    first = F.col("qid") < F.col("sid")
+    pick = lambda c, value: F.max(F.when(c, F.col(value)))
+    both = pairs.where("qid <> sid").groupBy(F.least("qid", "sid").alias("a"), F.greatest("qid", "sid").alias("b")).agg(
+        pick(first, "score").alias("there"), pick(~first, "score").alias("back"), F.max(F.when(first, F.col("qgenome")).otherwise(F.col("sgenome"))).alias("ga"), F.max(F.when(first, F.col("sgenome")).otherwise(F.col("qgenome"))).alias("gb")
+    )
+    for c in ("a", "b"):
+        both = both.join(selfs.select(F.col("id").alias(c), F.col("self").alias(f"s{c}")), c)
+    there, back = F.least("there", "sa"), F.least("back", "sb")
+    there, back = (F.when(F.col("there").isNull(), F.least(back, F.col("sa"))).otherwise(there), F.when(F.col("back").isNull(), F.least(there, F.col("sb"))).otherwise(back))
+    both = both.withColumns({"na": there / F.col("sa"), "nb": back / F.col("sb")}).withColumn("bsr", (F.col("na") + F.col("nb")) / 2)
+    row = lambda q, t: F.struct(F.col(q).alias("qid"), F.col(t).alias("sid"), F.col(f"g{q}").alias("qgenome"), F.col(f"g{t}").alias("sgenome"), F.col(f"n{q}").alias("norm"), "bsr")
+    return both.select(F.explode(F.array(row("a", "b"), row("b", "a"))).alias("x")).select("x.*")
+
+
 def best_match(bsr: DataFrame, strict: bool = True, share: float = 0.95, score: str = "bsr") -> DataFrame:
     """The best subject of each query in each other genome, if share x best > second (>= unless strict)."""
     w = Window.partitionBy("qid", "sgenome").orderBy(F.col(score).desc(), "sid")
@@ -107,6 +128,17 @@ def cutoff(best: DataFrame, second: DataFrame, clamp: float = 0.95, weight: floa
     return top.select(F.least(F.when(F.col("t.gain") > 0, F.col("t.bin") / 100).otherwise(1.0), F.lit(clamp)).alias("cutoff"))
 
 
+def best_cutoff(best: DataFrame, bins: int = 101) -> DataFrame:
+    """The cutoff from the histograms of bsr and second of best matches, counted in one pass."""
+    kinds = best.select(F.explode(F.array(F.struct(F.lit(True).alias("first"), F.col("bsr").alias("v")), F.struct(F.lit(False).alias("first"), F.col("second").alias("v")))).alias("x"))
+    count = lambda c: F.sum(F.when(c, 1).otherwise(0))
+    n = kinds.groupBy(F.floor(F.col("x.v") * 100).cast("int").alias("bin")).agg(count(F.col("x.first")).alias("n1"), count(~F.col("x.first")).alias("n2"))
+    full = best.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")).join(n, "bin", "left").na.fill(0)
+    share = lambda c: F.col(c) / F.sum(c).over(Window.partitionBy())  # noqa: E731  (one row a bin)
+    shares = full.select("bin", share("n1").alias("s1"), share("n2").alias("s2"))
+    return cutoff(shares.select("bin", F.col("s1").alias("share")), shares.select("bin", F.col("s2").alias("share")))
+
+
 def relative_best(hits: DataFrame, top: int = 5, share: float = 0.95) -> DataFrame:
     """For each cluster (sid): hits that tie with its best, or are among the first `top` and above share x best."""
     w = Window.partitionBy("sid").orderBy(F.col("bits").desc(), F.col("pid").desc(), "qid")

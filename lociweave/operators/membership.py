@@ -70,12 +70,12 @@ def size_thresholds(members: DataFrame, at_least: int, at_most: int) -> DataFram
 def pairwise_shared(members: DataFrame) -> DataFrame:
     """g1, g2 (g1 < g2), shared, jaccard and sorensen in percent.
 
-    A cluster gives at most one row for each pair of genomes, added up in each task.
+    Each genome of a cluster is a row before it meets the later ones, so a row holds at most one genome's pairs; they are added up in each task.
     """
     per = members.groupBy("genome").agg(F.count(F.lit(1)).alias("n"))
     gs = members.groupBy("cluster").agg(F.sort_array(F.collect_set("genome")).alias("gs"))
-    pairs = F.flatten(F.transform("gs", lambda x: F.transform(F.filter("gs", lambda y: y > x), lambda y: F.struct(x.alias("g1"), y.alias("g2")))))
-    shared = gs.select(F.explode(pairs).alias("p")).groupBy("p.g1", "p.g2").agg(F.count(F.lit(1)).alias("shared"))
+    left = gs.select(F.explode("gs").alias("g1"), "gs")
+    shared = left.select("g1", F.explode(F.filter("gs", lambda y: y > F.col("g1"))).alias("g2")).groupBy("g1", "g2").agg(F.count(F.lit(1)).alias("shared"))
     out = shared.join(per.select(F.col("genome").alias("g1"), F.col("n").alias("n1")), "g1").join(per.select(F.col("genome").alias("g2"), F.col("n").alias("n2")), "g2")
     return out.select("g1", "g2", "shared", (F.col("shared") * 100 / (F.col("n1") + F.col("n2") - F.col("shared"))).alias("jaccard"), (F.col("shared") * 200 / (F.col("n1") + F.col("n2"))).alias("sorensen"))
 
@@ -153,8 +153,8 @@ def rarefaction(members: DataFrame, combinations: DataFrame, core_percent: float
     of the genomes, at least one; novel those whose only genome is the last of the combination.
     """
     size = combinations.groupBy("combo").agg(F.count(F.lit(1)).alias("size"))
-    got = F.broadcast(combinations).join(members, "genome").groupBy("combo", "cluster").agg(F.count(F.lit(1)).alias("n"), F.max("place").alias("last"))
-    got = got.join(F.broadcast(size), "combo")
+    got = combinations.join(members, "genome").groupBy("combo", "cluster").agg(F.count(F.lit(1)).alias("n"), F.max("place").alias("last"))
+    got = got.join(size, "combo")
     base = F.floor(F.col("size") * core_percent / 100)
     need = F.greatest(F.when((F.col("size") < 10) & (base < F.col("size")), base + 1).otherwise(base), F.lit(1))
     count = lambda c: F.sum(F.when(c, 1).otherwise(0))

@@ -48,7 +48,7 @@ def overlap_table(intervals: DataFrame, species: list, width: int, least: float
 
     Intervals of the first species are served in order of place; an interval is used once. intervals: contig, start, stop, name, species.
     Candidates come from the binned overlap join; the order-dependent choice runs over stretches of them that no
-    candidate bridges (a window cuts contigs at such gaps), so no task holds a whole contig.
+    candidate bridges (a window cuts contigs at such gaps), 64 at a time, so no task holds a whole contig.
     """
     one, rest = intervals.where(F.col("species") == species[0]), intervals.where(F.col("species") != species[0])
     share = F.expr("(least(l_stop, r_stop) - greatest(l_start, r_start) + 1) / greatest(l_stop - l_start + 1, r_stop - r_start + 1)")
@@ -71,7 +71,7 @@ def overlap_table(intervals: DataFrame, species: list, width: int, least: float
         table = pd.DataFrame(out, columns=["name", *map(str, species[1:])])
         return table.astype({str(s): "Int64" for s in species[1:]})
 
-    return c.groupBy("contig", "_run").applyInPandas(choose, "name long, " + ", ".join(f"`{s}` long" for s in species[1:]))
+    return c.groupBy("contig", F.floor(F.col("_run") / 64)).applyInPandas(choose, "name long, " + ", ".join(f"`{s}` long" for s in species[1:]))
 
 
 def smoothed_plateaus(rows: DataFrame, tolerance: float = 0.1) -> DataFrame:

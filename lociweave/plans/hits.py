@@ -25,7 +25,7 @@ def pairs(spark, sf_dir):
 
 
 def ratios(spark, sf_dir):
-    return H.blast_score_ratio(H.symmetric(H.bounded(pairs(spark, sf_dir))))
+    return H.score_ratios(pairs(spark, sf_dir))
 
 
 @query("f01_filter_hits", f"{WITH}, b AS (SELECT *, min(evalue) OVER (PARTITION BY qid) AS m FROM hits WHERE pid >= 60) SELECT * EXCLUDE m FROM b WHERE NOT (evalue > 1e-5::DOUBLE AND evalue > 10.0::DOUBLE * m)")
@@ -103,8 +103,7 @@ def w04(spark, sf_dir):
 t AS (SELECT bin, round(gain, 9) AS gain FROM c ORDER BY round(gain, 9) DESC, bin DESC LIMIT 1) SELECT least(CASE WHEN gain > 0 THEN bin / 100 ELSE 1.0 END, 0.95)::DOUBLE AS cutoff FROM t""",
 )
 def w05(spark, sf_dir):
-    best = H.best_match(ratios(spark, sf_dir))
-    return H.cutoff(H.score_histogram(best, "bsr"), H.score_histogram(best, "second"))
+    return H.best_cutoff(H.best_match(ratios(spark, sf_dir)))
 
 
 @query("f05_weak_matches", f"{WITH} SELECT qid, sid, pid, len FROM hits WHERE NOT (pid < 90 AND len / 60.0 < 0.5)")
