@@ -32,7 +32,7 @@ SIZES = (3, 4, 5)
 BITS = 21
 SAMPLE_ROWS = 2000
 MIN_DF = 0.004
-MAX_FEATURES = 2000
+MAX_FEATURES = 1000
 THRESHOLD = 0.7
 RUN_CHARS = 1_000_000
 
