@@ -1,11 +1,11 @@
-"""Genes in pieces: labels of fragments and fusions, groups of fragments, hits in padding, links along a diagonal."""
+"""Genes in pieces: labels of fragments and fusions, groups of fragments, hits in padding, walks from anchors."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .graph import components
+from .graph import components, settle
 
 
 def fragment_labels(matches: DataFrame, members: DataFrame, short: float = 0.9, long: float = 1.1) -> DataFrame:
@@ -67,21 +67,39 @@ def outside_padding(hits: DataFrame, contigs: DataFrame) -> DataFrame:
     return hits.join(c, "sid", "left").where(~padded).select(*hits.columns)
 
 
-def extended_anchors(relations: DataFrame, places: DataFrame, anchor: Column, skip: int = 3) -> DataFrame:
-    """qid, sid, anchor, extended: relations on one diagonal of two contigs, at most `skip` positions from the next, form runs; those of a run with an anchor are extended.
+#: Places tried from a relation, in turn, as (steps on the query, steps on the subject).
+WALK_STEPS = ((1, 1), (2, 1), (3, 1), (1, 2), (2, 2))
 
-    relations: qid, sid and what anchor needs; places: id, contig, pos, orient. Both strands have diagonals of their own.
+
+def extended_anchors(relations: DataFrame, places: DataFrame, anchor: Column, max_rounds: int = 64) -> DataFrame:
+    """qid, sid, anchor, extended: relations that walks from the anchors meet, both ways along the query's contig.
+
+    relations: qid, sid (each pair once) and what anchor needs; places: id, contig, pos without gaps, orient. A walk goes to the first
+    place of WALK_STEPS that holds a relation: an extended one, from which it goes on, or an anchor, where it ends. It takes the
+    subject's contig along or against, as the strands of the anchor's pair agree or not. Two steps on the subject are tried only where the
+    query's contig has three more features. Each relation has at most one next one a way, so joins of doubling reach
+    find all walks in as many rounds as the logarithm of the longest.
     """
-    side = lambda k, c: places.select(F.col("id").alias(f"{k}id"), F.col("contig").alias(f"{k}c"), F.col("pos").alias(f"{k}p"), F.col("orient").alias(f"{k}o"))
-    j = relations.withColumn("anchor", anchor).join(side("q", 0), "qid").join(side("s", 0), "sid")
-    turn = F.col("qo") * F.col("so")
-    j = j.select("qid", "sid", "anchor", "qc", "sc", "qp", turn.alias("turn"), (F.col("sp") - turn * F.col("qp")).alias("diagonal"))
-    key = ["qc", "sc", "turn", "diagonal"]
-    w = Window.partitionBy(*key).orderBy("qp", "qid", "sid")
-    new = F.coalesce(F.col("qp") - F.lag("qp").over(w) > skip, F.lit(True)).cast("int")
-    run = j.withColumn("_new", new).withColumn("_run", F.sum("_new").over(w))
-    got = F.max(F.col("anchor").cast("int")).over(Window.partitionBy(*key, "_run")) == 1
-    return run.select("qid", "sid", "anchor", (got & ~F.col("anchor")).alias("extended"))
+    side = lambda k: places.select(F.col("id").alias(f"{k}id"), F.col("contig").alias(f"{k}c"), F.col("pos").alias(f"{k}p"), F.col("orient").alias(f"{k}o"))
+    bounds = places.groupBy(F.col("contig").alias("qc")).agg(F.min("pos").alias("low"), F.max("pos").alias("high"))
+    at = relations.withColumn("anchor", anchor).join(side("q"), "qid").join(side("s"), "sid").join(bounds, "qc")
+    at = settle(at.select("qid", "sid", "anchor", "qc", "sc", "qp", "sp", (F.col("qo") * F.col("so")).alias("own"), "low", "high"))
+    tries = [F.struct(F.lit(r).alias("r"), F.lit(d).alias("d"), F.lit(t).alias("t"), F.lit(a).alias("a"), F.lit(b).alias("b")) for d in (1, -1) for t in (1, -1) for r, (a, b) in enumerate(WALK_STEPS)]
+    ask = at.select("qid", "sid", "qc", "sc", "qp", "sp", "low", "high", F.explode(F.array(*tries)).alias("x")).select("*", "x.*").where("b = 1 or qp + 3 * d between low and high")
+    ask = ask.select(F.struct("qid", "sid", "d", "t").alias("state"), "r", "qc", "sc", (F.col("qp") + F.col("d") * F.col("a")).alias("qp"), (F.col("sp") + F.col("d") * F.col("t") * F.col("b")).alias("sp"))
+    met = ask.join(at.select("qc", "sc", "qp", "sp", "qid", "sid", "anchor"), ["qc", "sc", "qp", "sp"])
+    first = met.groupBy("state").agg(F.min(F.struct("r", "qid", "sid", "anchor")).alias("m")).where("not m.anchor")
+    jump = settle(first.select("state", F.struct("m.qid", "m.sid", "state.d", "state.t").alias("to")))
+    reached = at.where("anchor").select(F.explode(F.array(*(F.struct("qid", "sid", F.lit(d).alias("d"), F.col("own").alias("t")) for d in (1, -1)))).alias("state"))
+    for _ in range(max_rounds):
+        if jump.isEmpty():
+            break
+        reached = settle(reached.union(reached.join(jump, "state").select("to")).distinct())
+        jump = settle(jump.join(jump.toDF("to", "further"), "to").select("state", "further")).toDF("state", "to")
+    else:
+        raise RuntimeError("walks did not end")
+    got = reached.select("state.qid", "state.sid").distinct().withColumn("_met", F.lit(True))
+    return at.join(got, ["qid", "sid"], "left").select("qid", "sid", "anchor", (F.col("_met").isNotNull() & ~F.col("anchor")).alias("extended"))
 
 
 def paralog_penalty(methods: DataFrame, scores: DataFrame) -> DataFrame:

@@ -95,6 +95,24 @@ def top_cliques(best: DataFrame) -> DataFrame:
     return ok.select("qid", F.size("members").alias("size"))
 
 
+def cliques(matches: DataFrame) -> DataFrame:
+    """qid, top, whole: sizes of the clique that a query's best matches form, 0 where they form none.
+
+    matches: qid, sid, score, mutual. A query's best matches are the mutual ones that score no less than any other of its matches. With it
+    they are a clique (top) of three or more if each one's best matches are the same set; it is whole if none of them
+    has a match besides.
+    """
+    m = matches.where("qid <> sid")
+    bar = m.groupBy("qid").agg(F.max(F.when(~F.col("mutual"), F.col("score"))).alias("bar"), F.count(F.lit(1)).alias("n"))
+    best = m.where("mutual").join(bar, "qid").where("bar is null or score >= bar")
+    own = best.groupBy("qid", "n").agg(F.array_sort(F.concat(F.collect_set("sid"), F.array("qid"))).alias("members")).where(F.size("members") >= 3)
+    each = own.select("qid", "members", F.explode("members").alias("m"))
+    same = each.join(own.select(F.col("qid").alias("m"), F.col("members").alias("theirs"), "n"), "m").where("members = theirs")
+    ok = same.groupBy("qid", "members").agg(F.count(F.lit(1)).alias("k"), F.max("n").alias("most")).where(F.col("k") == F.size("members"))
+    ok = ok.select("qid", F.col("k").alias("top"), F.when(F.col("most") == F.col("k") - 1, F.col("k")).otherwise(0).alias("whole"))
+    return matches.select("qid").distinct().join(ok, "qid", "left").select("qid", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("top", "whole")))
+
+
 def chains(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     """chain, place, node: paths of mutual edges (a, b) in which each node has at most two, from the smaller end; a cycle begins at its smallest node and goes on to the smaller neighbour.
 

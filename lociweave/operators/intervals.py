@@ -75,6 +75,23 @@ def resolve_conflicts(intervals: DataFrame, priority: list[str], width: int, lea
     return intervals.join(losers, "name", "left_anti").select(*intervals.columns)
 
 
+def trim_by_priority(intervals: DataFrame, priority: str, width: int) -> DataFrame:
+    """contig, name, priority, start, stop: intervals cut so that none overlap: a place belongs to the interval of the least priority there, then the earlier start, then the smaller name.
+
+    Of an interval's pieces the longest stays, then the first; one that owns no place goes.
+    """
+    ends = intervals.select("contig", F.explode(F.array(F.col("start"), F.col("stop") + 1)).alias("start")).distinct()
+    parts = ends.withColumn("stop", F.lead("start").over(Window.partitionBy("contig").orderBy("start")) - 1).where("stop is not null")
+    over = overlap_join(parts, intervals.select("contig", "start", "stop", "name", priority), width)
+    won = over.groupBy("contig", F.col("l_start").alias("start"), F.col("l_stop").alias("stop")).agg(F.min(F.struct("r_" + priority, "r_start", "r_name")).alias("m"))
+    won = won.select("contig", "start", "stop", F.col("m.r_name").alias("name"), F.col("m.r_" + priority).alias(priority))
+    w = Window.partitionBy("contig", "name").orderBy("start")
+    run = won.withColumn("_new", F.when(F.lag("stop").over(w) + 1 == F.col("start"), 0).otherwise(1)).withColumn("_run", F.sum("_new").over(w))
+    pieces = run.groupBy("contig", "name", priority, "_run").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    longest = pieces.groupBy("contig", "name", priority).agg(F.max_by(F.struct("start", "stop"), F.struct(F.col("stop") - F.col("start"), -F.col("start"))).alias("m"))
+    return longest.select("contig", "name", priority, "m.start", "m.stop")
+
+
 def merge_runs(intervals: DataFrame, kind: str) -> DataFrame:
     """contig, kind, start, stop, n: neighbours of one kind along the contig as one range, the gaps between them included."""
     w = Window.partitionBy("contig").orderBy("start", "stop", "name")

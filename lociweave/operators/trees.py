@@ -1,4 +1,4 @@
-"""Trees as edge tables (node, parent, length): depth, common ancestors, distances, clades, hierarchical clustering of few items."""
+"""Trees as edge tables (node, parent, name, length): ancestors, distances, clades and their support, new roots, batches, hierarchical clustering of few items."""
 
 from __future__ import annotations
 
@@ -117,6 +117,102 @@ def gains_and_losses(edges: DataFrame, states: DataFrame) -> DataFrame:
     return j.groupBy("node").agg(n(F.col("present") & ~F.col("before")).alias("gains"), n(~F.col("present") & F.col("before")).alias("losses"))
 
 
+def root_distances(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+    """node, distance: length of the way to the root; a node's reach doubles with every join, so rows stay one a node."""
+    now = settle(edges.select("node", F.col("parent").alias("up"), F.when(F.col("parent").isNull(), 0.0).otherwise(F.col("length")).alias("distance")))
+    for _ in range(max_rounds):
+        if now.where("up is not null").isEmpty():
+            return now.select("node", "distance")
+        there = now.select(F.col("node").alias("up"), F.col("up").alias("further"), F.col("distance").alias("more"))
+        now = settle(now.join(there, "up", "left").select("node", F.col("further").alias("up"), (F.col("distance") + F.coalesce("more", F.lit(0.0))).alias("distance")))
+    raise RuntimeError("the tree has a circle")
+
+
+def line_to_root(edges: DataFrame, node: int, max_rounds: int = 64) -> DataFrame:
+    """node: the node and all above it."""
+    jump = settle(edges.where("parent is not null").select("node", F.col("parent").alias("to")))
+    line = edges.where(F.col("node") == node).select("node")
+    for _ in range(max_rounds):
+        if jump.isEmpty():
+            return line
+        line = settle(line.union(line.join(jump, "node").select("to")).distinct())
+        jump = settle(jump.join(jump.toDF("to", "further"), "to").select("node", "further")).toDF("node", "to")
+    raise RuntimeError("the tree has a circle")
+
+
+def hang(edges: DataFrame, node: int) -> DataFrame:
+    """node, parent, name, length of the same tree with the node as its root: the edges above it turn."""
+    line = line_to_root(edges, node).withColumn("_on", F.lit(True))
+    marked = edges.join(line, "node", "left")
+    below = marked.where("_on and parent is not null").select(F.col("parent").alias("node"), F.col("node").alias("p2"), F.col("length").alias("l2"))
+    j = marked.join(below, "node", "left")
+    turned = F.col("_on").isNotNull()
+    return j.select("node", F.when(turned, F.col("p2")).otherwise(F.col("parent")).alias("parent"), "name", F.when(turned, F.coalesce("l2", F.lit(0.0))).otherwise(F.col("length")).alias("length"))
+
+
+def reroot(edges: DataFrame, node: int, above: float, root: int) -> DataFrame:
+    """node, parent, name, length: the tree with a new node as its root on the edge over the node, `above` away from it. An old root with two children goes, its edges become one."""
+    own = edges.where(F.col("node") == node).select("parent", "length").first()
+    if own is None or own["parent"] is None:
+        raise ValueError("no edge over the node")
+    old = edges.where("parent is null").select("node").first()["node"]
+    split = F.col("node") == node
+    cut = edges.select("node", F.when(split, F.lit(root)).otherwise(F.col("parent")).alias("parent"), "name", F.when(split, F.lit(float(above))).otherwise(F.col("length")).alias("length"))
+    new = edges.sparkSession.createDataFrame([(root, own["parent"], None, float(own["length"] - above))], edges.select("node", "parent", "name", "length").schema)
+    out = settle(hang(settle(cut.union(new)), root))
+    below = out.where(F.col("parent") == old).select("node", "length").limit(2).collect()
+    if len(below) != 1:
+        return out
+    top = out.where(F.col("node") == old).select("parent", "length").first()
+    moved = F.col("node") == below[0]["node"]
+    return out.where(F.col("node") != old).select("node", F.when(moved, F.lit(top["parent"])).otherwise(F.col("parent")).alias("parent"), "name", F.when(moved, F.lit(top["length"] + below[0]["length"])).otherwise(F.col("length")).alias("length"))
+
+
+def midpoint(edges: DataFrame) -> tuple[int, float]:
+    """(node, above): the place halfway between the two nodes farthest apart, on the edge over the node; of equally far ones the smallest.
+
+    The node farthest from the root is an end of the longest way, the one farthest from that its other end.
+    """
+    far = lambda t: root_distances(t).orderBy(F.col("distance").desc(), "node").first()
+    one = far(edges)["node"]
+    turned = settle(hang(edges, one))
+    two = far(turned)
+    along = root_distances(turned).join(line_to_root(turned, two["node"]), "node").where(F.col("distance") >= two["distance"] / 2)
+    down = along.orderBy("distance", "node").first()
+    above = down["distance"] - two["distance"] / 2
+    own = edges.where(F.col("node") == down["node"]).select("parent", "length").first()
+    up = turned.where(F.col("node") == down["node"]).first()["parent"]
+    return (down["node"], above) if own["parent"] == up else (up, own_length(edges, up) - above)
+
+
+def own_length(edges: DataFrame, node: int) -> float:
+    return edges.where(F.col("node") == node).select("length").first()["length"]
+
+
+def clade_support(tree: DataFrame, replicates: DataFrame) -> DataFrame:
+    """node, support: percent of replicate trees that have the clade of the inner node. replicates: tree, node, parent, name, length.
+
+    A clade is known by the number of its leaves and two sums of hashes of their names, so no row holds a list of leaves.
+    """
+    def known(edges: DataFrame) -> DataFrame:
+        leaves = edges.join(edges.select(F.col("parent").alias("node")).distinct(), "node", "left_anti").select("node", F.xxhash64("name").alias("h"))
+        return ancestors(edges).where("steps > 0").join(leaves, "node").groupBy(F.col("ancestor").alias("node")).agg(F.count(F.lit(1)).alias("n"), F.bit_xor("h").alias("x"), F.sum(F.col("h").cast("decimal(20,0)")).alias("s"))
+
+    forest = replicates.select(F.struct("tree", "node").alias("node"), F.when(F.col("parent").isNotNull(), F.struct("tree", F.col("parent").alias("node"))).alias("parent"), "name", "length")
+    trees = replicates.select("tree").distinct().count()
+    found = known(forest).select("node.tree", "n", "x", "s").distinct().groupBy("n", "x", "s").agg(F.count(F.lit(1)).alias("k"))
+    return known(tree).join(found, ["n", "x", "s"], "left").select("node", (F.coalesce("k", F.lit(0)) * 100 / F.lit(trees)).alias("support"))
+
+
+def batches(edges: DataFrame, cap: int) -> DataFrame:
+    """leaf, batch: leaves by the highest node over them (or the leaf itself) that has at most `cap` leaves."""
+    up = settle(ancestors(edges).select("node", "ancestor", "steps"))
+    leaves = edges.join(edges.select(F.col("parent").alias("node")).distinct(), "node", "left_anti").select("node")
+    over = settle(up.join(leaves, "node", "left_semi"))
+    small = over.groupBy("ancestor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= cap).select("ancestor")
+    return over.join(small, "ancestor").groupBy(F.col("node").alias("leaf")).agg(F.max_by("ancestor", "steps").alias("batch"))
+
+
 MOST_ITEMS = 3000
 
 

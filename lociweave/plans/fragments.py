@@ -126,9 +126,11 @@ def j01(spark, sf_dir):
 
 @query(
     "j05_extended_anchors",
-    f"""{REL}, j AS (SELECT qid, sid, bibest = 1 AS anchor, q.contig AS qc, s.contig AS sc, q.pos AS qp, q.orient * s.orient AS turn, s.pos - q.orient * s.orient * q.pos AS diagonal FROM rel JOIN place q ON q.id = qid JOIN place s ON s.id = sid),
-n AS (SELECT *, CASE WHEN qp - lag(qp) OVER w <= 3 THEN 0 ELSE 1 END AS new FROM j WINDOW w AS (PARTITION BY qc, sc, turn, diagonal ORDER BY qp, qid, sid)),
-y AS (SELECT *, sum(new) OVER (PARTITION BY qc, sc, turn, diagonal ORDER BY qp, qid, sid ROWS UNBOUNDED PRECEDING) AS run FROM n) SELECT qid, sid, anchor, bool_or(anchor) OVER (PARTITION BY qc, sc, turn, diagonal, run) AND NOT anchor AS extended FROM y""",
+    f"""{REL.replace("WITH", "WITH RECURSIVE", 1)}, node AS (SELECT qid, sid, bibest = 1 AS anchor, q.contig AS qc, s.contig AS sc, q.pos AS qp, s.pos AS sp, q.orient * s.orient AS own FROM rel JOIN place q ON q.id = qid JOIN place s ON s.id = sid),
+bounds AS (SELECT contig AS qc, min(pos) AS low, max(pos) AS high FROM place GROUP BY 1), tries AS (SELECT * FROM (VALUES (0, 1, 1), (1, 2, 1), (2, 3, 1), (3, 1, 2), (4, 2, 2)) v(r, a, b), (VALUES (1), (-1)) x(d), (VALUES (1), (-1)) y(t)),
+met AS (SELECT x.qid, x.sid, d, t, arg_min(y.qid, r) AS q2, arg_min(y.sid, r) AS s2, arg_min(y.anchor, r) AS stops FROM node x JOIN bounds ON bounds.qc = x.qc CROSS JOIN tries JOIN node y ON y.qc = x.qc AND y.sc = x.sc AND y.qp = x.qp + d * a AND y.sp = x.sp + d * t * b WHERE b = 1 OR x.qp + 3 * d BETWEEN low AND high GROUP BY 1, 2, 3, 4),
+walk(qid, sid, d, t) AS (SELECT qid, sid, d, own FROM node, (VALUES (1), (-1)) x(d) WHERE anchor UNION SELECT q2, s2, m.d, m.t FROM walk w JOIN met m ON m.qid = w.qid AND m.sid = w.sid AND m.d = w.d AND m.t = w.t WHERE NOT stops)
+SELECT qid, sid, anchor, NOT anchor AND (qid, sid) IN (SELECT (qid, sid) FROM walk) AS extended FROM node""",
 )
 def j05(spark, sf_dir):
     return P.extended_anchors(*_relations(spark, sf_dir), F.col("bibest") == 1)

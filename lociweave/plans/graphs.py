@@ -41,6 +41,19 @@ def g03(spark, sf_dir):
     return G.top_cliques(H.reciprocal(H.best_match(ratios(spark, sf_dir))).select("qid", "sid"))
 
 
+@query(
+    "g03_whole_cliques",
+    """WITH m AS (SELECT a.p_partkey AS qid, b.p_partkey AS sid, -abs(a.p_retailprice - b.p_retailprice) AS score FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size % 10 = b.p_size % 10 WHERE a.p_partkey <> b.p_partkey),
+bar AS (SELECT qid, max(score) FILTER (score < -60) AS bar, count(*) AS n FROM m GROUP BY 1), own AS (SELECT qid, n, list_sort(list_append(list(sid), qid)) AS s FROM m JOIN bar USING (qid) WHERE score >= -60 AND (bar IS NULL OR score >= bar) GROUP BY qid, n HAVING count(*) >= 2),
+x AS (SELECT qid, s, unnest(s) AS o FROM own), ok AS (SELECT x.qid, count(*) AS top, max(y.n) AS most FROM x JOIN own y ON y.qid = x.o AND y.s = x.s GROUP BY x.qid, x.s HAVING count(*) = len(x.s)) SELECT qid, coalesce(top, 0) AS top, CASE WHEN most = top - 1 THEN top ELSE 0 END AS whole FROM bar LEFT JOIN ok USING (qid)""",
+)
+def g03w(spark, sf_dir):
+    """Parts of a brand and a class of sizes match each other, the nearer in price the better; mutual within 60."""
+    side = lambda k: table(spark, sf_dir, "part").select(F.col("p_partkey").alias(f"{k}id"), "p_brand", (F.col("p_size") % 10).alias("c"), F.col("p_retailprice").alias(f"{k}price"))
+    m = side("q").join(side("s"), ["p_brand", "c"]).where("qid <> sid").select("qid", "sid", (-F.abs(F.col("qprice") - F.col("sprice"))).alias("score"))
+    return G.cliques(m.withColumn("mutual", F.col("score") >= -60))
+
+
 @query("g05_chains")
 def g05c(spark, sf_dir):
     from ..operators import order as O

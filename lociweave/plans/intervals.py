@@ -78,6 +78,14 @@ def w09(spark, sf_dir):
     return V.merge_runs(d, "kind")
 
 
+@query("w09_trim_by_priority", f"""{WITH}, d AS (SELECT contig, start, stop, min(name) AS name, min(kind) AS kind FROM intervals GROUP BY contig, start, stop), e AS (SELECT DISTINCT contig, unnest([start, stop + 1]) AS start FROM d), p AS (SELECT contig, start, lead(start) OVER (PARTITION BY contig ORDER BY start) - 1 AS stop FROM e),
+o AS (SELECT p.contig, p.start, p.stop, arg_min(d.name, (kind, d.start, d.name)) AS name, min(kind) AS kind FROM p JOIN d ON d.contig = p.contig AND d.start <= p.start AND d.stop >= p.stop GROUP BY 1, 2, 3), n AS (SELECT *, CASE WHEN lag(stop) OVER w + 1 = start THEN 0 ELSE 1 END AS new FROM o WINDOW w AS (PARTITION BY contig, name ORDER BY start)),
+r AS (SELECT *, sum(new) OVER (PARTITION BY contig, name ORDER BY start ROWS UNBOUNDED PRECEDING) AS run FROM n), z AS (SELECT contig, name, kind, min(start) AS start, max(stop) AS stop FROM r GROUP BY contig, name, kind, run) SELECT contig, name, kind, start, stop FROM (SELECT *, row_number() OVER (PARTITION BY contig, name ORDER BY stop - start DESC, start) AS k FROM z) WHERE k = 1""")
+def w09t(spark, sf_dir):
+    d = intervals(spark, sf_dir).groupBy("contig", "start", "stop").agg(F.min("name").alias("name"), F.min("kind").alias("kind"))
+    return V.trim_by_priority(d, "kind", 200)
+
+
 @query("j10_range_predicate", f"{WITH} SELECT contig, start, stop, name FROM intervals WHERE start BETWEEN 2000 AND 2100 OR stop BETWEEN 2000 AND 2100")
 def j10(spark, sf_dir):
     return intervals(spark, sf_dir).where(F.col("start").between(2000, 2100) | F.col("stop").between(2000, 2100)).select("contig", "start", "stop", "name")
