@@ -319,3 +319,80 @@ def test_spaced_representatives_against_a_walk(spark):
                         s += 1
         got = D.spaced_representatives(spark.createDataFrame(rows, "type string, node long, distance double"), quota, gap)
         assert {tuple(r) for r in got.collect()} == want
+
+
+def test_walks_from_anchors(spark):
+    rng = random.Random(5)
+    places = [(c * 100 + p, c, p, rng.choice((1, -1))) for c in range(4) for p in range(1, 31)]
+    at = {i: (c, p, o) for i, c, p, o in places}
+    pairs = {(q, s): rng.random() < 0.1 for q in at for s in at if at[q][0] != at[s][0] and rng.random() < 0.12}
+    of = {(*at[q][:2], *at[s][:2]): (q, s) for q, s in pairs}
+    want = set()
+    for (q, s), start in pairs.items():
+        for d in (1, -1) if start else ():
+            (qc, qp, qo), (sc, sp, so) = at[q], at[s]
+            while True:
+                tries = [(a, b) for a, b in P.WALK_STEPS if b == 1 or 1 <= qp + 3 * d <= 30]
+                met = [x for a, b in tries if (x := (qc, qp + d * a, sc, sp + d * qo * so * b)) in of]
+                if not met or pairs[of[met[0]]]:
+                    break
+                want.add(of[met[0]])
+                _, qp, _, sp = met[0]
+    rel = spark.createDataFrame([(q, s, a) for (q, s), a in pairs.items()], "qid long, sid long, a boolean")
+    got = P.extended_anchors(rel, spark.createDataFrame(places, "id long, contig long, pos long, orient int"), rel["a"]).collect()
+    assert len(got) == len(pairs) and {(r.qid, r.sid) for r in got if r.extended} == want
+
+
+def _spread(parents):
+    """Distances between all nodes of {node: (parent, length)}."""
+    near = {n: [] for n in parents}
+    for n, (p, length) in parents.items():
+        if p is not None:
+            near[n].append((p, length))
+            near[p].append((n, length))
+    out = {}
+    for a in near:
+        todo = [(a, None, 0.0)]
+        while todo:
+            n, came, d = todo.pop()
+            out[a, n] = d
+            todo += [(m, n, d + length) for m, length in near[n] if m != came]
+    return out
+
+
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_new_roots_keep_distances(spark, seed):
+    rng = random.Random(seed)
+    parents = {1: (None, 0.0)} | {n: (rng.randint(max(1, n - 6), n - 1), float(rng.randint(1, 20))) for n in range(2, 31)}
+    tree = spark.createDataFrame([(n, p, str(n), length) for n, (p, length) in parents.items()], "node long, parent long, name string, length double")
+    before = _spread(parents)
+    node, above = R.midpoint(tree)
+    new = {r.node: (r.parent, r.length) for r in R.reroot(tree, node, above, 0).collect()}
+    after = _spread(new)
+    assert [n for n, (p, _) in new.items() if p is None] == [0]
+    assert all(after[a, b] == before[a, b] for a, b in before if a in new and b in new)
+    assert sorted((after[0, n] for n in new), reverse=True)[0] == max(before.values()) / 2
+
+
+def test_trimmed_intervals(spark):
+    rng = random.Random(7)
+    rows = [(c, s, s + rng.randint(0, 30), f"n{c}_{k:02}", rng.randint(0, 3)) for c in range(3) for k in range(25) for s in [rng.randint(0, 150)]]
+    want = set()
+    for c in range(3):
+        owner = {p: min((k, s, n) for _, s, e, n, k in mine if s <= p <= e) for mine in [[r for r in rows if r[0] == c]] for p in range(200) if any(s <= p <= e for _, s, e, _, _ in mine)}
+        for _, _, _, n, k in (r for r in rows if r[0] == c):
+            runs = [list(g) for _, g in itertools.groupby(enumerate(p for p in sorted(owner) if owner[p][2] == n), lambda x: x[1] - x[0])]
+            if runs:
+                best = max(runs, key=lambda g: (len(g), -g[0][1]))
+                want.add((c, n, k, best[0][1], best[-1][1]))
+    got = V.trim_by_priority(spark.createDataFrame(rows, "contig long, start long, stop long, name string, kind int"), "kind", 10)
+    assert {tuple(r) for r in got.collect()} == want
+
+
+def test_cliques(spark):
+    rows = [(a, b, 9.0, True) for a, b in itertools.permutations((1, 2, 3), 2)]
+    rows += [(a, b, 8.0, True) for a, b in itertools.permutations((4, 5, 6), 2)] + [(4, 7, 3.0, False)]
+    rows += [(a, b, 7.0, True) for a, b in itertools.permutations((10, 11, 12), 2)] + [(11, 13, 7.5, False)]
+    rows += [(20, 21, 5.0, True), (21, 20, 5.0, True), (1, 1, 10.0, True)]
+    got = {r.qid: (r.top, r.whole) for r in G.cliques(spark.createDataFrame(rows, "qid long, sid long, score double, mutual boolean")).collect()}
+    assert got == {1: (3, 3), 2: (3, 3), 3: (3, 3), 4: (3, 0), 5: (3, 0), 6: (3, 0), 10: (0, 0), 11: (0, 0), 12: (0, 0), 20: (0, 0), 21: (0, 0)}
