@@ -19,6 +19,9 @@ MODULES = {
     "op4_consistent_hash_sharding": "sharding",
     "op9_token_counts": "token_counts",
     "op10_best_fit_packing": "packing",
+    "op11_fill_in_middle": "infill",
+    "op12_language_id": "language",
+    "op13_tokenizer_alignment": "alignment",
 }
 
 
@@ -27,4 +30,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_embedding_join": importlib.import_module(".embedding_join", __package__).OP3_SQL}
+    sql = {"op3_embedding_join": ("embedding_join", "OP3_SQL"), "op11_fill_in_middle": ("infill", "OP11_SQL")}
+    return {name: getattr(importlib.import_module(f".{module}", __package__), text) for name, (module, text) in sql.items()}
