@@ -21,9 +21,11 @@ a block is a block of its own. Neither vocabulary has a token without bytes, so
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,11 @@ from .token_counts import load_tokenizer, text_groups
 
 BLOCK_CHARS = 4_000_000
 CACHE_CHARS = 64_000_000  # of units and their groups that a worker keeps from one block to the next
-_BOUNDARY = re.compile(r"(?<=\S)(?= \S)")
+JOINED = 1000  # units that are encoded as one text
+LEAD = " a"  # stands before units that are encoded, so that each follows another character
+_BOUNDARY = re.compile(r"(?<=\S)(?=[ \n]\S)")
+#: The pattern of side A, under which a blank or line feed after another character begins a token.
+PATTERN = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
 
 
 def byte_of_letter() -> dict[str, int]:
@@ -53,7 +59,10 @@ class ByteLevel:
         self.tokenizer = load_tokenizer(file)
         self.tokenizer.encode_special_tokens = True
         letters = byte_of_letter()
-        self.bytes = {i: bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode() for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
+        vocabulary = sorted((i, t) for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items())
+        self.bytes = {i: bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode() for i, t in vocabulary}
+        known = json.loads(self.tokenizer.to_str())
+        self.cuts = known["normalizer"] is None and known["pre_tokenizer"] == PATTERN
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -69,46 +78,41 @@ class Pieces:
         self.model = SentencePieceProcessor(model_file=public_tokenizers.path(file))
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.bytes = {i: bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)}
-        self.cuts_at_blanks = not any(re.search("[^▁]▁", p) for p in pieces)
+        self.cuts = not any(re.search("\n|[^▁]▁", p) for p in pieces)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode([t[1:] for t in texts], num_threads=1)
 
 
-def merged(a: list[int], b: list[int], a_sizes: dict[int, int], b_sizes: dict[int, int]) -> tuple[list[str], list[tuple[int, int]]]:
-    """Groups, written as `a1,a2|b1`, and links of two token lists that cover the same bytes: two pointers over cumulative ends."""
-    groups, links = [], []
-    i = j = first_a = first_b = 0
-    end_a, end_b = a_sizes[a[0]], b_sizes[b[0]]
-    while True:
-        if end_a < end_b:
+def merged(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
+    """How many tokens of either side lie up to each place where both end: two pointers over cumulative ends."""
+    upto_a, upto_b = [], []
+    i = j = 0
+    while i < len(a):
+        if a[i] < b[j]:
             i += 1
-            end_a += a_sizes[a[i]]
-        elif end_b < end_a:
+        elif b[j] < a[i]:
             j += 1
-            end_b += b_sizes[b[j]]
         else:
-            links.append((a[i], b[j]))
             i, j = i + 1, j + 1
-            groups.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
-            if i == len(a):
-                return groups, links
-            first_a, first_b = i, j
-            end_a += a_sizes[a[i]]
-            end_b += b_sizes[b[j]]
+            upto_a.append(i)
+            upto_b.append(j)
+    return upto_a, upto_b
 
 
 class Aligner:
-    """Units that were met, each with its numbers of tokens and groups, its groups as text, and its links as places in a list of pairs."""
+    """Units that were met, each with its numbers of tokens and groups, its groups as bytes, and its links as places in a list of pairs."""
 
     def __init__(self, a_file: str, b_file: str) -> None:
         self.a, self.b = ByteLevel(a_file), Pieces(b_file)
-        self.a_sizes, self.b_sizes = ({i: len(x) for i, x in side.bytes.items()} for side in (self.a, self.b))
+        self.cuts = self.a.cuts and self.b.cuts
+        self.lengths = [np.array([len(side.bytes.get(i, b"")) for i in range(max(side.bytes) + 1)]) for side in (self.a, self.b)]
+        self.written = [np.array([[b"%d%s" % (i, end) for i in range(max(side.bytes) + 1)] for end in (b",", last)], object) for side, last in ((self.a, b"|"), (self.b, b";"))]
         self.forget()
 
     def forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.groups: list[str] = []
+        self.groups: list[bytes] = []  # each ends with `;`
         self.pair_place: dict[int, int] = {}
         self.pairs = array("q")  # A id in the upper 32 bits, B id in the lower
         self.sizes = array("q")  # four numbers a unit: tokens of A and B, groups, faithful
@@ -116,24 +120,68 @@ class Aligner:
         self.chars = 0
 
     def units(self, text: str) -> list[str]:
-        return _BOUNDARY.split(" " + text) if self.b.cuts_at_blanks else [" " + text]
+        text = " " + text
+        if not self.cuts:
+            return [text]
+        words = text.split()
+        if sum(map(len, words)) + len(words) == len(text) and text.count(" ") + text.count("\n") == len(words) and "\0" not in text:
+            return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")[1:]  # one blank before each word
+        return _BOUNDARY.split(text)
 
     def add(self, units: list[str]) -> None:
-        for unit, a, b in zip(units, self.a.encode(units), self.b.encode(units), strict=True):
-            raw = unit.encode()
-            good = b"".join(map(self.a.bytes.__getitem__, a)) == raw == b"".join(map(self.b.bytes.__getitem__, b))
-            groups, links = merged(a, b, self.a_sizes, self.b_sizes) if good else ([], [])
-            self.place[unit] = len(self.groups)
-            self.groups.append(";".join(groups))
-            self.sizes.extend((len(a), len(b), len(groups), good))
-            for x, y in links:
-                pair = x << 32 | y
-                if pair not in self.pair_place:
-                    self.pair_place[pair] = len(self.pairs)
-                    self.pairs.append(pair)
-                self.links.append(self.pair_place[pair])
-            self.begins.append(len(self.links))
-            self.chars += len(unit) + len(self.groups[-1])
+        """Many units are encoded as one text; one that may not give back its bytes, ends with a blank or is long is encoded alone."""
+        together = [u for u in units if self.cuts and len(u) <= 256 and not u[-1].isspace() and "▁" not in u]
+        alone = set(units).difference(together)
+        runs = [together[k : k + JOINED] for k in range(0, len(together), JOINED)] + [[u] for u in sorted(alone)]
+        first = LEAD if self.cuts else ""
+        for k in range(0, len(runs), 64):
+            texts = [first + "".join(run) for run in runs[k : k + 64]]
+            for run, text, a, b in zip(runs[k : k + 64], texts, self.a.encode(texts), self.b.encode(texts), strict=True):
+                if not self.note(run, text, a, b, len(first)) and len(run) > 1:
+                    for unit in run:
+                        ((one,), (two,)) = self.a.encode([first + unit]), self.b.encode([first + unit])
+                        self.note([unit], first + unit, one, two, len(first))
+
+    def note(self, units: list[str], text: str, a: list[int], b: list[int], skip: int) -> bool:
+        """Enter units whose text, after `skip` bytes, has these tokens; False, and several units are not entered, if the tokens don't give back the bytes."""
+        raw = text.encode()
+        if not b"".join(map(self.a.bytes.__getitem__, a)) == raw == b"".join(map(self.b.bytes.__getitem__, b)):
+            if len(units) == 1:
+                self.enter(units, np.zeros((1, 4), np.int64), [b""], np.zeros(0, np.int64), np.zeros(1, np.int64))
+            return False
+        a_ids, b_ids = np.array(a), np.array(b)
+        a_ends, b_ends = np.cumsum(self.lengths[0][a_ids]), np.cumsum(self.lengths[1][b_ids])
+        upto_a, upto_b = (np.array(x) for x in merged(a_ends.tolist(), b_ends.tolist()))
+        group_ends = a_ends[upto_a - 1]
+        borders = np.cumsum([skip, *(len(u.encode()) for u in units)])
+        at = np.searchsorted(group_ends, borders, "right")
+        if not np.array_equal(borders[borders > 0], group_ends[at[borders > 0] - 1]):
+            raise ValueError("the tokenisers don't part between units")
+        pairs = a_ids[upto_a - 1] << 32 | b_ids[upto_b - 1]
+        i, j = np.arange(len(a_ids)), np.arange(len(b_ids))
+        of_a, of_b = np.searchsorted(upto_a, i, "right"), np.searchsorted(upto_b, j, "right")
+        every = np.empty(len(i) + len(j), object)
+        every[i + np.concatenate([[0], upto_b])[of_a]] = self.written[0][(upto_a[of_a] == i + 1).astype(int), a_ids]
+        every[j + upto_a[of_b]] = self.written[1][(upto_b[of_b] == j + 1).astype(int), b_ids]
+        every = every.tolist()
+        n_a, n_b = (np.concatenate([[0], x])[at] for x in (upto_a, upto_b))
+        cut = (n_a + n_b).tolist()
+        groups = [b"".join(every[x:y]) for x, y in zip(cut, cut[1:], strict=False)]
+        sizes = np.stack([np.diff(n_a), np.diff(n_b), np.diff(at), np.ones(len(units), np.int64)], axis=1)
+        self.enter(units, sizes, groups, pairs[at[0] :], np.diff(at))
+        return True
+
+    def enter(self, units: list[str], sizes: np.ndarray, groups: list[bytes], pairs: np.ndarray, n: np.ndarray) -> None:
+        self.place.update(zip(units, range(len(self.groups), len(self.groups) + len(units)), strict=True))
+        self.groups += groups
+        self.sizes.frombytes(sizes.astype(np.int64).tobytes())
+        known, own = self.pair_place, pairs.tolist()
+        new = [x for x in dict.fromkeys(own) if x not in known]
+        known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
+        self.pairs.extend(new)
+        self.begins.frombytes((len(self.links) + np.cumsum(n)).astype(np.int64).tobytes())
+        self.links.extend(map(known.__getitem__, own))
+        self.chars += sum(map(len, units)) + sum(map(len, groups))
 
     def of(self, texts: list[str]) -> list[list[int]]:
         """The places of each text's units; all of them are known afterwards."""
@@ -144,19 +192,22 @@ class Aligner:
         for units in cut:
             missing.update(units)
         missing.difference_update(self.place)
-        new = sorted(missing)
-        for k in range(0, len(new), 10_000):
-            self.add(new[k : k + 10_000])
+        self.add(sorted(missing))
         return [list(map(self.place.__getitem__, units)) for units in cut]
 
 
+@lru_cache(1)
+def aligner_of(a: str, b: str) -> Aligner:
+    """A worker keeps its units from one task to the next."""
+    return Aligner(a, b)
+
+
 def token_groups(docs: DataFrame, a: str = "byte_bpe_50k.json", b: str = "piece_bpe_32k.model") -> DataFrame:
     """doc_id, n_a, n_b, groups for each row; groups as `a1,a2|b1;a3|b2,b3`."""
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = None
+        aligner = aligner_of(a, b)
         for batch in batches:
-            aligner = aligner or Aligner(a, b)
             at = 0
             for run in text_groups([t or "" for t in batch.column(1).to_pylist()], BLOCK_CHARS):
                 n_a, n_b, groups = [], [], []
@@ -165,7 +216,7 @@ def token_groups(docs: DataFrame, a: str = "byte_bpe_50k.json", b: str = "piece_
                     good = all(s[3] for s in sizes)
                     n_a.append(sum(s[0] for s in sizes) if good else 0)
                     n_b.append(sum(s[1] for s in sizes) if good else 0)
-                    groups.append(";".join(aligner.groups[p] for p in places) if good else "")
+                    groups.append(b"".join(aligner.groups[p] for p in places)[:-1].decode() if good else "")
                 yield pa.RecordBatch.from_arrays([batch.column(0)[at : at + len(run)], pa.array(n_a, pa.int64()), pa.array(n_b, pa.int64()), pa.array(groups)], ["doc_id", "n_a", "n_b", "groups"])
                 at += len(run)
 
@@ -180,9 +231,8 @@ def blocks_of(docs: DataFrame, a: str, b: str) -> DataFrame:
     kind = docs.schema["doc_id"].dataType
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, block = None, TaskContext.get().partitionId() << 32
+        aligner, block = aligner_of(a, b), TaskContext.get().partitionId() << 32
         for batch in batches:
-            aligner = aligner or Aligner(a, b)
             at = 0
             for run in text_groups([t or "" for t in batch.column(1).to_pylist()], BLOCK_CHARS):
                 cut = aligner.of(run)
@@ -197,7 +247,7 @@ def blocks_of(docs: DataFrame, a: str, b: str) -> DataFrame:
                         found.append(links[:0])
                         continue
                     numbers.append(own[:, :3].sum(0))
-                    digests.append(hashlib.sha256(";".join([aligner.groups[p] for p in places]).encode()).hexdigest())
+                    digests.append(hashlib.sha256(b"".join([aligner.groups[p] for p in places])[:-1]).hexdigest())
                     first, n = begins[places], begins[np.array(places) + 1] - begins[places]
                     found.append(links[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())])
                 every = np.concatenate(found)
