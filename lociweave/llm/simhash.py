@@ -20,8 +20,8 @@
 
 Input cases: a null text counts as empty; empty texts have fingerprint zero and
 link like any other; repeated rows share a fingerprint; very long texts are hashed
-in slices; rows with null doc_id get the component of the rows with equal
-fingerprint that have one; empty table: empty result; other columns are ignored by near_components
+in slices; rows with null doc_id link and pass links on like any other, and a component
+without any doc_id is null; empty table: empty result; other columns are ignored by near_components
 and kept by keep_first.
 """
 
@@ -322,7 +322,8 @@ def similar_pairs(pairs: DataFrame, docs: DataFrame, words: int, similarity: flo
 def near_components(prints: DataFrame, radius: int, keys: Column, verify: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """doc_id, fp, component_id of each row of the stored prints; keys: column of block keys for a fingerprint's row; verify: keeps the pairs (a, b) that link."""
     more = "bands" if "bands" in prints.columns else "bits"
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("node"), F.first(more).alias(more), F.count(F.lit(1)).alias("copies"))
+    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.first(more).alias(more), F.count(F.lit(1)).alias("copies"))
+    distinct = distinct.withColumn("node", F.col("bits") if more == "bits" else F.col("first"))  # of 64 bits the fingerprint itself: rows without doc_id pass links on
     rows = distinct.where("node is not null").select(F.explode(keys).alias("key"), "node", "fp")
     total = prints.count()
     edges = stored(block_links(rows, radius, total, verify is not None))
@@ -333,7 +334,10 @@ def near_components(prints: DataFrame, radius: int, keys: Column, verify: Callab
         drop_stored(found)
     joined = components(edges)
     drop_stored(edges)
-    tied = distinct.select("fp", "node", "copies").join(joined, "node", "left").select("fp", "copies", F.coalesce("component", "node").alias("component_id"))
+    linked = stored(joined.union(joined.select("component", "component").distinct()))
+    low = linked.join(distinct.where("node is not null").select("node", "first"), "node").groupBy("component").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    named = join_counted(linked, low, ["component"], linked.count(), "n").select("node", "component_id")
+    tied = distinct.join(named, "node", "left").select("fp", "copies", F.coalesce("component_id", "first").alias("component_id"))
     return join_counted(prints.select("doc_id", "fp", *(["bits"] if more == "bits" else [])), tied, ["fp"], total, "copies")
 
 

@@ -161,3 +161,11 @@ def test_popular_keys_meet_copies_of_wide_rows(spark):
     got = join_salted(rows, keyed, "k")
     assert got.columns == ["k", "row", "v"]
     assert sorted((r.k, r.row, r.v[0]) for r in got.collect()) == sorted((k, r, k) for r, k in enumerate(keys) if k != 5)
+
+
+def test_rows_without_doc_id_pass_links_on(spark):
+    far = 0xF0F0F0F0 << 20
+    rows = [(9, 7), (None, 3), (1, 0), (1, 0), (None, far), (None, far + 1), (4, 0xFFFFFF << 36)]
+    df = spark.createDataFrame([(d, b.to_bytes(8, "little"), b) for d, b in rows], "doc_id long, fp binary, bits long")
+    got = S.near_components(df, 2, S.part_keys(2)).collect()
+    assert sorted((r.bits, r.component_id) for r in got) == sorted([(7, 1), (3, 1), (0, 1), (0, 1), (far, None), (far + 1, None), (0xFFFFFF << 36, 4)], key=lambda r: r[0])
