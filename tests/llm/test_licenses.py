@@ -88,3 +88,60 @@ def test_every_notice_within_a_long_line():
 def test_all_notices_in_one_line():
     for order in (L.TEMPLATES, L.TEMPLATES[::-1]):
         assert [f[0] for f in L.Scanner().scan(" ".join(t for _, t in order))] == [n for n, _ in order]
+
+
+def every_occurrence(text):
+    """(template, start, end, differing) of all alignments within the budget, without candidates or ranking."""
+    there = list(L.words_of(text))
+    words = [w for w, _, _ in there]
+    out = set()
+    for k, (_, t) in enumerate(L.TEMPLATES):
+        item = [w for w, _, _ in L.words_of(t)]
+        most = int(L.EDITS * len(item))
+        if len(set(item) - set(words)) > most:
+            continue
+        number = {}
+        codes = L.np.array([number.setdefault(w, len(number)) for w in words])
+        for d, a, b in L.occurrences(L.np.array([number.get(w, -1) for w in item]), codes, most):
+            out.add((k, there[a][1], there[b - 1][2], d))
+    return out
+
+
+def held_against_all(text):
+    """Each finding is an alignment with that many words differing, or what is left of it without such words at its ends, and each alignment overlaps a finding."""
+    got, every = L.Scanner().scan(text), every_occurrence(text)
+    names = {(L.TEMPLATES[k][0], a, b, d) for k, a, b, d in every}
+    for name, a, b, _, d in got:
+        assert any(n == name and x <= a and b <= y and e == d for n, x, y, e in names)
+    assert all(any(a < y and x < b for _, x, y, _, _ in got) for _, a, b, _ in every)
+    assert all(p[2] <= q[1] for p, q in zip(got, got[1:], strict=False))
+    return got
+
+
+def test_against_all_places(spark, sf_dir):
+    found = sum(len(held_against_all(d.text)) for d in spark.read.parquet(f"{sf_dir}/documents.parquet").collect() if d.text)
+    assert found >= 5
+
+
+def test_changed_words_lose_nothing():
+    rng = random.Random(8)
+    for name, notice in L.TEMPLATES:
+        words = notice.split()
+        most = int(L.EDITS * len(list(L.words_of(notice))))
+        for _ in range(6):
+            changed = list(words)
+            for at in rng.sample(range(len(words)), min(most, len(words) - 1)):
+                changed[at] = rng.choice(["qq", changed[at] + " zz", ""]) if rng.random() < 0.6 else "ww"
+            text = "Some words before it. " + " ".join(changed) + " and words after it"
+            got = held_against_all(text)
+            if every_occurrence(text):
+                assert got
+    for text in ("Distribution" + next(t for n, t in L.TEMPLATES if n == "BSD")[14:], "This is free and unencumbered software released into the publik domain."):
+        assert [f[4] for f in L.Scanner().scan(text)] == [1]
+
+
+def test_full_texts_before_parts():
+    for name, notice in L.TEMPLATES:
+        assert [(f[0], f[4]) for f in L.Scanner().scan("x " + notice + " y")] == [(name, 0)]
+        first = L.Scanner().ranked(notice, set(range(len(L.TEMPLATES))))[0]
+        assert L.TEMPLATES[first][0] == name or notice.rstrip(".") in L.TEMPLATES[first][1]
