@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 from .common import stored, table
 from .token_counts import load_tokenizer, text_groups
 
-BLOCK_CHARS = 4_000_000
-CACHE_CHARS = 64_000_000  # of units and their groups that a worker keeps from one block to the next
+BLOCK_CHARS = 2_000_000
+CACHE_CHARS = 24_000_000  # of units and their groups that a worker keeps from one block to the next
 JOINED = 1000  # units that are encoded as one text
 LEAD = " a"  # stands before units that are encoded, so that each follows another character
 _BOUNDARY = re.compile(r"(?<=\S)(?=[ \n]\S)")
