@@ -35,20 +35,29 @@ def fragment_labels(matches: DataFrame, members: DataFrame, short: float = 0.9,
     return got.select(F.col("qid").alias("feat"), "cluster", label.alias("label")).where("label is not null")
 
 
-def fragment_groups(hits: DataFrame, places: DataFrame, whole_matches: DataFrame, apart: int = 3, ratio: float = 1.33, at_least: int = 1) -> DataFrame:
-    """feat, group, kept: neighbouring features that queries hit as pieces of one; the longest of each group is kept.
+def fragment_groups(hits: DataFrame, places: DataFrame, whole_matches: DataFrame, apart: int = 3, ratio: float = 1.33, at_least: int = 1, ends: int = 2) -> DataFrame:
+    """feat, group, kept: features that queries hit as pieces of one; the longest of each group is kept.
 
-    hits: qid, sid, start, stop (on the query); places: feat, contig, pos, length; whole_matches: feat, n. Of a query's hits on one contig
-    two that follow each other, at most `apart` positions away, whose lengths together stay below ratio x their span, link their
-    features. A link needs at_least queries and half as many as either feature has whole matches.
+    hits: qid, sid, start, stop (on the query); places: feat, contig, pos, length, and genome where contigs are parts of one; whole_matches: feat, n. Two rules
+    link features. A query's only two hits in a genome, each among the `ends` first or last places of its contig, the same or two: one
+    piece may go on where the contig ends. Else, of a query's hits on one contig, two that follow each other, at most `apart` positions away.
+    Under both the lengths together must stay below ratio x their span on the query. A link needs at_least queries and half as many as either feature has whole matches.
     """
-    h = hits.join(places.select(F.col("feat").alias("sid"), "contig", "pos"), "sid")
+    if "genome" not in places.columns:
+        places = places.withColumn("genome", F.col("contig"))
+    reach = places.groupBy("contig").agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
+    at = places.join(reach, "contig").withColumn("at_end", (F.col("pos") - F.col("first") < ends) | (F.col("last") - F.col("pos") < ends))
+    h = hits.join(at.select(F.col("feat").alias("sid"), "contig", "pos", "genome", "at_end"), "sid")
+    one = F.struct("sid", "start", "stop")
+    two = h.groupBy("qid", "genome").agg(F.count(F.lit(1)).alias("n"), F.min(one).alias("x"), F.max(one).alias("y"), F.min("at_end").alias("at_ends")).where("n = 2 and at_ends")
+    fits = lambda a0, a1, b0, b1: F.col(a1) - F.col(a0) + F.col(b1) - F.col(b0) + 2 < ratio * (F.greatest(a1, b1) - F.least(a0, b0) + 1)
+    over = two.where(fits("x.start", "x.stop", "y.start", "y.stop")).select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b"), "qid")
     w = Window.partitionBy("qid", "contig").orderBy("pos", "sid")
     before = lambda c: F.lag(c).over(w)
-    pair = h.select("qid", "start", "stop", "pos", F.col("sid").alias("b"), *(before(c).alias(n) for c, n in (("sid", "a"), ("start", "start0"), ("stop", "stop0"), ("pos", "pos0"))))
-    span = F.greatest("stop", "stop0") - F.least("start", "start0") + 1
-    both = F.col("stop") - F.col("start") + F.col("stop0") - F.col("start0") + 2
-    near = pair.where((F.col("pos") - F.col("pos0")).between(1, apart) & (both < ratio * span))
+    inside = h.join(two.select("qid", "genome"), ["qid", "genome"], "left_anti")
+    pair = inside.select("qid", "start", "stop", "pos", F.col("sid").alias("b"), *(before(c).alias(n) for c, n in (("sid", "a"), ("start", "start0"), ("stop", "stop0"), ("pos", "pos0"))))
+    near = pair.where((F.col("pos") - F.col("pos0")).between(1, apart) & fits("start0", "stop0", "start", "stop"))
+    near = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "qid").union(over)
     links = near.groupBy("a", "b").agg(F.countDistinct("qid").alias("weight")).where(F.col("weight") >= at_least)
     for side in ("a", "b"):
         n = whole_matches.select(F.col("feat").alias(side), "n")

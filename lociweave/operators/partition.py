@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,3 +65,53 @@ def spaced_representatives(distances: DataFrame, quota: int, gap: float) -> Data
         return F.when(takes, taken).otherwise(state)
 
     return lists.select("type", F.explode(F.aggregate(numbered, begin, walk, lambda s: s["took"])).alias("x")).select("type", "x.node", "x.distance")
+
+
+def farthest_representatives(nodes: DataFrame, first: DataFrame, distances: DataFrame, redundant: float, quit: float, stop_mean: float, stop_least: float, most: int, at_once: int, stop_new: int = 0) -> DataFrame:
+    """node, state, representative, identity, round: representatives added in rounds until the others are near enough to one.
+
+    nodes: node, place; first: node, number (from 0), the first representatives; distances: a, b, distance, either way round, pairs that are not there
+    count as 1; identity is 100 (1 - distance). Each round joins the others with the new representatives only and keeps a running nearest one, the
+    earlier at a tie. Those with an identity of `redundant` or more to any are redundant and go. Of each representative's others the
+    farthest one (the first by place at a tie) may become one, the farthest of all first, as long as its identity is below `quit`; at most as many as there are
+    representatives, `at_once`, and up to `most` in all. When the mean or the least identity to the nearest has come to its stop, stop_new or
+    fewer were added, or none but redundant ones are left, the last ones are joined and it ends. States: representative, redundant (with the first one that
+    it is redundant to), covered. Rounds are written; what comes to the driver is one row of numbers a round.
+    """
+    pair = settle(distances.select("a", "b", "distance").union(distances.select("b", "a", "distance")).groupBy(F.col("a").alias("rep"), F.col("b").alias("node")).agg(F.min("distance").alias("d")))
+    identity = lambda d: F.round(100 * (1 - d), 9)
+    new = settle(first.select(F.col("node").alias("rep"), F.col("number").cast("long").alias("number"), F.lit(None).cast(nodes.schema["node"].dataType).alias("of"), F.lit(None).cast("double").alias("d")))
+    rest = settle(nodes.select("node", "place").join(new.select(F.col("rep").alias("node")), "node", "left_anti").withColumn("near", F.lit(None).cast("struct<d:double,number:long>")))
+    found = [new.select("rep", "number", "of", "d", F.lit(0).alias("round"))]
+    gone, total, last, n = [], new.count(), False, 0
+    while True:
+        n += 1
+        met = rest.select("node").join(pair, "node").join(new.select("rep", "number"), "rep")
+        nearest = met.groupBy("node").agg(F.min(F.struct(F.col("d").cast("double").alias("d"), "number")).alias("x"), F.min(F.when(identity(F.col("d")) >= redundant, F.struct("number", F.col("d").cast("double").alias("d")))).alias("hit"))
+        least = new.agg(F.min("number")).first()[0]
+        unseen = F.struct(F.lit(1.0).alias("d"), F.lit(least).cast("long").alias("number"))  # a pair that is not there counts as 1
+        now = rest.join(nearest, "node", "left").select("node", "place", F.least(F.coalesce("near", unseen), F.coalesce("x", unseen)).alias("near"), "hit") if least is not None else rest.withColumn("hit", F.lit(None).cast("struct<number:long,d:double>"))
+        now = settle(now)
+        gone.append(now.where("hit is not null").select("node", F.col("hit.number").alias("number"), F.col("hit.d").alias("d"), F.lit(n).alias("round")))
+        rest = now.where("hit is null").select("node", "place", "near")
+        s = now.agg(F.count(F.lit(1)).alias("all"), F.sum(F.when(F.col("hit").isNotNull(), 1).otherwise(0)).alias("redundant"), F.avg(F.when(F.col("hit").isNull(), identity(F.col("near.d")))).alias("mean"), F.min(F.when(F.col("hit").isNull(), identity(F.col("near.d")))).alias("least")).first()
+        if last or s["all"] == (s["redundant"] or 0):
+            break
+        far = rest.groupBy("near.number").agg(F.max(F.struct(F.col("near.d").alias("d"), (-F.col("place")).alias("p"), "node")).alias("x"))
+        room = max(0, min(most - total, total, at_once))
+        chosen = far.where(identity(F.col("x.d")) < quit).orderBy(F.col("x.d").desc(), "number").limit(room)
+        chosen = settle(chosen.select(F.col("x.node").alias("rep"), F.col("number").alias("of_number"), F.col("x.d").alias("d")))  # at_once rows at most
+        order = Window.orderBy(F.col("d").desc(), "of_number")
+        known = reduce(DataFrame.unionByName, found).select(F.col("number").alias("of_number"), F.col("rep").alias("of"))
+        new = settle(chosen.withColumn("number", (F.row_number().over(order) - 1 + total).cast("long")).join(known, "of_number").select("rep", "number", "of", "d"))
+        found.append(new.select("rep", "number", "of", "d", F.lit(n).alias("round")))
+        added = new.count()
+        total += added
+        rest = settle(rest.join(new.select(F.col("rep").alias("node")), "node", "left_anti"))
+        last = s["mean"] >= stop_mean or s["least"] >= stop_least or added <= stop_new or added + (s["redundant"] or 0) == s["all"] or total >= most
+    reps = reduce(DataFrame.unionByName, found)
+    names = reps.select("number", F.col("rep").alias("representative"))
+    out = reps.select(F.col("rep").alias("node"), F.lit("representative").alias("state"), F.col("of").alias("representative"), identity(F.col("d")).alias("identity"), "round")
+    lost = reduce(DataFrame.unionByName, gone).join(names, "number").select("node", F.lit("redundant").alias("state"), "representative", identity(F.col("d")).alias("identity"), "round")
+    near = rest.select("node", F.col("near.number").alias("number"), F.col("near.d").alias("d")).join(names, "number").select("node", F.lit("covered").alias("state"), "representative", identity(F.col("d")).alias("identity"), F.lit(n).alias("round"))
+    return out.unionByName(lost).unionByName(near)

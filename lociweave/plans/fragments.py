@@ -97,23 +97,11 @@ def g09(spark, sf_dir):
     return D.median_partition(n, p, 0.02)
 
 
-@query("g15_refined_edges")
-def g15(spark, sf_dir):
-    """Clusters with a single edge fall off, round by round, until the edges settle."""
-
-    def step(e):
-        ends = e.select(F.explode(F.array("c1", "c2")).alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        return e.join(ends.select(F.col("c").alias("c1")), "c1", "left_semi").join(ends.select(F.col("c").alias("c2")), "c2", "left_semi").select("c1", "c2")
-
-    w = O.edge_weights(feature_edges(spark, sf_dir)).where("c1 <> c2")
-    return G.until_stable(w.select("c1", "c2").distinct(), step)
-
-
 @query("g19_fragment_groups")
 def g19(spark, sf_dir):
     h = hits(spark, sf_dir).groupBy(F.col("sid").alias("qid"), F.col("qid").alias("sid")).agg(F.min("len").alias("start"), (F.min("len") + F.max("sgenome") % 5 + 8).alias("stop"))
     p = table(spark, sf_dir, "part")
-    places = p.select(F.col("p_partkey").alias("feat"), (F.col("p_partkey") % 5).alias("contig"), F.floor(F.col("p_partkey") / 5).alias("pos"), F.col("p_size").alias("length"))
+    places = p.select(F.col("p_partkey").alias("feat"), (F.col("p_partkey") % 40).alias("contig"), F.floor(F.col("p_partkey") / 40).alias("pos"), (F.col("p_partkey") % 5).alias("genome"), F.col("p_size").alias("length"))
     return P.fragment_groups(h, places, p.select(F.col("p_partkey").alias("feat"), (F.col("p_size") % 4).alias("n")))
 
 
