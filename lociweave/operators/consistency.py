@@ -52,9 +52,10 @@ def _indexed(state: DataFrame, circular: DataFrame) -> DataFrame:
     return cols.join(contigs, "contig").select(*COLUMN, "held", (F.col("_k") - F.col("_k0")).alias("idx"), (F.col("_h") - F.col("_h0")).alias("cores"), "n", "m", "circular")
 
 
-def _observed(state: DataFrame, cols: DataFrame) -> DataFrame:
+def _observed(placed: DataFrame) -> DataFrame:
     """contig, idx, side (-1 left, 1 right), kind, neighbour, turned, distance: what stands within REACH columns, or core columns, of each column; the nearest of a cluster counts."""
-    cells = state.join(cols, COLUMN).select("contig", "idx", "cluster", "inverted", "core", (F.col("cores") - 1).alias("rank"), "n", "m", "circular").distinct()
+    cells = placed.select("contig", "idx", "cluster", "inverted", "core", (F.col("cores") - 1).alias("rank"), "n", "m", "circular").distinct()
+    cols = placed.select("contig", "idx", "held", "cores", "n", "m", "circular").distinct()
     sides = F.explode(F.array(F.lit(-1), F.lit(1))).alias("side")
     steps = lambda most: F.explode(F.when(most > 0, F.sequence(F.lit(1), F.least(F.lit(REACH).cast("long"), most)))).alias("o")
     near = cells.select("contig", "idx", "cluster", "inverted", "n", "circular", steps(F.col("n"))).select("*", sides).withColumn("at", F.col("idx") - F.col("side") * F.col("o"))
@@ -76,9 +77,9 @@ def scored(state: DataFrame, hits: DataFrame, neighbours: DataFrame, circular: D
     distance fits. One that stands the other way round counts half; the cluster's other side may take its
     place at half value. Parts of a group are near each other too.
     """
-    cols = settle(_indexed(state, circular))
-    seen = _observed(state, cols).withColumn("own", F.lit(False))
-    parts = state.join(cols.select(*COLUMN, "idx"), COLUMN).select(*CHOICE, "part", "cluster", "inverted", "idx")
+    placed = settle(state.join(_indexed(state, circular), COLUMN))
+    seen = _observed(placed).withColumn("own", F.lit(False))
+    parts = placed.select(*CHOICE, "part", "cluster", "inverted", "idx")
     grouped = state.join(state.groupBy(*CHOICE).agg(F.count(F.lit(1)).alias("k")).where("k > 1"), CHOICE, "left_semi")
     mates = grouped.groupBy(*CHOICE, F.col("cluster").alias("neighbour")).agg(F.max(F.struct("part", "inverted")).alias("x")).select(*CHOICE, "neighbour", F.col("x.inverted").alias("turned"))
     both = F.explode(F.array(*(F.struct(F.lit(s).alias("side"), F.lit(k).alias("kind")) for s in (-1, 1) for k in ("near", "core")))).alias("y")

@@ -6,83 +6,147 @@ folder so that lineage stays short and survives lost executors.
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write to a table in the shared folder and read it again: evaluated once, lineage cut, safe from lost executors.
-
-    The session names the folder in spark.checkpoint.dir; a local one is made only in local mode where none is named, as in tests.
-    """
-    spark: SparkSession = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the session names it in spark.checkpoint.dir; a local one is made only in local mode where none is named, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/settled-{uuid.uuid4().hex}"
+    return folder.rstrip("/")
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write to a table in the shared folder and read it again: evaluated once, lineage cut, safe from lost executors."""
+    path = f"{shared_folder(df.sparkSession)}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Keys with more than one in so many rows are broadcast; there are fewer of them than this.
+HOT_KEYS = 256
+#: Rows of a few numbers that one task may gather, and edges that one may fold.
+TASK_ROWS, FOLD_EDGES = 2_000_000, 200_000
+
+
+def join_counted(rows: DataFrame, keyed: DataFrame, key: str, total: int, n: str = "n") -> DataFrame:
+    """rows joined with keyed, one row a key with the number n of the `total` rows that hold it, without n; rows of popular keys stay where they are, so no task gathers them.
+
+    Up to TASK_ROWS rows are joined plainly: all of them would fit a task.
+    """
+    if total <= TASK_ROWS:
+        return rows.join(keyed.drop(n), key)
+    popular = F.col(n) * HOT_KEYS > total
+    hot, rest = keyed.where(popular).drop(n), keyed.where(~popular).drop(n)
+    return rows.join(F.broadcast(hot), key).unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(rest, key))
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """node, component (smallest node) of the ends of edges (a, b); star contraction, a few rounds for any shape."""
+    """node, component (smallest node) of the ends of edges (a, b); star contraction, a few rounds for any shape. Minima of hubs are broadcast to their edges."""
     e = settle(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    before = None
+    total, before = e.count(), None
+    least = lambda x: x.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
     for _ in range(max_rounds):
         both = e.union(e.select("b", "a"))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        e = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        low = e.groupBy("a").agg(F.min("b").alias("m"))
-        e = e.join(low, "a").select(F.explode(F.array(F.struct("a", "m"), F.struct(F.col("b").alias("a"), "m"))).alias("x")).select(F.col("x.a").alias("a"), F.col("x.m").alias("b")).where("a <> b").distinct()
-        e = settle(e)
+        low = least(both).select("a", F.least("a", "m").alias("m"), "n")
+        large = join_counted(both.where("b > a"), low, "a", 2 * total).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        small = join_counted(large, least(large), "a", total).select(F.explode(F.array(F.struct("a", "m"), F.struct(F.col("b").alias("a"), "m"))).alias("x"))
+        e = settle(small.select(F.col("x.a").alias("a"), F.col("x.m").alias("b")).where("a <> b").distinct())
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
+        total = now[0]
         if now == before:
             return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
         before = now
     raise RuntimeError("components did not settle")
 
 
-def greedy_clusters(edges: DataFrame, max_rounds: int = 500) -> DataFrame:
+def _folded(edges: DataFrame) -> DataFrame:
+    """c, to: clusters and the smallest one of those that they merge with, along edges in order of rank, bucket by bucket. edges: bucket, x, y, rank, gx, gy (genomes of either); no edge leads from one bucket to another."""
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["score", "low", "high"], ascending=False, kind="stable")
+        xs, ys, gx, gy = (pdf[c].tolist() for c in ("x", "y", "gx", "gy"))
+        held = {c: set(g) for c, g in itertools.chain(zip(xs, gx, strict=True), zip(ys, gy, strict=True))}
+        root = {c: c for c in held}
+
+        def find(c):  # noqa: ANN001, ANN202
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        for x, y in zip(xs, ys, strict=True):
+            a, b = sorted((find(x), find(y)))
+            if a != b and not held[a] & held[b]:
+                root[b] = a
+                held[a] |= held.pop(b)
+        return pd.DataFrame([(c, find(c)) for c in root], columns=["c", "to"])
+
+    kind = edges.schema["x"].dataType.simpleString()
+    return edges.select("bucket", "x", "y", "rank.*", "gx", "gy").groupBy("bucket").applyInPandas(fold, f"c {kind}, to {kind}")
+
+
+def greedy_clusters(edges: DataFrame, fold_edges: int = FOLD_EDGES, rounds: int = 8) -> DataFrame:
     """node, cluster: merge along edges (a, b, ga, gb, score) by falling score unless a genome would repeat; cluster is the smallest node.
 
-    Rounds of joins over clusters in place of one ordered fold. Of the edges between two clusters the highest ranked (score, then
-    a, b) stands for all; clusters with a genome in common never merge, so their edges go. What is left and ranks first at both of its
-    clusters is met by no earlier edge in the fold, so all such edges merge at once. A task holds clusters, whose size the
-    genomes bound, never a component.
+    Of the edges between two clusters the highest ranked (score, then a, b) stands for all; clusters with a genome in common never merge, so their
+    edges go. What then hangs together with at most fold_edges edges is merged by one ordered fold, many such components a task. Larger components go in rounds of
+    joins: edges that rank first at both of their clusters are met by no earlier edge in the fold, so all such edges merge at once; after some rounds what is
+    left is looked at again. Each round merges the highest edge of all at least, so it ends; no task holds more than fold_edges edges and a share of the others.
     """
+    edges = settle(edges.select("a", "b", "ga", "gb", "score"))
     ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("ga").alias("genome")), F.struct(F.col("b").alias("node"), F.col("gb").alias("genome")))).alias("x")).select("x.*")
     genomes = settle(ends.distinct().groupBy(F.col("node").alias("c")).agg(F.collect_set("genome").alias("g")))
     nodes = genomes.select(F.col("c").alias("node"))
     rank = F.struct("score", (-F.least("a", "b")).alias("low"), (-F.greatest("a", "b")).alias("high"))
-    live = settle(edges.where("a <> b").groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).agg(F.max(rank).alias("rank")))
-    merged = None
-    side = lambda c: genomes.select(F.col("c").alias(c), F.col("g").alias(f"g{c}"))
-    for _ in range(max_rounds):
-        live = settle(live.join(side("x"), "x").join(side("y"), "y").where(~F.arrays_overlap("gx", "gy")).select("x", "y", "rank"))
-        if live.isEmpty():
+    live = edges.where("a <> b").groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).agg(F.max(rank).alias("rank"))
+    merged, went = [], False
+
+    def apart(live: DataFrame) -> DataFrame:
+        side = lambda c: genomes.select(F.col("c").alias(c), F.col("g").alias(f"g{c}"))
+        return settle(live.join(side("x"), "x").join(side("y"), "y").where(~F.arrays_overlap("gx", "gy")).select("x", "y", "rank", "gx", "gy"))
+
+    live = apart(live)
+    while total := live.count():
+        if total <= fold_edges:
+            merged.append(settle(_folded(live.withColumn("bucket", F.lit(0)))))
             break
-        first = live.select(F.explode(F.array("x", "y")).alias("c"), "rank").groupBy("c").agg(F.max("rank").alias("rank"))
-        one, two = (first.select(F.col("c").alias(c), "rank") for c in ("x", "y"))
-        into = settle(live.join(one, ["x", "rank"], "left_semi").join(two, ["y", "rank"], "left_semi").select("x", "y"))
-        merged = into if merged is None else merged.union(into)
-        goes = into.select(F.col("y").alias("c"), F.col("x").alias("to"))
-        for c in ("x", "y"):
-            live = live.join(goes.select(F.col("c").alias(c), "to"), c, "left").withColumn(c, F.coalesce("to", c)).drop("to")
-        live = live.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).agg(F.max("rank").alias("rank")).where("x <> y")
-        genomes = settle(genomes.join(goes, "c", "left").groupBy(F.coalesce("to", "c").alias("c")).agg(F.array_distinct(F.flatten(F.collect_list("g"))).alias("g")))
-    else:
-        raise RuntimeError(f"clusters are left to merge after {max_rounds} rounds")
-    if merged is None:
+        ids = components(live.select(F.col("x").alias("a"), F.col("y").alias("b")))
+        live = settle(live.join(ids.select(F.col("node").alias("x"), "component"), "x", "left").withColumn("component", F.coalesce("component", "x")))
+        large = settle(live.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > fold_edges))
+        tasks = max(int(live.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // fold_edges)
+        merged.append(settle(_folded(live.join(large, "component", "left_anti").withColumn("bucket", F.pmod(F.xxhash64("component"), F.lit(tasks))))))
+        live = settle(live.join(large, "component", "left_semi").select("x", "y", "rank", "gx", "gy"))
+        for _ in range(rounds):
+            if live.isEmpty():
+                break
+            went = True
+            first = live.select(F.explode(F.array("x", "y")).alias("c"), "rank").groupBy("c").agg(F.max("rank").alias("rank"))
+            one, two = (first.select(F.col("c").alias(c), "rank") for c in ("x", "y"))
+            into = settle(live.join(one, ["x", "rank"], "left_semi").join(two, ["y", "rank"], "left_semi").select(F.col("y").alias("c"), F.col("x").alias("to")))
+            merged.append(into)
+            genomes = settle(genomes.join(into, "c", "left").groupBy(F.coalesce("to", "c").alias("c")).agg(F.array_distinct(F.flatten(F.collect_list("g"))).alias("g")))
+            left = live.select("x", "y", "rank")
+            for c in ("x", "y"):
+                left = left.join(into.select(F.col("c").alias(c), "to"), c, "left").withColumn(c, F.coalesce("to", c)).drop("to")
+            live = apart(left.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).agg(F.max("rank").alias("rank")).where("x <> y"))
+    if not merged:
         return nodes.select("node", F.col("node").alias("cluster"))
-    ids = components(merged.toDF("a", "b"))
-    return nodes.join(ids, "node", "left").select("node", F.coalesce("component", "node").alias("cluster"))
+    into = reduce(DataFrame.union, merged)
+    if went:  # merges of several rounds follow one another
+        into = components(into.toDF("a", "b")).toDF("c", "to")
+    return nodes.join(into.withColumnRenamed("c", "node"), "node", "left").select("node", F.coalesce("to", "node").alias("cluster"))
 
 
 def top_cliques(best: DataFrame) -> DataFrame:
@@ -212,8 +276,7 @@ def linkage_medoids(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     g = groups.select(F.col("node").alias("a"), "component")
     h = groups.select(F.col("node").alias("b"), F.col("component").alias("c2"))
     s = both.join(g, "a").join(h, "b").where("component = c2").groupBy("component", "a").agg(F.round(F.sum("distance"), 9).alias("d"), F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("component").orderBy(F.col("n").desc(), "d", "a")
-    return s.withColumn("r", F.row_number().over(w)).where("r = 1").select("component", F.col("a").alias("medoid"))
+    return s.groupBy("component").agg(F.min(F.struct((-F.col("n")).alias("n"), "d", "a")).alias("x")).select("component", F.col("x.a").alias("medoid"))
 
 
 def until_stable(start: DataFrame, step: Callable[[DataFrame], DataFrame], max_rounds: int = 100) -> DataFrame:

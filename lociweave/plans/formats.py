@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sequence as S
 from ..operators import membership as M
+from ..operators.graph import shared_folder
 from ..sources import readers as R
 from ..sources import writers as W
 from .registry import query
@@ -18,10 +19,7 @@ SEQ = f"WITH {SEQUENCES}"
 
 def fresh(spark) -> str:
     """A new path in the shared folder."""
-    import tempfile
-
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="shared-")
-    return f"{folder.rstrip('/')}/files-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
 
 
 def text(c: str):

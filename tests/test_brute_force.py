@@ -396,3 +396,32 @@ def test_cliques(spark):
     rows += [(20, 21, 5.0, True), (21, 20, 5.0, True), (1, 1, 10.0, True)]
     got = {r.qid: (r.top, r.whole) for r in G.cliques(spark.createDataFrame(rows, "qid long, sid long, score double, mutual boolean")).collect()}
     assert got == {1: (3, 3), 2: (3, 3), 3: (3, 3), 4: (3, 0), 5: (3, 0), 6: (3, 0), 10: (0, 0), 11: (0, 0), 12: (0, 0), 20: (0, 0), 21: (0, 0)}
+
+
+@pytest.mark.parametrize("fold_edges", [3, 40, 200_000])
+def test_greedy_clusters_in_rounds_and_folds(spark, fold_edges):
+    """Components above the bound go in rounds, those that come out of them in folds: the same merges."""
+    rng = random.Random(7)
+    edges = [(a, b, a % 7, b % 7, round(rng.random(), 2)) for a, b in itertools.combinations(range(70), 2) if rng.random() < 0.05]
+    of = {n: {n} for e in edges for n in e[:2]}
+    for a, b, *_ in sorted(edges, key=lambda e: (-e[4], e[0], e[1])):
+        if of[a] is not of[b] and not {x % 7 for x in of[a]} & {x % 7 for x in of[b]}:
+            both = of[a] | of[b]
+            for n in both:
+                of[n] = both
+    got = {r.node: r.cluster for r in G.greedy_clusters(spark.createDataFrame(edges, "a long, b long, ga long, gb long, score double"), fold_edges, 2).collect()}
+    assert got == {n: min(s) for n, s in of.items()}
+
+
+def test_greedy_clusters_of_a_long_falling_path(spark):
+    n = 5000
+    edges = [(k, k + 1, k % 25, (k + 1) % 25, 1 - k / n) for k in range(n)]
+    got = {r.node: r.cluster for r in G.greedy_clusters(spark.createDataFrame(edges, "a long, b long, ga long, gb long, score double")).collect()}
+    assert got == {k: k - k % 25 for k in range(n + 1)}
+
+
+def test_components_with_hubs_that_are_split(spark, monkeypatch):
+    monkeypatch.setattr(G, "TASK_ROWS", 0)
+    edges = [(k, k + 1) for k in range(40)] + [(1000, 1000 + k) for k in range(1, 600)]
+    got = {r.node: r.component for r in G.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {k: 0 for k in range(1, 41)} | {1000 + k: 1000 for k in range(1, 600)}
