@@ -23,7 +23,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from . import annotation, formats, fragments, graphs, hits, intervals, membership, more, order, records, rounds, sequences, sets, trees  # noqa: F401
+    from . import annotation, files, formats, fragments, graphs, hits, intervals, membership, more, order, records, rounds, sequences, sets, trees  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -5,7 +5,7 @@ Records that end at a line stay splittable; FASTA splits at '\\n>' through lineS
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequence import coordinates
@@ -42,12 +42,32 @@ def fasta(spark: SparkSession, path: str, letters: str = "a-zA-Z*-") -> DataFram
     return t.select(F.regexp_extract(header, r"^\s*(\S+)", 1).alias("id"), header.alias("header"), seq.alias("seq")).withColumn("len", F.length("seq"))
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, n (from 0), value of all lines, numbered file by file: each split numbers its own lines, after the counts of the splits before it."""
+    t = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("_id"))
+    counts = t.groupBy("file", "block").agg(F.count(F.lit(1)).alias("lines"))
+    before = counts.select("file", "block", (F.sum("lines").over(Window.partitionBy("file").orderBy("block")) - F.col("lines")).alias("before"))
+    own = F.row_number().over(Window.partitionBy("file", "block").orderBy("_id"))  # a split's lines
+    return t.withColumn("_own", own).join(before, ["file", "block"]).select("file", (F.col("before") + F.col("_own") - 1).alias("n"), "value")
+
+
 def fastq(spark: SparkSession, path: str) -> DataFrame:
-    """id, seq, quality of four-line records; a file is one row until it is cut, so keep files to some hundred MB."""
-    t = spark.read.text(path, wholetext=True).select(F.split("value", "\r?\n").alias("r"))
-    k = F.explode(F.sequence(F.lit(0), F.floor(F.size("r") / 4) - 1))
-    at = lambda n: F.get("r", F.col("k") * 4 + n)
-    return t.where(F.size("r") >= 4).select("r", k.alias("k")).select(F.regexp_extract(at(0), r"^@(\S*)", 1).alias("id"), at(1).alias("seq"), at(3).alias("quality"))
+    """id, seq, quality of four-line records, which may lie on both sides of a split; blank lines at the end of a file don't matter."""
+    at = lambda k: F.max(F.when(F.col("n") % 4 == k, F.regexp_replace("value", "\r$", "")))
+    r = numbered_lines(spark, path).groupBy("file", F.floor(F.col("n") / 4).alias("r")).agg(at(0).alias("head"), at(1).alias("seq"), at(2).alias("plus"), at(3).alias("quality"))
+    r = r.where("head <> ''")
+    fine = F.col("head").startswith("@") & F.col("plus").startswith("+") & (F.length("seq") == F.length("quality"))
+    return checked(r, F.coalesce(fine, F.lit(False)), "a record is not four lines of FASTQ").select(F.regexp_extract("head", r"^@(\S*)", 1).alias("id"), "seq", "quality")
+
+
+def sequence_records(spark: SparkSession, path: str) -> DataFrame:
+    """id, seq, quality of files in FASTA or FASTQ, each told by its first letter; quality is null in FASTA. The list of files, as Spark lists them, comes to the driver."""
+    first = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").substr(1, 1).alias("c"), F.monotonically_increasing_id().alias("_id"))
+    kinds = first.where("block = 0").groupBy("file").agg(F.min_by("c", "_id").alias("c")).collect()
+    files = {c: [r["file"] for r in kinds if r["c"] == c] for c in ">@"}
+    none = spark.createDataFrame([], "id string, seq string, quality string")
+    one = fasta(spark, files[">"]).select("id", "seq", F.lit(None).cast("string").alias("quality")) if files[">"] else none
+    return one.unionByName(fastq(spark, files["@"])) if files["@"] else one
 
 
 def attributes(spark: SparkSession, path: str) -> DataFrame:
@@ -104,6 +124,28 @@ def hmm_table(spark: SparkSession, path: str, fields: int = 18) -> DataFrame:
     return lines(spark, path).select(get(0).alias("target"), get(1).alias("accession"), get(2).alias("query"), get(4).cast("double").alias("evalue"), get(5).cast("double").alias("score"), F.array_join(F.slice(c, fields + 1, F.greatest(F.size(c) - fields, F.lit(0))), " ").alias("description"))
 
 
+def hmm_domains(spark: SparkSession, path: str) -> DataFrame:
+    """target, query, domain, evalue, score, hmm_start, hmm_stop, start, stop of tables of domains, in 22 columns and a description; evalue is the independent one."""
+    c = F.split(F.trim("value"), r"\s+")
+    places = {"target": (0, "string"), "query": (3, "string"), "domain": (9, "int"), "evalue": (12, "double"), "score": (13, "double"), "hmm_start": (15, "int"), "hmm_stop": (16, "int"), "start": (17, "int"), "stop": (18, "int")}
+    return lines(spark, path).where(F.size(c) >= 22).select(*(F.get(c, F.lit(k)).cast(kind).alias(n) for n, (k, kind) in places.items()))
+
+
+def attribute_problems(attributes: DataFrame) -> DataFrame:
+    """feat, problem: features of an attribute table without places or with one only, with an empty name, or listed more than once."""
+    several = attributes.groupBy(F.col("feat").alias("_feat")).agg(F.count(F.lit(1)).alias("n"))
+    kinds = F.array(F.when(F.col("end5").isNull() | F.col("end3").isNull(), "no place"), F.when(F.col("end5") == F.col("end3"), "no extent"), F.when(F.col("n") > 1, "listed twice"), F.when(F.coalesce("feat", F.lit("")) == "", "no name"))
+    rows = attributes.join(several, F.col("feat").eqNullSafe(F.col("_feat")), "left").select("feat", "end5", "end3", "n")
+    return rows.select("feat", F.explode(F.filter(kinds, lambda x: x.isNotNull())).alias("problem")).distinct()
+
+
+def filtered_hits(spark: SparkSession, path: str, identity: float, coverage: float, lengths: DataFrame) -> DataFrame:
+    """Tabular hits of at least this identity that cover this share of the query; lengths: qid, qlen. The filter on identity is applied as lines are read."""
+    h = hits(spark, path).where(F.col("pid") >= identity)
+    share = (F.col("qend") - F.col("qstart") + 1) / F.col("qlen")
+    return h.join(lengths, "qid").where(share >= coverage).withColumn("coverage", F.round(share, 9))
+
+
 def term_mapping(spark: SparkSession, path: str) -> DataFrame:
     """accession, name, term, term_name of lines `Pfam:ACC NAME > GO:text ; GO:id`."""
     part = lambda k: F.regexp_extract("value", r"^\w+:(\S+)\s+(\S+)\s+>\s+GO:(.*?)\s+;\s+(GO:\d+)", k)
