@@ -24,16 +24,18 @@ def reverse_complement_iupac(seq: Column) -> Column:
 
 
 def subsequence(seq: Column, start: Column, stop: Column) -> Column:
-    """From start to stop, 1-based and inclusive; on the reverse strand where stop is before start."""
+    """From start to stop, 1-based and inclusive, as far as the sequence goes; on the reverse strand where stop is before start."""
     low, high = F.least(start, stop), F.greatest(start, stop)
     part = F.substring(seq, low, high - low + 1)
     return F.when(start <= stop, part).otherwise(reverse_complement(part))
 
 
 def circular_subsequence(seq: Column, start: Column, length: Column) -> Column:
-    """From start on, going on at the beginning where the end is passed."""
-    at = F.pmod(start - 1, F.length(seq)) + 1
-    return F.substring(F.concat(seq, seq), at, length)
+    """From start on, going on at the beginning as often as the end is passed; of an empty sequence an empty one."""
+    n = F.length(seq)
+    at = F.pmod(start - 1, n) + 1
+    around = F.substring(F.repeat(seq, F.ceil((at - 1 + length) / n).cast("int")), at, length)
+    return F.when(n > 0, around).otherwise(seq)
 
 
 def ungap(seq: Column) -> Column:
@@ -124,7 +126,7 @@ def dash_offset(gapped: Column, position: Column) -> Column:
 
 
 def soft_mask(seq: Column, starts: Column, length: int) -> Column:
-    """Lower case but for the given stretches."""
+    """Lower case but for the given stretches, as far as the sequence goes."""
     return F.aggregate(starts, F.lower(seq), lambda s, at: F.overlay(s, F.upper(F.substring(seq, at, F.lit(length))), at))
 
 

@@ -178,9 +178,9 @@ def x09(spark, sf_dir):
     return table(spark, sf_dir, "benchmark").select("item_id", S.sanitized_header(F.col("text")).alias("header"))
 
 
-@query("x10_soft_mask", f"{SEQ} SELECT id, upper(seq[1:5]) || lower(seq[6:10]) || upper(seq[11:15]) || lower(seq[16:]) AS masked FROM sequences WHERE length(seq) >= 15")
+@query("x10_soft_mask", f"{SEQ} SELECT id, upper(seq[1:5]) || lower(seq[6:10]) || upper(seq[11:15]) || lower(seq[16:]) AS masked FROM sequences")
 def x10(spark, sf_dir):
-    return sequences(spark, sf_dir).where("length(seq) >= 15").select("id", S.soft_mask(F.col("seq"), F.array(F.lit(1), F.lit(11)), 5).alias("masked"))
+    return sequences(spark, sf_dir).select("id", S.soft_mask(F.col("seq"), F.array(F.lit(1), F.lit(11)), 5).alias("masked"))
 
 
 @query("x11_locus_prefixes", "SELECT regexp_extract(replace(p_brand, '#', '_') || '_' || p_partkey, '^(.*?)_?[0-9]+$', 1) AS prefix, count(*) AS n FROM part GROUP BY 1")

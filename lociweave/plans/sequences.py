@@ -33,9 +33,9 @@ def x02(spark, sf_dir):
     return table(spark, sf_dir, "benchmark").select("item_id", S.reverse_complement_iupac(F.col("text")).alias("rc"))
 
 
-@query("x03_subsequence", f"{WITH} SELECT id, CASE WHEN id % 2 = 0 THEN seq[3:12] ELSE {RC.format('seq[3:12]')} END AS part, (seq || seq)[((length(seq) - 5 - 1) % length(seq)) + 1:((length(seq) - 5 - 1) % length(seq)) + 10] AS circular FROM sequences WHERE length(seq) > 20")
+@query("x03_subsequence", f"{WITH} SELECT id, CASE WHEN id % 2 = 0 THEN seq[3:12] ELSE {RC.format('seq[3:12]')} END AS part, CASE WHEN seq = '' THEN '' ELSE substr(repeat(seq, 12), ((length(seq) - 6) % length(seq) + length(seq)) % length(seq) + 1, 10) END AS circular FROM sequences")
 def x03(spark, sf_dir):
-    s = sequences(spark, sf_dir).where("length(seq) > 20")
+    s = sequences(spark, sf_dir)
     a, b = F.when(F.col("id") % 2 == 0, 3).otherwise(12), F.when(F.col("id") % 2 == 0, 12).otherwise(3)
     return s.select("id", S.subsequence(F.col("seq"), a, b).alias("part"), S.circular_subsequence(F.col("seq"), F.length("seq") - 5, F.lit(10)).alias("circular"))
 
