@@ -10,7 +10,7 @@ from ..sources import writers as W
 from .formats import SEQ, fresh, text
 from .records import viral_file
 from .registry import query
-from .standin import INTERVALS, intervals, sequences, table
+from .standin import INTERVALS, MEMBERS, intervals, members, sequences, table
 
 
 def written(df, path: str, *columns, **options) -> str:
@@ -197,3 +197,18 @@ def s29(spark, sf_dir):
     path = written(o, fresh(spark), text("tree"), F.concat(F.lit("("), F.col("leaves"), F.lit(")root;")))
     t = spark.read.csv(path, sep="\t", schema="tree long, text string", quote="")
     return T.newick_table(t).where("name <> 'root'").select("tree", "name", "length")
+
+
+@query(
+    "k01_member_tables",
+    f"""WITH {MEMBERS}, f AS (SELECT cluster, genome, 'f' || cluster || '_' || genome AS feat, 'h' || cluster % 7 AS header, CAST(50 + (cluster * 7 + genome * 3) % 51 AS DOUBLE) AS identity, (cluster + genome) % 10 / 10.0::DOUBLE AS ratio, genome = min(genome) OVER (PARTITION BY cluster) AS first, min(genome) OVER (PARTITION BY cluster) AS q FROM members),
+g AS (SELECT c.cluster, c.q, n_nationkey AS genome, f.* EXCLUDE (cluster, genome, q) FROM (SELECT DISTINCT cluster, q FROM f) c CROSS JOIN nation LEFT JOIN f ON f.cluster = c.cluster AND f.genome = n_nationkey),
+l AS (SELECT cluster, q, string_agg(CASE WHEN feat IS NULL THEN '' WHEN first THEN feat ELSE feat || ' (' || printf('%5.2f', identity) || '%)' END, chr(9) ORDER BY genome) AS identity,
+ string_agg(CASE WHEN genome = 0 THEN feat || chr(9) || header ELSE coalesce(printf('%5.2f', identity), '') END, chr(9) ORDER BY genome) AS id, string_agg(coalesce(feat || ' [' || header || ']', ''), chr(9) ORDER BY genome) AS hits,
+ string_agg(CASE WHEN genome = 0 THEN feat || chr(9) || header ELSE coalesce(printf('%2.2f', 100 - 99 * ratio), '100.00') END, chr(9) ORDER BY genome) AS micro, string_agg(CASE WHEN genome = 0 THEN feat || chr(9) || header ELSE coalesce(CAST(ratio AS VARCHAR), '0') END, chr(9) ORDER BY genome) AS ratio FROM g GROUP BY 1, 2)
+SELECT cluster, form, cluster || chr(9) || value AS value FROM (SELECT cluster, 'identity' AS form, identity AS value FROM l UNION ALL SELECT cluster, 'id', id FROM l WHERE q = 0 UNION ALL SELECT cluster, 'hits', hits FROM l WHERE q = 0 UNION ALL SELECT cluster, 'micro', micro FROM l WHERE q = 0 UNION ALL SELECT cluster, 'ratio', ratio FROM l WHERE q = 0)""",
+)
+def k01_forms(spark, sf_dir):
+    c, g = F.col("cluster"), F.col("genome")
+    m = members(spark, sf_dir).select("cluster", "genome", F.concat(F.lit("f"), text("cluster"), F.lit("_"), text("genome")).alias("feat"), F.concat(F.lit("h"), (c % 7).cast("string")).alias("header"), (50 + (c * 7 + g * 3) % 51).cast("double").alias("identity"), ((c + g) % 10 / 10).alias("ratio"))
+    return W.member_tables(m, list(range(25)))

@@ -31,6 +31,31 @@ def matchtable_lines(members: DataFrame, genomes: list[str], absent: str = "----
     return wide.select(F.concat_ws("\t", F.col("cluster").cast("string"), *(F.coalesce(F.col(f"`{g}`"), F.lit(absent)) for g in genomes)).alias("value"))
 
 
+def member_tables(members: DataFrame, genomes: list) -> DataFrame:
+    """cluster, form, value: the further forms of the table of members, a line each.
+
+    members: cluster, genome, feat, header, identity and ratio (score over own score), both to the row's first member. `identity`: members with their
+    identity, the first one bare. The other forms have clusters of the first listed genome only, and begin with its member and header: `id` has
+    identities, `hits` members with headers, `micro` 100 - 99 x ratio (100.00 where there is none), `ratio` ratios (0 where there is none).
+    """
+    it = F.first(F.struct("feat", "header", "identity", "ratio"))
+    wide = members.groupBy("cluster").pivot("genome", genomes).agg(it)
+    cell = [F.col(f"`{g}`") for g in genomes]
+    first = F.coalesce(*(F.when(c.isNotNull(), k) for k, c in enumerate(cell)))
+    number = lambda x: F.format_string("%5.2f", x)
+    or_blank = lambda c, x, blank="": F.when(c.isNotNull(), x).otherwise(blank)
+    named = lambda c: F.concat(c["feat"], F.lit(" ["), c["header"], F.lit("]"))
+    rows = {
+        "identity": [F.when(first == k, c["feat"]).otherwise(or_blank(c, F.concat(c["feat"], F.lit(" ("), number(c["identity"]), F.lit("%)")))) for k, c in enumerate(cell)],
+        "id": [cell[0]["feat"], cell[0]["header"], *(or_blank(c, number(c["identity"])) for c in cell[1:])],
+        "hits": [named(cell[0]), *(or_blank(c, named(c)) for c in cell[1:])],
+        "micro": [cell[0]["feat"], cell[0]["header"], *(or_blank(c, F.format_string("%2.2f", 100 - 99 * c["ratio"]), "100.00") for c in cell[1:])],
+        "ratio": [cell[0]["feat"], cell[0]["header"], *(or_blank(c, c["ratio"].cast("string"), "0") for c in cell[1:])],
+    }
+    lines = [F.when(F.lit(form == "identity") | cell[0].isNotNull(), F.struct(F.lit(form).alias("form"), F.concat_ws("\t", F.col("cluster").cast("string"), *cells).alias("value"))) for form, cells in rows.items()]
+    return wide.select("cluster", F.explode(F.filter(F.array(*lines), lambda x: x.isNotNull())).alias("x")).select("cluster", "x.form", "x.value")
+
+
 def matrix_lines(pairs: DataFrame, names: list[str], offset: float = 0, scale: float = 1, phylip: bool = False) -> DataFrame:
     """name, value: a row of a square matrix (a, b, value) for each name, offset + scale x value to two places."""
     wide = pairs.groupBy(F.col("a").alias("_name")).pivot("b", names).agg(F.min("value"))
