@@ -1,14 +1,15 @@
-"""Trees as edge tables (node, parent, name, length): ancestors, distances, clades and their support, new roots, batches, hierarchical clustering of few items."""
+"""Trees as edge tables (node, parent, name, length): ancestors, distances, clades and their support, new roots, batches; the text of hierarchical clustering."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import linkage
 from .graph import settle
 
 
@@ -213,30 +214,7 @@ def batches(edges: DataFrame, cap: int) -> DataFrame:
     return over.join(small, "ancestor").groupBy(F.col("node").alias("leaf")).agg(F.max_by("ancestor", "steps").alias("batch"))
 
 
-MOST_ITEMS = 3000
-
-
 def linkage_newick(spark: SparkSession, distances: DataFrame, method: str = "complete") -> str:
-    """Newick of hierarchical clustering of at most MOST_ITEMS items. distances: a, b, distance, all pairs a < b.
-
-    The reference method itself works on a whole square matrix, so it is for small sets and refuses larger ones.
-    """
-    names = sorted(r[0] for r in distances.select("a").union(distances.select("b")).distinct().limit(MOST_ITEMS + 1).collect())
-    if len(names) > MOST_ITEMS:
-        raise ValueError(f"more than {MOST_ITEMS} items: cluster a sketch or batches instead")
-    place = {n: k for k, n in enumerate(names)}
-    d = np.full((len(names), len(names)), np.inf)
-    for r in distances.toLocalIterator():
-        d[place[r["a"]], place[r["b"]]] = d[place[r["b"]], place[r["a"]]] = r["distance"]
-    label, height, size = [str(n) for n in names], [0.0] * len(names), [1] * len(names)
-    for _ in range(len(names) - 1):
-        i, j = divmod(int(np.argmin(d)), len(names))
-        i, j = min(i, j), max(i, j)
-        h = d[i, j] / 2
-        label[i] = f"({label[i]}:{h - height[i]:g},{label[j]}:{h - height[j]:g})"
-        row = {"complete": np.maximum(d[i], d[j]), "single": np.minimum(d[i], d[j]), "average": (d[i] * size[i] + d[j] * size[j]) / (size[i] + size[j])}[method]
-        d[i, :] = d[:, i] = row
-        d[i, i] = np.inf
-        d[j, :] = d[:, j] = np.inf
-        height[i], size[i] = h, size[i] + size[j]
-    return (label[0] if label else "") + ";"
+    """Newick of hierarchical clustering. distances: a, b, distance, all pairs a < b; clusters merge as tables, only the text comes here."""
+    rows = linkage.linkage_newick(distances, method).limit(1).collect()
+    return re.sub(r":(-?[0-9.]+)", lambda m: f":{float(m[1]):g}", rows[0]["newick"]) if rows else ";"
