@@ -214,24 +214,47 @@ def chains(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     return start.join(ids.withColumnRenamed("node", "u"), "u").select(F.col("component").alias("chain"), (F.col("m.d") + 1).cast("int").alias("place"), F.col("u").alias("node"))
 
 
-def greedy_representatives(pairs: DataFrame, order: DataFrame) -> DataFrame:
-    """node: kept ones when nodes, in order, remove later nodes that they are near to. pairs: a, b; order: node, rank.
+def _removed(later: DataFrame) -> DataFrame:
+    """node: what earlier kept nodes remove, bucket by bucket. later: bucket, a, b, ra (rank of a, before that of b); no edge leads from one bucket to another."""
 
-    Rounds of joins: a node whose earlier near ones are all removed stays, its later near ones go.
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["ra", "a"], kind="stable")  # all that may remove a node comes before what it removes
+        gone: set = set()
+        for a, b in zip(pdf["a"].tolist(), pdf["b"].tolist(), strict=True):
+            if a not in gone:
+                gone.add(b)
+        return pd.DataFrame({"node": list(gone)}, columns=["node"])
+
+    return later.groupBy("bucket").applyInPandas(fold, f"node {later.schema['a'].dataType.simpleString()}")
+
+
+def greedy_representatives(pairs: DataFrame, order: DataFrame, fold_edges: int = FOLD_EDGES) -> DataFrame:
+    """node: kept ones when nodes, in order, remove later nodes that they are near to. pairs: a, b; order: node, rank (no two alike).
+
+    What hangs together with at most fold_edges pairs is gone through in order, many such components a task. Larger components go in rounds of joins: a node
+    whose earlier near ones are all removed stays, its later near ones go; every round settles the first open node at least.
     """
     r = order.select(F.col("node"), "rank")
     near = pairs.union(pairs.select("b", "a")).distinct()
-    later = near.join(r.select(F.col("node").alias("a"), F.col("rank").alias("ra")), "a").join(r.select(F.col("node").alias("b"), F.col("rank").alias("rb")), "b").where("ra < rb").select("a", "b")
+    later = near.join(r.select(F.col("node").alias("a"), F.col("rank").alias("ra")), "a").join(r.select(F.col("node").alias("b"), F.col("rank").alias("rb")), "b").where("ra < rb").select("a", "b", "ra")
     later = settle(later)
-    open_ = settle(r.select("node"))
-    kept = None
-    while open_.limit(1).count():
-        live = later.join(open_.select(F.col("node").alias("a")), "a", "left_semi").join(open_.select(F.col("node").alias("b")), "b", "left_semi")
-        first = settle(open_.join(live.select(F.col("b").alias("node")).distinct(), "node", "left_anti"))
-        gone = live.join(first.select(F.col("node").alias("a")), "a", "left_semi").select(F.col("b").alias("node")).distinct()
-        kept = first if kept is None else kept.union(first)
-        open_ = settle(open_.join(first, "node", "left_anti").join(gone, "node", "left_anti"))
-    return kept if kept is not None else r.select("node").limit(0)
+    total = later.count()
+    if total <= fold_edges:
+        return r.select("node").join(settle(_removed(later.withColumn("bucket", F.lit(0)))), "node", "left_anti")
+    ids = components(later)
+    later = settle(later.join(ids.select(F.col("node").alias("a"), "component"), "a", "left").withColumn("component", F.coalesce("component", "a")))
+    large = settle(later.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > fold_edges).select("component"))
+    tasks = max(int(later.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // fold_edges)
+    removed = [settle(_removed(later.join(large, "component", "left_anti").withColumn("bucket", F.pmod(F.xxhash64("component"), F.lit(tasks)))))]
+    live = settle(later.join(large, "component", "left_semi").select("a", "b"))
+    while not live.isEmpty():
+        first = live.select(F.col("a").alias("node")).join(live.select(F.col("b").alias("node")), "node", "left_anti").distinct()
+        gone = settle(live.join(first.withColumnRenamed("node", "a"), "a", "left_semi").select(F.col("b").alias("node")).distinct())
+        removed.append(gone)
+        for c in ("a", "b"):
+            live = live.join(gone.select(F.col("node").alias(c)), c, "left_anti")
+        live = settle(live.join(first.withColumnRenamed("node", "a"), "a", "left_anti"))
+    return r.select("node").join(reduce(DataFrame.union, removed), "node", "left_anti")
 
 
 def property_states(steps: DataFrame, evidence: DataFrame, found: DataFrame, max_rounds: int = 100) -> DataFrame:

@@ -46,6 +46,27 @@ def test_representatives(spark):
     assert sorted(r.node for r in got.collect()) == kept
 
 
+@pytest.mark.parametrize("fold_edges", [1, 25, 200_000])
+def test_representatives_in_rounds_and_folds(spark, fold_edges):
+    rng = random.Random(4)
+    n = 60
+    ranks = rng.sample(range(1000), n)
+    pairs = [(a, b) for a, b in itertools.combinations(range(n), 2) if a // 12 == b // 12 and rng.random() < (0.6 if a < 12 else 0.2)]
+    near, kept = {frozenset(p) for p in pairs}, []
+    for k in sorted(range(n), key=lambda k: ranks[k]):
+        if not any(frozenset((k, x)) in near for x in kept):
+            kept.append(k)
+    order = spark.createDataFrame(list(enumerate(ranks)), "node long, rank long")
+    got = G.greedy_representatives(spark.createDataFrame(pairs, "a long, b long"), order, fold_edges)
+    assert sorted(r.node for r in got.collect()) == sorted(kept)
+
+
+def test_representatives_along_a_path(spark):
+    pairs = [(k, k + 1) for k in range(4000)]
+    got = G.greedy_representatives(spark.createDataFrame(pairs, "a long, b long"), spark.range(4001).selectExpr("id as node", "id as rank"))
+    assert sorted(r.node for r in got.collect()) == list(range(0, 4001, 2))
+
+
 def test_chains(spark):
     edges = [(1, 2), (2, 3), (7, 5), (5, 6), (6, 7), (9, 8)]
     rows = G.chains(spark.createDataFrame(edges, "a long, b long")).collect()
