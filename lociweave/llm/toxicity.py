@@ -2,7 +2,7 @@
 
 Training uses labelled rows only, and of these a bounded sample: the first
 SAMPLE_ROWS of each class by a hash of doc_id (a documented bound; the sampled ids are few enough to
-broadcast). Texts are lower-cased, blanks between words become single ones, and
+broadcast; of rows that share a doc_id the first text in order is learned from). Texts are lower-cased, blanks between words become single ones, and
 character n-grams of the sizes in SIZES are hashed to 2^BITS features, present or absent in a document. Spark counts the documents of
 each class that hold a feature; of those in MIN_DF or more of the documents, the MAX_FEATURES with the
 largest log-count ratios by amount stay. Presence times ratio is the input of a logistic regression with an L2
@@ -115,7 +115,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     able = able.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     first = lambda kind: able.where(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     chosen = stored(first(1).union(first(0)))
-    sample = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), "toxic"))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    sample = stored(rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("toxic").alias("toxic")).select("text", "toxic"))  # one row a document
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_pos, n_neg = sizes.get(1, 0), sizes.get(0, 0)
     if not n_pos or not n_neg:

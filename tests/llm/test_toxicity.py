@@ -55,3 +55,11 @@ def test_query(spark, sf_dir):
     assert len(rows) == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     clean = [r.predicted for r in rows if labels.get(r.doc_id) == 0]
     assert sum(clean) <= 0.02 * len(clean)
+
+
+def test_a_doc_id_on_many_rows_is_learned_from_once(spark):
+    docs, labels = corpus(300)
+    df, lab = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
+    more = df.union(spark.createDataFrame([(10, docs[10][1] + " and more", None, "x")] * 500, DOCS))
+    one, two = X.train(df, lab), X.train(more, lab)
+    assert one.features.tolist() == two.features.tolist() and abs(one.weights - two.weights).max() < 1e-6 and abs(one.bias - two.bias) < 1e-9
