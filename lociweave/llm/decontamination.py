@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import join_salted, stored, table
+from .common import join_salted, stored, table, tidy
 from .token_counts import text_groups
 
 Q = 8
@@ -231,7 +231,7 @@ def found_in(docs: DataFrame, key: list[str], block: list[tuple], edits: float,
             columns = [pa.array([r[1] for r in rows], pa.string() if item_type == "string" else pa.int64()), *(pa.array([r[c] for r in rows], pa.int32()) for c in (2, 3, 4))]
             yield pa.RecordBatch.from_arrays([*(c.take(row) for c in b.columns[: len(key)]), *columns], schema.fieldNames())
 
-    return docs.select(*key, "text").mapInArrow(scan, schema)
+    return docs.select(*key, "text").mapInArrow(tidy(scan), schema)
 
 
 def all_found(docs: DataFrame, key: list[str], benchmark: DataFrame, edits: float) -> DataFrame:
@@ -271,7 +271,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> D
                 first += len(run)
             yield b.filter(pa.array(keep))
 
-    return docs.mapInArrow(scan, docs.schema)
+    return docs.mapInArrow(tidy(scan), docs.schema)
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

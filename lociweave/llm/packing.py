@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import stored, table, tidy
 from .token_counts import CACHED_CHARS, load_tokenizer, text_groups
 
 GROUP_PIECES = 8192
@@ -120,7 +120,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, length: int, end_id: int = 0)
             columns = [b.column(0).take(pa.array(row, pa.int64())), *map(pa.array, (piece.astype(np.int32), start, size, crc))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select("doc_id", "text").mapInArrow(cut, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long")
+    return docs.select("doc_id", "text").mapInArrow(tidy(cut), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long")
 
 
 def best_two_fit(lengths: list[int], capacity: int) -> list[list[int]]:

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, drop_stored, join_counted, join_salted, stored, table
+from .common import components, drop_stored, join_counted, join_salted, stored, table, tidy
 
 PARTS = 4
 BLOCK = 1024
@@ -117,7 +117,7 @@ def fingerprints(docs: DataFrame, words: int, wide: bool = False) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r[0] for r in rows], pa.binary()), more], ["doc_id", "fp", "more"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    made = docs.select("doc_id", "text").mapInArrow(make, f"doc_id {kind}, fp binary, more " + ("array<long>" if wide else "long"))
+    made = docs.select("doc_id", "text").mapInArrow(tidy(make), f"doc_id {kind}, fp binary, more " + ("array<long>" if wide else "long"))
     return made.withColumnRenamed("more", "bands" if wide else "bits")
 
 
@@ -285,7 +285,7 @@ def block_links(rows: DataFrame, radius: int, total: int, pairs: bool = False) -
         if held:
             yield from cut(True)
 
-    return rows.select("key", "one", "two", "node", "fp").mapInArrow(links, "a long, b long")
+    return rows.select("key", "one", "two", "node", "fp").mapInArrow(tidy(links), "a long, b long")
 
 
 def part_keys(radius: int) -> Column:
@@ -312,7 +312,7 @@ def similar_pairs(pairs: DataFrame, docs: DataFrame, words: int, similarity: flo
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "hashes"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
-    sets = stored(texts.mapInArrow(hashes, "doc_id long, hashes array<long>").distinct())
+    sets = stored(texts.mapInArrow(tidy(hashes), "doc_id long, hashes array<long>").distinct())
     one = join_salted(pairs, sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("ha")), "a").select("a", "b", "ha")
     both = join_salted(one, sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("hb")), "b")
     shared = F.size(F.array_intersect("ha", "hb"))

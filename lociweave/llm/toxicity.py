@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop_stored, stored, table
+from .common import drop_stored, stored, table, tidy
 from .token_counts import text_groups
 
 SIZES = (3, 4, 5)
@@ -137,7 +137,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
             part = some[k : k + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(counts[1][part]), pa.array(counts[0][part])], ["feature", "pos", "neg"])
 
-    found = sample.mapInArrow(tally, "feature long, pos int, neg int").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    found = sample.mapInArrow(tidy(tally), "feature long, pos int, neg int").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     ratio = F.log((F.col("pos") + 1) / F.lit(n_pos + 2.0)) - F.log((F.col("neg") + 1) / F.lit(n_neg + 2.0))
     least = max(3, math.ceil(MIN_DF * (n_pos + n_neg)))
     top = found.where(F.col("pos") + F.col("neg") >= least).withColumn("r", ratio).where("abs(r) >= 0.5")
@@ -157,7 +157,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
                 at += len(run)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int64())), b.column(1)], ["features", "toxic"])
 
-    rows = sample.mapInArrow(entries, "features array<long>, toxic int").toPandas()
+    rows = sample.mapInArrow(tidy(entries), "features array<long>, toxic int").toPandas()
     y = rows["toxic"].to_numpy(float)
     lengths = [len(f) for f in rows["features"]]
     order = np.argsort(features)
@@ -186,7 +186,7 @@ def with_scores(docs: DataFrame, model: Model | None, columns: list[str], name:
             arrays = [c for n, c in zip(names, b.columns, strict=True) if n in columns]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(np.concatenate(out))], [*columns, name])
 
-    return kept.mapInArrow(judge, kept.select(*columns).schema.add(name, "double"))
+    return kept.mapInArrow(tidy(judge), kept.select(*columns).schema.add(name, "double"))
 
 
 def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
