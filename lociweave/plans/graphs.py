@@ -48,10 +48,12 @@ bar AS (SELECT qid, max(score) FILTER (score < -60) AS bar, count(*) AS n FROM m
 x AS (SELECT qid, s, unnest(s) AS o FROM own), ok AS (SELECT x.qid, count(*) AS top, max(y.n) AS most FROM x JOIN own y ON y.qid = x.o AND y.s = x.s GROUP BY x.qid, x.s HAVING count(*) = len(x.s)) SELECT qid, coalesce(top, 0) AS top, CASE WHEN most = top - 1 THEN top ELSE 0 END AS whole FROM bar LEFT JOIN ok USING (qid)""",
 )
 def g03w(spark, sf_dir):
-    """Parts of a brand and a class of sizes match each other, the nearer in price the better; mutual within 60."""
-    side = lambda k: table(spark, sf_dir, "part").select(F.col("p_partkey").alias(f"{k}id"), "p_brand", (F.col("p_size") % 10).alias("c"), F.col("p_retailprice").alias(f"{k}price"))
-    m = side("q").join(side("s"), ["p_brand", "c"]).where("qid <> sid").select("qid", "sid", (-F.abs(F.col("qprice") - F.col("sprice"))).alias("score"))
-    return G.cliques(m.withColumn("mutual", F.col("score") >= -60))
+    """Parts of a brand and a class of sizes match each other, the nearer in price the better; mutual within 60. Parts of one price are a class of nodes."""
+    cls = F.struct("p_brand", (F.col("p_size") % 10).alias("c"), F.col("p_retailprice").alias("price"))
+    p = table(spark, sf_dir, "part").where("p_brand is not null and p_size is not null").select(F.col("p_partkey").alias("node"), cls.alias("class"))
+    side = lambda k: p.select(F.col("class").alias(f"{k}id"), "class.p_brand", "class.c", F.col("class.price").alias(f"{k}price")).distinct()
+    m = side("q").join(side("s"), ["p_brand", "c"]).select("qid", "sid", (-F.abs(F.col("qprice") - F.col("sprice"))).alias("score"))
+    return G.cliques(m.withColumn("mutual", F.col("score") >= -60), p)
 
 
 @query("g05_chains")

@@ -419,6 +419,19 @@ def test_cliques(spark):
     assert got == {1: (3, 3), 2: (3, 3), 3: (3, 3), 4: (3, 0), 5: (3, 0), 6: (3, 0), 10: (0, 0), 11: (0, 0), 12: (0, 0), 20: (0, 0), 21: (0, 0)}
 
 
+def test_cliques_of_classes(spark):
+    """Matches between classes of nodes say what all pairs of their nodes would."""
+    rng = random.Random(5)
+    of = {n: rng.randint(0, 11) for n in range(60)}
+    links = [(a, b, -float(abs(a - b)), abs(a - b) <= 1) for a in range(12) for b in range(12) if a // 3 == b // 3 or abs(a - b) == 1]
+    links = [x for x in links if (x[0], x[1]) not in ((7, 7), (0, 1))]
+    wide = [(q, s, score, mutual) for a, b, score, mutual in links for q in of for s in of if of[q] == a and of[s] == b and q != s]
+    x = "qid long, sid long, score double, mutual boolean"
+    want = {tuple(r) for r in G.cliques(spark.createDataFrame(wide, x)).collect()}
+    got = {tuple(r) for r in G.cliques(spark.createDataFrame(links, x), spark.createDataFrame(list(of.items()), "node long, class long")).collect()}
+    assert got == want and any(r[1] for r in want)
+
+
 @pytest.mark.parametrize("fold_edges", [3, 40, 200_000])
 def test_greedy_clusters_in_rounds_and_folds(spark, fold_edges):
     """Components above the bound go in rounds, those that come out of them in folds: the same merges."""
