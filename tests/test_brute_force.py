@@ -410,6 +410,18 @@ def test_trimmed_intervals(spark):
     assert {tuple(r) for r in got.collect()} == want
 
 
+def test_subset_pairs_of_many_equal_sets(spark, monkeypatch):
+    from lociweave.operators import sets as U
+
+    monkeypatch.setattr(U, "BLOCK", 4)
+    rng = random.Random(2)
+    sets = {n: frozenset(rng.sample(range(6), rng.randint(1, 4))) for n in range(40)} | {100 + n: frozenset((1, 2, 3)) for n in range(30)}
+    df = spark.createDataFrame([(n, x) for n, s in sets.items() for x in s] + [(100, None)], "set long, x long")
+    got = U.subset_pairs(df)
+    assert "flatten" not in got._jdf.queryExecution().toString()  # no row holds all pairs of the sets of an element
+    assert sorted(map(tuple, got.collect())) == sorted((a, b) for a in sets for b in sets if a not in (b, 100) and sets[a] <= sets[b])
+
+
 def test_cliques(spark):
     rows = [(a, b, 9.0, True) for a, b in itertools.permutations((1, 2, 3), 2)]
     rows += [(a, b, 8.0, True) for a, b in itertools.permutations((4, 5, 6), 2)] + [(4, 7, 3.0, False)]
