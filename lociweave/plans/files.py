@@ -51,17 +51,22 @@ def s07f(spark, sf_dir):
     return h.groupBy("qid", "sid", "pid", "coverage").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Hits in one file of search results, about.
+FILE_HITS = 40_000
+
+
 @query("s09_search_xml", "SELECT 'p' || l_partkey AS query, 's' || l_suppkey AS hit, l_discount AS evalue, l_quantity AS bits, CAST(l_linenumber AS INTEGER) AS identity FROM lineitem")
 def s09(spark, sf_dir):
     tag = lambda n, v: F.concat(F.lit(f"<{n}>"), v.cast("string"), F.lit(f"</{n}>"))
     li = table(spark, sf_dir, "lineitem")
     hsp = F.concat(F.lit("<Hit_hsps><Hsp>"), tag("Hsp_bit-score", F.col("l_quantity")), tag("Hsp_evalue", F.col("l_discount")), tag("Hsp_identity", F.col("l_linenumber")), F.lit("</Hsp></Hit_hsps>"))
     hit = F.concat(F.lit("<Hit>"), tag("Hit_def", F.concat(F.lit("s"), F.col("l_suppkey"))), hsp, F.lit("</Hit>"))
+    files = max(16, -(-li.count() // FILE_HITS))  # a file is one document and a row; their number follows the table's, so each stays small
     q = li.groupBy("l_partkey").agg(F.array_join(F.collect_list(hit), "").alias("hits"))
     value = F.concat(F.lit("<Iteration>"), tag("Iteration_query-def", F.concat(F.lit("p"), F.col("l_partkey"))), F.lit("<Iteration_hits>"), F.col("hits"), F.lit("</Iteration_hits></Iteration>"))
-    root = F.concat(F.lit("<R>"), F.array_join(F.collect_list("value"), ""), F.lit("</R>")).alias("value")  # a file is one document
+    root = F.concat(F.lit("<R>"), F.array_join(F.collect_list("value"), ""), F.lit("</R>")).alias("value")
     path = fresh(spark)
-    q.select((F.col("l_partkey") % 16).alias("k"), value.alias("value")).groupBy("k").agg(root).write.partitionBy("k").text(path)
+    q.select(F.pmod(F.xxhash64("l_partkey"), F.lit(files)).alias("k"), value.alias("value")).groupBy("k").agg(root).write.partitionBy("k").text(path)
     return R.search_xml(spark, path)
 
 

@@ -124,3 +124,23 @@ def test_streams(spark, sf_dir, tmp_path):
         q.awaitTermination()
         got = spark.table(name).count()
         assert got == n if n else got > 0
+
+
+def test_search_xml_files_follow_the_table(spark, sf_dir, monkeypatch):
+    """More hits make more documents, not larger ones."""
+    from lociweave.operators.graph import shared_folder
+    from lociweave.plans import files as P
+
+    path = str(shared_folder(spark)) + "/search-xml-test"
+    monkeypatch.setattr(P, "fresh", lambda spark: path)
+    monkeypatch.setattr(P, "FILE_HITS", 100)
+    got = P.s09(spark, sf_dir)
+    n = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    assert got.count() == n
+    sizes = [f.getLen() for d in _listed(spark, path) if d.isDirectory() for f in _listed(spark, d.getPath().toString())]
+    assert len(sizes) > 16 and max(sizes) < sum(sizes) / 16
+
+
+def _listed(spark, path):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)
