@@ -14,7 +14,8 @@
    rows and HOT at most, are split: each pair of chunks of it is a group of its own.
    A block returns a spanning forest of its links, never all pairs; for wide fingerprints FORESTS disjoint
    spanning forests of its nearest pairs, whose similarity is then computed from the documents' whole sets
-   of shingle hashes, so that only pairs that reach it link.
+   of shingle hashes, so that only pairs that reach it link. Then all other near pairs whose ends that leaves
+   apart are looked at in the same way, so none is dropped.
 4. Components of the forests' edges join the links. Fingerprints that many rows share
    are broadcast to them, the others joined by shuffle.
 
@@ -45,6 +46,7 @@ BLOCK = 1024
 HOT = 16_384
 SHARE = 256  # a chunk of a group holds one in so many rows, but BLOCK / 4 at least and HOT at most
 FORESTS = 2
+REST = 20_000  # pairs beyond the forests that a pass verifies, at least; as many as rows otherwise
 WIDE_WORDS = 16  # 1024 bits
 BANDS, BAND_ROWS = 10, 3
 _MIX = np.array([xxhash.xxh64_intdigest(f"mix {k}") | 1 for k in range(64)], np.uint64)
@@ -219,7 +221,8 @@ def bits_apart(fps: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def block_links(rows: DataFrame, radius: int, total: int, pairs: bool = False) -> DataFrame:
-    """Edges (a, b) of spanning forests of the links within groups of (key, node, fp), `total` nodes; pairs: edges are the nearest pairs themselves."""
+    """Edges (a, b) of spanning forests of the links within groups of (key, node, fp), `total` nodes; pairs: edges are the nearest pairs themselves; rows with `label`: all near pairs of different labels."""
+    rest = "label" in rows.columns
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     rows = rows.join(sizes, "key")
     chunks = F.ceil(F.col("n") / min(HOT, max(BLOCK // 4, total // SHARE))).cast("int")
@@ -229,6 +232,17 @@ def block_links(rows: DataFrame, radius: int, total: int, pairs: bool = False) -
     rows = rows.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two", "fp", "node")
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def apart(node: np.ndarray, fps: np.ndarray, label: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for x in range(0, len(fps), BLOCK):
+                for y in range(x, len(fps), BLOCK):
+                    one, two = label[x : x + BLOCK], label[y : y + BLOCK]
+                    if (one == two[0]).all() and (two == two[0]).all():
+                        continue
+                    i, j = near_pairs(fps[x : x + BLOCK], None if x == y else fps[y : y + BLOCK], radius)
+                    some = one[i] != two[j]
+                    if some.any():
+                        yield pa.RecordBatch.from_arrays([pa.array(node[i[some] + x]), pa.array(node[j[some] + y])], ["a", "b"])
+
         def edges(node: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
             out_i, out_j = [], []
             for x in range(0, len(fps), BLOCK):
@@ -260,32 +274,33 @@ def block_links(rows: DataFrame, radius: int, total: int, pairs: bool = False) -
         def cut(last: bool) -> Iterator[pa.RecordBatch]:
             """Compare all whole groups held; keep the rows of the last group, which may go on."""
             nonlocal held, count
-            group, node, fps = (np.concatenate(c) for c in zip(*held, strict=True))
+            group, node, fps, *label = (np.concatenate(c) for c in zip(*held, strict=True))
+            linked = lambda a, b: apart(node[a:b], fps[a:b], label[0][a:b]) if rest else iter((edges(node[a:b], fps[a:b]),))
             change = np.nonzero((group[1:] != group[:-1]).any(1))[0] + 1
             ends = [*change.tolist(), *([len(group)] if last else [])]
             start = at = 0
             for end in ends:
                 if end - start > BLOCK and at > start:
-                    yield edges(node[start:at], fps[start:at])
+                    yield from linked(start, at)
                     start = at
                 at = end
             if at > start:
-                yield edges(node[start:at], fps[start:at])
-            held, count = ([] if at == len(group) else [(group[at:], node[at:], fps[at:])]), len(group) - at
+                yield from linked(start, at)
+            held, count = ([] if at == len(group) else [(group[at:], node[at:], fps[at:], *(c[at:] for c in label))]), len(group) - at
 
         for b in batches:
             if not b.num_rows:
                 continue
             group = np.stack([np.asarray(b.column(c)).astype(np.int64) for c in (0, 1, 2)], 1)
             fps = np.frombuffer(b"".join(b.column(4).to_pylist()), np.uint64).reshape(b.num_rows, -1)
-            held.append((group, np.asarray(b.column(3)), fps))
+            held.append((group, np.asarray(b.column(3)), fps, *(np.asarray(b.column(c)) for c in range(5, b.num_columns))))
             count += b.num_rows
             if count >= 4 * BLOCK:
                 yield from cut(False)
         if held:
             yield from cut(True)
 
-    return rows.select("key", "one", "two", "node", "fp").mapInArrow(tidy(links), "a long, b long")
+    return rows.select("key", "one", "two", "node", "fp", *(["label"] if rest else [])).mapInArrow(tidy(links), "a long, b long")
 
 
 def part_keys(radius: int) -> Column:
@@ -319,6 +334,32 @@ def similar_pairs(pairs: DataFrame, docs: DataFrame, words: int, similarity: flo
     return both.where(shared >= similarity * (F.size("ha") + F.size("hb") - shared) - 1e-9).select("a", "b").distinct()
 
 
+def rest_links(rows: DataFrame, edges: DataFrame, found: DataFrame, radius: int, total: int, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The stored edges and what they need besides to link all that any near pair links: pairs (a, b) beyond the `found` ones whose ends the edges leave apart.
+
+    A pass verifies about as many pairs as there are rows; later passes leave out what earlier ones linked.
+    """
+    ends = lambda e: stored(components(e))
+    labels = ends(edges)
+    labelled = rows.join(labels, "node", "left").select("key", "node", "fp", F.coalesce("component", "node").alias("label"))
+    pairs = block_links(labelled, radius, total, True).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    rest = stored(pairs.join(found, ["a", "b"], "left_anti"))
+    passes = -(-rest.count() // max(REST, total))
+    for k in range(passes):
+        part = rest.where(F.pmod(F.xxhash64("a", "b"), F.lit(passes)) == k)
+        if k:
+            labels = ends(edges)
+            for c in ("a", "b"):
+                part = part.join(labels.select(F.col("node").alias(c), F.col("component").alias(f"_{c}")), c, "left")
+            part = part.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
+        more = stored(edges.unionByName(verify(stored(part))))
+        drop_stored(labels)
+        drop_stored(edges)
+        edges = more
+    drop_stored(rest)
+    return edges
+
+
 def near_components(prints: DataFrame, radius: int, keys: Column, verify: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """doc_id, fp, component_id of each row of the stored prints; keys: column of block keys for a fingerprint's row; verify: keeps the pairs (a, b) that link."""
     more = "bands" if "bands" in prints.columns else "bits"
@@ -330,7 +371,7 @@ def near_components(prints: DataFrame, radius: int, keys: Column, verify: Callab
     if verify:
         found = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         drop_stored(edges)
-        edges = stored(verify(found))
+        edges = rest_links(rows, stored(verify(found)), found, radius, total, verify)
         drop_stored(found)
     joined = components(edges)
     drop_stored(edges)

@@ -2,7 +2,9 @@ import itertools
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 import xxhash
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lociweave.llm import simhash as S
@@ -169,3 +171,14 @@ def test_rows_without_doc_id_pass_links_on(spark):
     df = spark.createDataFrame([(d, b.to_bytes(8, "little"), b) for d, b in rows], "doc_id long, fp binary, bits long")
     got = S.near_components(df, 2, S.part_keys(2)).collect()
     assert sorted((r.bits, r.component_id) for r in got) == sorted([(7, 1), (3, 1), (0, 1), (0, 1), (far, None), (far + 1, None), (0xFFFFFF << 36, 4)], key=lambda r: r[0])
+
+
+@pytest.mark.parametrize("rest", [1, 20_000])
+def test_near_pairs_beyond_the_forests_link(spark, monkeypatch, rest):
+    """Of eight fingerprints in a line only the outermost pair, the last that a forest would take, and one beside it are similar."""
+    monkeypatch.setattr(S, "REST", rest)
+    rows = [(k, np.packbits(np.arange(1024) < 5 * k, bitorder="little").tobytes(), [7, k]) for k in range(1, 9)]
+    prints = spark.createDataFrame(rows, "doc_id long, fp binary, bands array<long>")
+    similar = lambda pairs: pairs.where("a = 1 and b = 8 or a = 2 and b = 7")
+    got = {r.doc_id: r.component_id for r in S.near_components(prints, 100, F.col("bands"), similar).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 6, 7: 2, 8: 1}
