@@ -80,6 +80,15 @@ def pairwise_shared(members: DataFrame) -> DataFrame:
     return out.select("g1", "g2", "shared", (F.col("shared") * 100 / (F.col("n1") + F.col("n2") - F.col("shared"))).alias("jaccard"), (F.col("shared") * 200 / (F.col("n1") + F.col("n2"))).alias("sorensen"))
 
 
+def shared_with(members: DataFrame, few: DataFrame) -> DataFrame:
+    """g1, g2, jaccard in percent, of a few genomes g1 (column a of few) and every other one that shares a cluster; members without repeats. As pairwise_shared has it, without all pairs."""
+    per = members.groupBy("genome").agg(F.count(F.lit(1)).alias("n"))
+    own = members.join(F.broadcast(few.select(F.col("a").alias("genome"))), "genome").select("cluster", F.col("genome").alias("g1"))
+    shared = members.join(F.broadcast(own), "cluster").where("genome <> g1").groupBy("g1", F.col("genome").alias("g2")).agg(F.count(F.lit(1)).alias("shared"))
+    out = shared.join(per.select(F.col("genome").alias("g1"), F.col("n").alias("n1")), "g1").join(per.select(F.col("genome").alias("g2"), F.col("n").alias("n2")), "g2")
+    return out.select("g1", "g2", (F.col("shared") * 100 / (F.col("n1") + F.col("n2") - F.col("shared"))).alias("jaccard"))
+
+
 def group_cutoffs(total: Column, true_percent: Column, false_percent: Column) -> tuple[Column, Column]:
     """Counts from which a group has a cluster, and up to which it lacks it."""
     t, f = total * true_percent / 100, total * false_percent / 100

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -67,18 +68,22 @@ def spaced_representatives(distances: DataFrame, quota: int, gap: float) -> Data
     return lists.select("type", F.explode(F.aggregate(numbered, begin, walk, lambda s: s["took"])).alias("x")).select("type", "x.node", "x.distance")
 
 
-def farthest_representatives(nodes: DataFrame, first: DataFrame, distances: DataFrame, redundant: float, quit: float, stop_mean: float, stop_least: float, most: int, at_once: int, stop_new: int = 0) -> DataFrame:
+def farthest_representatives(nodes: DataFrame, first: DataFrame, distances: DataFrame | Callable[[DataFrame], DataFrame], redundant: float, quit: float, stop_mean: float, stop_least: float, most: int, at_once: int, stop_new: int = 0) -> DataFrame:
     """node, state, representative, identity, round: representatives added in rounds until the others are near enough to one.
 
     nodes: node, place; first: node, number (from 0), the first representatives; distances: a, b, distance, either way round, pairs that are not there
-    count as 1; identity is 100 (1 - distance). Each round joins the others with the new representatives only and keeps a running nearest one, the
+    count as 1, or a function that gives those of a few nodes (a) to all others, so that no table of all pairs is made; identity is 100 (1 - distance). Each round joins the others with the new representatives only and keeps a running nearest one, the
     earlier at a tie. Those with an identity of `redundant` or more to any are redundant and go. Of each representative's others the
     farthest one (the first by place at a tie) may become one, the farthest of all first, as long as its identity is below `quit`; at most as many as there are
     representatives, `at_once`, and up to `most` in all. When the mean or the least identity to the nearest has come to its stop, stop_new or
     fewer were added, or none but redundant ones are left, the last ones are joined and it ends. States: representative, redundant (with the first one that
     it is redundant to), covered. Rounds are written; what comes to the driver is one row of numbers a round.
     """
-    pair = settle(distances.select("a", "b", "distance").union(distances.select("b", "a", "distance")).groupBy(F.col("a").alias("rep"), F.col("b").alias("node")).agg(F.min("distance").alias("d")))
+    if callable(distances):
+        near_to = lambda new: distances(new.select(F.col("rep").alias("a"))).select(F.col("a").alias("rep"), F.col("b").alias("node"), F.col("distance").alias("d"))
+    else:
+        pair = settle(distances.select("a", "b", "distance").union(distances.select("b", "a", "distance")).groupBy(F.col("a").alias("rep"), F.col("b").alias("node")).agg(F.min("distance").alias("d")))
+        near_to = lambda new: pair
     identity = lambda d: F.round(100 * (1 - d), 9)
     new = settle(first.select(F.col("node").alias("rep"), F.col("number").cast("long").alias("number"), F.lit(None).cast(nodes.schema["node"].dataType).alias("of"), F.lit(None).cast("double").alias("d")))
     rest = settle(nodes.select("node", "place").join(new.select(F.col("rep").alias("node")), "node", "left_anti").withColumn("near", F.lit(None).cast("struct<d:double,number:long>")))
@@ -86,7 +91,7 @@ def farthest_representatives(nodes: DataFrame, first: DataFrame, distances: Data
     gone, total, last, n = [], new.count(), False, 0
     while True:
         n += 1
-        met = rest.select("node").join(pair, "node").join(new.select("rep", "number"), "rep")
+        met = rest.select("node").join(near_to(new), "node").join(new.select("rep", "number"), "rep")
         nearest = met.groupBy("node").agg(F.min(F.struct(F.col("d").cast("double").alias("d"), "number")).alias("x"), F.min(F.when(identity(F.col("d")) >= redundant, F.struct("number", F.col("d").cast("double").alias("d")))).alias("hit"))
         least = new.agg(F.min("number")).first()[0]
         unseen = F.struct(F.lit(1.0).alias("d"), F.lit(least).cast("long").alias("number"))  # a pair that is not there counts as 1

@@ -689,3 +689,12 @@ def test_clusters_by_levels(spark, greedy):
     if not greedy:
         flat = {r.node: r.component for r in G.components(spark.createDataFrame(edges, "a long, b long, score double")).collect()}
         assert got == {n: flat.get(n, n) for n, _ in feats}
+
+
+def test_farthest_representatives_without_all_pairs(spark, sf_dir):
+    """Distances of the new representatives only give what the table of all pairs gives."""
+    nodes, first, distances = Q.representatives_to_ask(spark, sf_dir)
+    assert callable(distances)
+    few = D.farthest_representatives(nodes, first, distances, **Q.NEAR | {"most": 6})
+    whole = D.farthest_representatives(nodes, first, Q.user_distances(spark, sf_dir), **Q.NEAR | {"most": 6})
+    assert sorted(map(str, few.collect())) == sorted(map(str, whole.collect()))
