@@ -351,6 +351,20 @@ def test_linkage_in_rounds(spark, method):
     assert L.linkage(df.limit(0), method).count() == 0
 
 
+@pytest.mark.parametrize("method", ["complete", "average", "single"])
+def test_linkage_folds_few_pairs(spark, method):
+    """Two rounds of jobs or so and a fold merge what one merge at a time does; rounds over few pairs are no jobs of their own: 30 rounds here."""
+    rng = random.Random(6)
+    d = {(a, b): round(rng.random(), 6) for a in range(16) for b in range(a + 1, 16) if rng.random() < 0.8} | {(40, 41): 0.5}
+    df = spark.createDataFrame([(*p, x) for p, x in d.items()], "a long, b long, distance double")
+    assert sorted((r.low, r.high, r.height, r.size) for r in L.linkage(df, method, fold_pairs=40).collect()) == plain_linkage(d, method)
+    line = spark.createDataFrame([(a, b, b / 100) for a in range(31) for b in range(a + 1, 31)], "a long, b long, distance double")
+    spark.sparkContext.setJobGroup(f"line-{method}", "")
+    assert L.linkage(line, method).agg({"round": "max"}).first()[0] == 30
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"line-{method}")) < 40
+    spark.sparkContext.setJobGroup("", "")
+
+
 def same_newick(got, want):
     lengths = [[float(x) for x in re.findall(r":(-?[0-9.]+)", t)] for t in (got, want)]
     assert re.sub(r":-?[0-9.]+", "", got) == re.sub(r":-?[0-9.]+", "", want) and lengths[0] == pytest.approx(lengths[1], abs=2e-6)
