@@ -316,6 +316,19 @@ def test_walks_of_many_genomes(spark):
     assert {(r.reason, r.n) for r in none.collect()} == {("end", 0)}
 
 
+def test_walks_over_words(spark):
+    """Edges as rows of single longs give the walks of whole vectors; an edge of one genome among a million is one row."""
+    rng = random.Random(4)
+    edges = [(c, 3, rng.choice((c + 1, c + 2)), 5, g) for g in (0, 63, 64, 999_999) for c in range(5) if rng.random() < 0.9]
+    e = spark.createDataFrame(edges, "c1 long, e1 int, c2 long, e2 int, genome long")
+    w = K.bit_words(e, spark.range(1_000_000).selectExpr("id as genome", "id as number"))
+    assert w.count() <= 2 * len(edges) and w.where("bits = 0").isEmpty()
+    starts, core = spark.createDataFrame([("a", (0, 3), 4)], "id string, at struct<cluster:long,end:int>, stop long"), spark.createDataFrame([(5,)], "cluster long")
+    rows = lambda v: Counter(tuple(r) for r in K.walks(starts, v, core, 6).drop("vector").collect())
+    few = {g: n for n, g in enumerate((0, 63, 64, 999_999))}
+    assert rows(w) == rows(K.bit_vectors(e, spark.createDataFrame(list(few.items()), "genome long, number long"))) and rows(w)
+
+
 def plain_linkage(d, method):
     """One merge at a time, nearest first; items that lack a distance are 1 apart, clusters that lack all stay apart."""
     items = {x: frozenset([x]) for p in d for x in p}
