@@ -92,19 +92,19 @@ def extended_anchors(relations: DataFrame, places: DataFrame, anchor: Column, ma
     side = lambda k: places.select(F.col("id").alias(f"{k}id"), F.col("contig").alias(f"{k}c"), F.col("pos").alias(f"{k}p"), F.col("orient").alias(f"{k}o"))
     bounds = places.groupBy(F.col("contig").alias("qc")).agg(F.min("pos").alias("low"), F.max("pos").alias("high"))
     at = relations.withColumn("anchor", anchor).join(side("q"), "qid").join(side("s"), "sid").join(bounds, "qc")
-    at = settle(at.select("qid", "sid", "anchor", "qc", "sc", "qp", "sp", (F.col("qo") * F.col("so")).alias("own"), "low", "high"))
+    at = settle(at.select("qid", "sid", "anchor", "qc", "sc", "qp", "sp", (F.col("qo") * F.col("so")).alias("own"), "low", "high"), merge=True)
     tries = [F.struct(F.lit(r).alias("r"), F.lit(d).alias("d"), F.lit(t).alias("t"), F.lit(a).alias("a"), F.lit(b).alias("b")) for d in (1, -1) for t in (1, -1) for r, (a, b) in enumerate(WALK_STEPS)]
     ask = at.select("qid", "sid", "qc", "sc", "qp", "sp", "low", "high", F.explode(F.array(*tries)).alias("x")).select("*", "x.*").where("b = 1 or qp + 3 * d between low and high")
     ask = ask.select(F.struct("qid", "sid", "d", "t").alias("state"), "r", "qc", "sc", (F.col("qp") + F.col("d") * F.col("a")).alias("qp"), (F.col("sp") + F.col("d") * F.col("t") * F.col("b")).alias("sp"))
     met = ask.join(at.select("qc", "sc", "qp", "sp", "qid", "sid", "anchor"), ["qc", "sc", "qp", "sp"])
     first = met.groupBy("state").agg(F.min(F.struct("r", "qid", "sid", "anchor")).alias("m")).where("not m.anchor")
-    jump = settle(first.select("state", F.struct("m.qid", "m.sid", "state.d", "state.t").alias("to")))
+    jump = settle(first.select("state", F.struct("m.qid", "m.sid", "state.d", "state.t").alias("to")), merge=True)
     reached = at.where("anchor").select(F.explode(F.array(*(F.struct("qid", "sid", F.lit(d).alias("d"), F.col("own").alias("t")) for d in (1, -1)))).alias("state"))
     for _ in range(max_rounds):
         if jump.isEmpty():
             break
-        reached = settle(reached.union(reached.join(jump, "state").select("to")).distinct())
-        jump = settle(jump.join(jump.toDF("to", "further"), "to").select("state", "further")).toDF("state", "to")
+        reached = settle(reached.union(reached.join(jump, "state").select("to")).distinct(), merge=True)
+        jump = settle(jump.join(jump.toDF("to", "further"), "to").select("state", "further"), merge=True).toDF("state", "to")
     else:
         raise RuntimeError("walks did not end")
     got = reached.select("state.qid", "state.sid").distinct().withColumn("_met", F.lit(True))

@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict, namedtuple
 
 import pytest
+from pyspark.sql import functions as F
 
 from lociweave.functions.sequence import IDENTITY_BANDS, LENGTH_BANDS
 from lociweave.operators import bubbles as B
@@ -316,6 +317,17 @@ def test_walks_of_many_genomes(spark):
     assert {(r.reason, r.n) for r in none.collect()} == {("end", 0)}
 
 
+def test_large_settled_tables_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(G, "BROADCAST_ROWS", 10)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    table = lambda n: G.settle(spark.range(n), merge=True)
+    big, small = table(50), table(5)
+    assert "BroadcastHashJoin" not in plan(big.join(big.select(F.col("id").alias("to")), F.col("id") == F.col("to")))
+    assert "BroadcastHashJoin" in plan(small.join(small.withColumnRenamed("id", "to"), F.col("id") == F.col("to")))
+    assert "BroadcastHashJoin" in plan(big.join(F.broadcast(small), "id")) and big.join(small, "id").count() == 5
+    assert table(0).count() == 0 and G.settle(spark.range(50).limit(0), merge=True).isEmpty()
+
+
 def test_walks_over_words(spark):
     """Edges as rows of single longs give the walks of whole vectors; an edge of one genome among a million is one row."""
     rng = random.Random(4)
