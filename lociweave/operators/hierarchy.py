@@ -20,23 +20,23 @@ def hierarchy(edges: DataFrame, cap: int, max_levels: int = 60) -> DataFrame:
     at them. batch numbers a level's batches in order of their nodes; ref is `L<level>B<batch>`; part is a leaf's name (its node where it has none) or
     the ref of a batch of the level before; leaf tells which. A node with more than `cap` children that are leaves can't be cut, an error.
     """
-    tree, found, below = settle(edges.select("node", "parent", "name", "length")), [], None
+    tree, found, below = settle(edges.select("node", "parent", "name", "length"), merge=True), [], None
     for level in range(1, max_levels + 1):
         leaves = tree.join(tree.select(F.col("parent").alias("node")).distinct(), "node", "left_anti")
-        of = settle(batches(tree, cap).select(F.col("leaf").alias("node"), F.col("batch").alias("top")))
+        of = settle(batches(tree, cap).select(F.col("leaf").alias("node"), F.col("batch").alias("top")), merge=True)
         order = numbered(of.select("top").distinct(), "top").select("top", F.col("k").alias("batch"))
         named = leaves.select("node", F.coalesce("name", F.col("node").cast("string")).alias("part")) if below is None else below
         rows = of.join(order, "top").join(named, "node").select("top", F.col("batch").cast("int").alias("batch"), "part", F.lit(below is None).alias("leaf"))
-        rows = settle(rows.select(F.lit(level).alias("level"), "batch", F.format_string("L%dB%d", F.lit(level), "batch").alias("ref"), "part", "leaf", "top"))
+        rows = settle(rows.select(F.lit(level).alias("level"), "batch", F.format_string("L%dB%d", F.lit(level), "batch").alias("ref"), "part", "leaf", "top"), merge=True)
         found.append(rows.drop("top"))
         n, parts = rows.agg(F.countDistinct("top"), F.count(F.lit(1))).first()
         if n <= 1:
             return reduce(DataFrame.unionByName, found)
         if n == parts:
             raise ValueError(f"a node has more than {cap} leaves as children")
-        below = settle(rows.select(F.col("top").alias("node"), F.col("ref").alias("part")).distinct())
+        below = settle(rows.select(F.col("top").alias("node"), F.col("ref").alias("part")).distinct(), merge=True)
         over = ancestors(tree).join(below.select("node"), "node", "left_semi").select(F.col("ancestor").alias("node")).distinct()
-        tree = settle(tree.join(over, "node", "left_semi"))
+        tree = settle(tree.join(over, "node", "left_semi"), merge=True)
     raise RuntimeError(f"more than {max_levels} levels")
 
 
