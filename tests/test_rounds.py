@@ -147,6 +147,21 @@ def test_neighbour_rounds(spark, sf_dir):
     assert len({r[2] for r in got}) > 1 and any(len(r) for r in got)
 
 
+def test_scoring_meets_a_pair_of_clusters_once_and_does_not_sort(spark):
+    row = lambda side, end, frequency, kind="near", distance=None: ("a", side, kind, "b", end, frequency, distance)
+    rows = [row(5, 3, 0.5), row(5, 5, 0.25), row(3, 3, 1.0), row(5, 3, 0.75, "core", 2.0)]
+    pairs = C.by_pair(spark.createDataFrame(rows, "cluster string, side int, kind string, neighbour string, end int, frequency double, distance double"))
+    got = {r.kind: r for r in pairs.collect()}
+    assert len(got) == pairs.count() == 2
+    assert (got["near"].f53, got["near"].f55, got["near"].f33, got["near"].f35, got["core"].f53, got["core"].d53) == (0.5, 0.25, 1.0, None, 0.75, 2.0)
+    schema = "contig long, idx long, cluster string, inverted boolean, core boolean, held long, cores long, n long, m long, circular boolean"
+    placed = spark.createDataFrame([(1, 0, "a", False, True, 1, 1, 3, 2, False), (1, 1, "b", True, False, 0, 1, 3, 2, False), (1, 2, "b", None, True, 1, 2, 3, 2, False)], schema)
+    near, core = C._observed(placed)
+    assert not any("SortAggregate" in x._jdf.queryExecution().executedPlan().toString() for x in (near, core))
+    assert sorted(r[1:] for r in near.collect()) == [(0, 1, "b", True, 1), (1, -1, "a", False, 1), (1, 1, "b", None, 1), (2, -1, "a", False, 2), (2, -1, "b", True, 1)]
+    assert sorted(r[1:] for r in core.collect()) == [(0, 1, "b", None, 2), (1, -1, "a", False, 1), (1, 1, "b", None, 1), (2, -1, "a", False, 2)]
+
+
 def test_neighbour_rounds_of_nothing(spark, sf_dir):
     choices, *rest = Q.consistency_input(spark, sf_dir)
     assert C.neighbour_rounds(choices.limit(0), *rest).count() == 0
