@@ -17,13 +17,15 @@ alignments AS (SELECT query, round, subject, subject_length, place, bits, evalue
 
 
 def alignments(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem").withColumns({"query": F.concat(F.lit("p"), text("l_partkey")), "round": (F.col("l_linenumber") % 2 + 1).cast("int"), "subject": F.concat(F.lit("s"), text("l_suppkey"))})
+    cells = ("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_discount", "l_returnflag")
+    li = li.select("query", "round", "subject", *cells).repartition("query")  # once, while rows are narrow: all that follows goes by query
     n = (30 + F.col("l_quantity")).cast("int")
     letters = lambda s: F.substring(F.repeat(F.lit(s), 9), F.lit(1), n)
-    place = F.row_number().over(Window.partitionBy("l_partkey", F.col("l_linenumber") % 2, "l_suppkey").orderBy("l_orderkey", "l_linenumber"))
-    a = li.select(
-        *(F.concat(F.lit("p"), text("l_partkey")).alias("query"), (F.col("l_linenumber") % 2 + 1).cast("int").alias("round"), F.concat(F.lit("s"), text("l_suppkey")).alias("subject")),
-        *((1000 + F.col("l_suppkey")).cast("int").alias("subject_length"), place.alias("place"), F.col("l_quantity").cast("double").alias("bits"), F.col("l_discount").cast("double").alias("evalue")),
+    place = F.row_number().over(Window.partitionBy("query", "round", "subject").orderBy("l_orderkey", "l_linenumber"))
+    a = li.withColumn("place", place).select(
+        *("query", "round", "subject"),
+        *((1000 + F.col("l_suppkey")).cast("int").alias("subject_length"), "place", F.col("l_quantity").cast("double").alias("bits"), F.col("l_discount").cast("double").alias("evalue")),
         *(F.col("l_linenumber").cast("int").alias("identities"), n.alias("length"), letters("ACDEFGHIK-").alias("qseq"), letters("LKIHGFEDCA").alias("sseq")),
         *((F.col("l_linenumber") * 3).cast("long").alias("qstart"), F.when(F.col("l_returnflag") == "R", -1).otherwise(1).alias("way")),
     )

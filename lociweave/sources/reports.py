@@ -78,7 +78,7 @@ def _blocks(width: int) -> Column:
 
 
 def write_report(alignments: DataFrame, path: str, threshold: float, width: int = 60) -> None:
-    """A text report with rounds: one record a query. alignments: as report_alignments gives; subjects with a least e-value above the threshold are listed as worse."""
+    """A text report with rounds: one record a query, in files packed by gzip, one a task. alignments: as report_alignments gives, best dealt by query, as then nothing is shuffled; subjects with a least e-value above the threshold are listed as worse."""
     number = lambda c: F.col(c).cast("string")
     head = F.concat(F.lit(" Score = "), number("bits"), F.lit(" bits (1),  Expect = "), number("evalue"), F.lit("\n Identities = "), number("identities"), F.lit("/"), number("length"), F.lit(" (1%), Gaps = "), number("gaps"), F.lit("/"), number("length"))
     a = alignments.select("query", "round", "subject", "subject_length", "place", "bits", "evalue", F.concat(head, F.lit("\n\n"), _blocks(width)).alias("block"))
@@ -89,7 +89,7 @@ def write_report(alignments: DataFrame, path: str, threshold: float, width: int
     names = lambda keep: F.array_join(F.transform(F.filter("h", keep), lambda x: x["row"]), "\n")
     text = F.concat(F.lit(f"\n{ROUND} "), number("round"), F.lit(f"\n\n{LIST}:        (bits) Value\n\n"), names(lambda x: x["evalue"] <= threshold), F.lit(f"\n\n{WORSE}\n\n"), names(lambda x: x["evalue"] > threshold), F.lit("\n"), F.array_join(F.transform("h", lambda x: x["text"]), "\n"))
     q = r.select("query", "round", text.alias("text")).groupBy("query").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("round", "text"))), lambda x: x["text"]), "\n").alias("text"))
-    q.select(F.concat(F.lit(f"BLASTP 2.2\n\n{QUERY} "), F.col("query"), F.lit(" some query\n         (100 letters)\n"), F.col("text"), F.lit("\n  Database: all\n")).alias("value")).write.text(path)
+    q.select(F.concat(F.lit(f"BLASTP 2.2\n\n{QUERY} "), F.col("query"), F.lit(" some query\n         (100 letters)\n"), F.col("text"), F.lit("\n  Database: all\n")).alias("value")).write.text(path, compression="gzip")
 
 
 #: Features of small genomes that are read, and those whose product or note goes into their name.

@@ -4,7 +4,9 @@ import gzip
 
 import pytest
 
+from lociweave.plans import records
 from lociweave.sources import readers as R
+from lociweave.sources import reports
 from lociweave.sources import writers as W
 from lociweave.streaming import extensions as X
 
@@ -144,3 +146,15 @@ def test_search_xml_files_follow_the_table(spark, sf_dir, monkeypatch):
 def _listed(spark, path):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)
+
+
+def test_report_is_dealt_once_and_packed(spark, sf_dir, tmp_path):
+    a = records.alignments(spark, sf_dir)
+    path = str(tmp_path / "report")
+    reports.write_report(a, path, 0.05)
+    files = list((tmp_path / "report").glob("part-*"))
+    assert files and all(f.name.endswith(".gz") for f in files)
+    assert reports.report_alignments(spark, path).count() == a.count()
+    # all groups of a report go by query, and so are rows dealt: grouping them shuffles nothing more
+    plan = a.groupBy("query", "round", "subject").count().groupBy("query", "round").count()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
