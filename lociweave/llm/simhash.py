@@ -220,11 +220,16 @@ def bits_apart(fps: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, np.int32)
 
 
-def block_links(rows: DataFrame, radius: int, total: int, pairs: bool = False) -> DataFrame:
-    """Edges (a, b) of spanning forests of the links within groups of (key, node, fp), `total` nodes; pairs: edges are the nearest pairs themselves; rows with `label`: all near pairs of different labels."""
-    rest = "label" in rows.columns
+def block_links(rows: DataFrame, radius: int, total: int, pairs: bool = False, prints: DataFrame | None = None) -> DataFrame:
+    """Edges (a, b) of spanning forests of the links within groups of (key, node, fp), `total` nodes; pairs: edges are the nearest pairs themselves; rows with `label`: all near pairs of different labels.
+
+    prints: rows hold key, node, mark, and prints fp (and label) of each node and mark. Keys of one row, most of them, then go before the wide columns come.
+    """
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     rows = rows.join(sizes, "key")
+    if prints is not None:
+        rows = rows.join(prints, ["node", "mark"]).drop("mark")
+    rest = "label" in rows.columns
     chunks = F.ceil(F.col("n") / min(HOT, max(BLOCK // 4, total // SHARE))).cast("int")
     rows = rows.withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
@@ -334,15 +339,15 @@ def similar_pairs(pairs: DataFrame, docs: DataFrame, words: int, similarity: flo
     return both.where(shared >= similarity * (F.size("ha") + F.size("hb") - shared) - 1e-9).select("a", "b").distinct()
 
 
-def rest_links(rows: DataFrame, edges: DataFrame, found: DataFrame, radius: int, total: int, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def rest_links(rows: DataFrame, prints: DataFrame, edges: DataFrame, found: DataFrame, radius: int, total: int, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The stored edges and what they need besides to link all that any near pair links: pairs (a, b) beyond the `found` ones whose ends the edges leave apart.
 
     A pass verifies about as many pairs as there are rows; later passes leave out what earlier ones linked.
     """
     ends = lambda e: stored(components(e))
     labels = ends(edges)
-    labelled = rows.join(labels, "node", "left").select("key", "node", "fp", F.coalesce("component", "node").alias("label"))
-    pairs = block_links(labelled, radius, total, True).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    labelled = prints.join(labels, "node", "left").select("node", "mark", "fp", F.coalesce("component", "node").alias("label"))
+    pairs = block_links(rows, radius, total, True, labelled).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     rest = stored(pairs.join(found, ["a", "b"], "left_anti"))
     passes = -(-rest.count() // max(REST, total))
     for k in range(passes):
@@ -365,14 +370,16 @@ def near_components(prints: DataFrame, radius: int, keys: Column, verify: Callab
     more = "bands" if "bands" in prints.columns else "bits"
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.first(more).alias(more), F.count(F.lit(1)).alias("copies"))
     distinct = distinct.withColumn("node", F.col("bits") if more == "bits" else F.col("first"))  # of 64 bits the fingerprint itself: rows without doc_id pass links on
-    rows = distinct.where("node is not null").select(F.explode(keys).alias("key"), "node", "fp")
+    known = stored(distinct.where("node is not null").select("node", F.xxhash64("fp").alias("mark"), "fp", more))
+    rows, fps = known.select(F.explode(keys).alias("key"), "node", "mark"), known.select("node", "mark", "fp")
     total = prints.count()
-    edges = stored(block_links(rows, radius, total, verify is not None))
+    edges = stored(block_links(rows, radius, total, verify is not None, fps))
     if verify:
         found = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         drop_stored(edges)
-        edges = rest_links(rows, stored(verify(found)), found, radius, total, verify)
+        edges = rest_links(rows, fps, stored(verify(found)), found, radius, total, verify)
         drop_stored(found)
+    drop_stored(known)
     joined = components(edges)
     drop_stored(edges)
     linked = stored(joined.union(joined.select("component", "component").distinct()))
@@ -419,7 +426,7 @@ def keep_first(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Data
     prints = stored(fingerprints(docs, words, wide=True))
     verify = lambda pairs: similar_pairs(pairs, docs, words, similarity)
     parts = near_components(prints, wide_radius(similarity), F.col("bands"), verify)
-    going = parts.where("doc_id <> component_id").select("doc_id").distinct()
+    going = stored(parts.where("doc_id <> component_id").select("doc_id").distinct())  # its size is known then, and while it is small no text is shuffled
     return docs.join(going, "doc_id", "left_anti").select(*docs.columns)
 
 

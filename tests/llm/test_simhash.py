@@ -182,3 +182,17 @@ def test_near_pairs_beyond_the_forests_link(spark, monkeypatch, rest):
     similar = lambda pairs: pairs.where("a = 1 and b = 8 or a = 2 and b = 7")
     got = {r.doc_id: r.component_id for r in S.near_components(prints, 100, F.col("bands"), similar).collect()}
     assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 6, 7: 2, 8: 1}
+
+
+def test_wide_columns_come_after_keys_of_one_row_went(spark):
+    """Only rows of shared keys meet fingerprints; rows that share a doc_id keep theirs apart."""
+    rows = spark.createDataFrame([(7, 1, 10), (7, 2, 20), (8, 1, 11), (9, 1, 10), (9, 3, 30)], "key long, node long, mark long")
+    fps = [(1, 10, 0), (1, 11, (1 << 60) - 1), (2, 20, 1), (3, 30, 1 << 62)]
+    prints = spark.createDataFrame([(n, m, f.to_bytes(8, "little")) for n, m, f in fps], "node long, mark long, fp binary")
+    assert {tuple(sorted(e)) for e in S.block_links(rows, 2, 4, False, prints).where("a <> b").collect()} == {(1, 2), (1, 3)}
+
+
+def test_small_removals_shuffle_no_text(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", "", ""), (2, "a b c d e f", "", ""), (3, "g h i j k l m", "", "")], DOCS)
+    kept = S.keep_first(docs)
+    assert "SortMergeJoin" not in kept._jdf.queryExecution().executedPlan().toString() and sorted(r.doc_id for r in kept.collect()) == [1, 3]
