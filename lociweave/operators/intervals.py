@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .graph import settle
+
 
 def overlap_join(left: DataFrame, right: DataFrame, width: int) -> DataFrame:
     """Pairs that overlap; columns of the sides get the prefixes l_ and r_, contig stays. width: near the usual length."""
@@ -34,13 +36,18 @@ def mutual_overlaps(left: DataFrame, right: DataFrame, width: int, least: float
 
 
 def annotation_difference(old: DataFrame, new: DataFrame, width: int, least: float = 0.5) -> DataFrame:
-    """old_name, new_name, difference: SAME, DIFF_5P, DIFF_3P, BOTH, with _INVERT where strands differ (INVERT for SAME), NEW, REMOVED."""
+    """old_name, new_name, difference: SAME, DIFF_5P, DIFF_3P, BOTH, with _INVERT where strands differ (INVERT for SAME), NEW, REMOVED.
+
+    The sides and what they have in common are written once, as each is read several times.
+    """
+    old, new = settle(old), settle(new)
     m = mutual_overlaps(old, new, width, least)
     kind = F.when((F.col("l_start") == F.col("r_start")) & (F.col("l_stop") == F.col("r_stop")), "SAME").when((F.col("l_start") != F.col("r_start")) & (F.col("l_stop") != F.col("r_stop")), "BOTH")
     kind = kind.when(F.col("l_start") != F.col("r_start"), "DIFF_5P").otherwise("DIFF_3P")
     turned = F.col("l_orient") != F.col("r_orient")
     kind = F.when(turned & (kind == "SAME"), "INVERT").when(turned, F.concat(kind, F.lit("_INVERT"))).otherwise(kind)
     met = m.select(F.col("l_name").alias("old_name"), F.col("r_name").alias("new_name"), kind.alias("difference"))
+    met = settle(met)
     gone = old.join(met, old["name"] == met["old_name"], "left_anti").select(F.col("name").alias("old_name"), F.lit(None).cast("long").alias("new_name"), F.lit("REMOVED").alias("difference"))
     came = new.join(met, new["name"] == met["new_name"], "left_anti").select(F.lit(None).cast("long").alias("old_name"), F.col("name").alias("new_name"), F.lit("NEW").alias("difference"))
     return met.union(gone).union(came)

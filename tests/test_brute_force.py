@@ -471,3 +471,12 @@ def test_components_with_hubs_that_are_split(spark, monkeypatch):
     edges = [(k, k + 1) for k in range(40)] + [(1000, 1000 + k) for k in range(1, 600)]
     got = {r.node: r.component for r in G.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {k: 0 for k in range(1, 41)} | {1000 + k: 1000 for k in range(1, 600)}
+
+
+def test_annotation_difference_reads_its_sides_once(spark, sf_dir):
+    """Intervals that come out of joins are written once, and all that reads them, or what they have in common, reads those tables."""
+    from lociweave.operators import intervals as V
+    from lociweave.plans import intervals as Q
+
+    got = V.annotation_difference(*(Q.side(spark, sf_dir, k) for k in "AR"), 200)
+    assert got.inputFiles() and all("/settled-" in f for f in got.inputFiles())
