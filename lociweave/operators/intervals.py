@@ -7,7 +7,7 @@ and a contig with very many intervals spreads over its bins.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from .graph import settle
@@ -22,6 +22,17 @@ def overlap_join(left: DataFrame, right: DataFrame, width: int) -> DataFrame:
     return j.where("l_start <= r_stop and r_start <= l_stop and bin = greatest(l_bin0, r_bin0)").drop("bin", "l_bin0", "r_bin0")
 
 
+#: Bins are at most so many times as wide as asked for.
+WIDEST = 16
+
+
+def measured(intervals: DataFrame, width: int) -> tuple[DataFrame, int]:
+    """The intervals, written once, and a width of bins for them: twice their mean length, from `width` to WIDEST times that, so that an interval lies in few bins."""
+    seen = Observation()
+    got = settle(intervals.observe(seen, F.avg(F.col("stop") - F.col("start") + 1).alias("mean")))
+    return got, int(min(max(2 * (seen.get["mean"] or 0), width), WIDEST * width))
+
+
 def overlap_share() -> Column:
     """Mean of the overlap's shares of both lengths."""
     o = F.least("l_stop", "r_stop") - F.greatest("l_start", "r_start") + 1

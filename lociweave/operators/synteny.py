@@ -6,10 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .intervals import overlap_join
+from .intervals import measured, overlap_join
 
 
 def synteny_scores(relations: DataFrame, places: DataFrame, w: int) -> DataFrame:
@@ -47,31 +48,45 @@ def overlap_table(intervals: DataFrame, species: list, width: int, least: float
     """name and, for each other species, the name of its interval that overlaps best and is not used yet.
 
     Intervals of the first species are served in order of place; an interval is used once. intervals: contig, start, stop, name, species.
-    Candidates come from the binned overlap join; the order-dependent choice runs over stretches of them that no
-    candidate bridges (a window cuts contigs at such gaps), 64 at a time, so no task holds a whole contig.
+    Candidates come from the binned overlap join; the order-dependent choice is a fold over the sorted candidates of each contig. A window
+    cuts contigs at gaps that no candidate bridges, and only the names used since the last gap are held.
     """
+    intervals, width = measured(intervals, width)
     one, rest = intervals.where(F.col("species") == species[0]), intervals.where(F.col("species") != species[0])
     share = F.expr("(least(l_stop, r_stop) - greatest(l_start, r_start) + 1) / greatest(l_stop - l_start + 1, r_stop - r_start + 1)")
-    c = overlap_join(one, rest, width).withColumn("share", F.round(share, 9)).where(F.col("share") >= least)
+    c = overlap_join(one.drop("species"), rest, width).withColumn("share", F.round(share, 9)).where(F.col("share") >= least)
     w = Window.partitionBy("contig").orderBy("_from", "_to").rowsBetween(Window.unboundedPreceding, -1)
     c = c.withColumns({"_from": F.least("l_start", "r_start"), "_to": F.greatest("l_stop", "r_stop")})
     c = c.withColumn("_new", F.coalesce((F.col("_from") > F.max("_to").over(w)).cast("int"), F.lit(1)))
-    c = c.withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_from", "_to", "_new")
+    c = c.withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    c = c.sortWithinPartitions("contig", "_run", "l_start", "l_stop", "l_name", F.col("share").desc(), "r_name")  # contigs lie whole in a partition, as the window asks
+    others = [str(s) for s in species[1:]]
 
-    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run = name = None
         used: set = set()
-        out = []
-        for name, g in pdf.sort_values(["l_start", "l_stop", "l_name", "share", "r_name"], ascending=[True, True, True, False, True]).groupby("l_name", sort=False):
-            row = {"name": name}
-            for s, r in zip(g["r_species"], g["r_name"], strict=True):
-                if str(s) not in row and r not in used:
-                    row[str(s)] = r
-                    used.add(r)
-            out.append(row)
-        table = pd.DataFrame(out, columns=["name", *map(str, species[1:])])
-        return table.astype({str(s): "Int64" for s in species[1:]})
-
-    return c.groupBy("contig", F.floor(F.col("_run") / 64)).applyInPandas(choose, "name long, " + ", ".join(f"`{s}` long" for s in species[1:]))
+        row: dict = {}
+        for b in batches:
+            names, taken = [], []
+            for contig, r, served, kind, other in zip(*(b.column(k).to_pylist() for k in range(5)), strict=True):
+                if (contig, r, served) != (*(run or (None, None)), name):
+                    if name is not None:
+                        names.append(name)
+                        taken.append(row)
+                    if (contig, r) != run:
+                        run, used = (contig, r), set()
+                    name, row = served, {}
+                if kind not in row and other not in used:
+                    row[kind] = other
+                    used.add(other)
+            yield table(names, taken)
+        if name is not None:
+            yield table([name], [row])
+
+    def table(names: list, taken: list[dict]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), *(pa.array([t.get(s) for t in taken], pa.int64()) for s in others)], ["name", *others])
+
+    return c.select("contig", "_run", "l_name", F.col("r_species").cast("string"), "r_name").mapInArrow(choose, "name long, " + ", ".join(f"`{s}` long" for s in others))
 
 
 def smoothed_plateaus(rows: DataFrame, tolerance: float = 0.1) -> DataFrame:

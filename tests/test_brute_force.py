@@ -480,3 +480,34 @@ def test_annotation_difference_reads_its_sides_once(spark, sf_dir):
 
     got = V.annotation_difference(*(Q.side(spark, sf_dir, k) for k in "AR"), 200)
     assert got.inputFiles() and all("/settled-" in f for f in got.inputFiles())
+
+
+def test_overlap_table_is_one_fold_over_sorted_candidates(spark):
+    from lociweave.operators import intervals as V
+    from lociweave.operators import synteny as Y
+
+    rng = random.Random(13)
+    rows = []
+    for n in range(400):
+        start = rng.randrange(600)
+        rows.append((n % 7, start, start + rng.randrange(5, 40), n, rng.choice("ABC")))
+    df = spark.createDataFrame(rows, "contig long, start long, stop long, name long, species string")
+    want = {}
+    for contig in range(7):
+        used = set()
+        for _, start, stop, name, _ in sorted((r for r in rows if r[0] == contig and r[4] == "A"), key=lambda r: (r[1], r[2], r[3])):
+            found, near = {}, []
+            for _, s, e, other, kind in (r for r in rows if r[0] == contig and r[4] != "A"):
+                share = round((min(stop, e) - max(start, s) + 1) / max(stop - start + 1, e - s + 1), 9)
+                if share >= 0.5:
+                    near.append((-share, other, kind))
+            for _, other, kind in sorted(near):
+                if kind not in found and other not in used:
+                    found[kind] = other
+                    used.add(other)
+            if near:
+                want[name] = (found.get("B"), found.get("C"))
+    table = Y.overlap_table(df, ["A", "B", "C"], 4)
+    assert {r.name: (r.B, r.C) for r in table.collect()} == want
+    assert "FlatMapGroupsInPandas" not in table._jdf.queryExecution().toString()  # a group of pandas for each contig took most of the time
+    assert V.measured(df, 4)[1] > 30  # a bin is as wide as the intervals are long, not ten of them for each
