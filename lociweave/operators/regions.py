@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .intervals import overlap_join
+from .intervals import measured, overlap_join
 
 
 def suppress_competitors(hits: DataFrame, width: int, same_cluster: float = 0.3, other: float = 0.45, near: float = 0.98, pid_gap: float = 5) -> DataFrame:
@@ -17,6 +17,7 @@ def suppress_competitors(hits: DataFrame, width: int, same_cluster: float = 0.3,
     tenth of the other's, or its identity is pid_gap lower. A hit survives with its place, or as its cluster's best if it is
     not weak. All pairs count; the outcome doesn't depend on their order.
     """
+    hits, width = measured(hits, width)
     p = overlap_join(hits, hits, width).where("l_name <> r_name")
     o = F.least("l_stop", "r_stop") - F.greatest("l_start", "r_start") + 1
     share = o / F.least(F.col("l_stop") - F.col("l_start") + 1, F.col("r_stop") - F.col("r_start") + 1)

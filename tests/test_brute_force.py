@@ -535,3 +535,18 @@ def test_clade_support_keeps_a_row_a_node(spark, monkeypatch):
     got = R.clade_support(df.where("tree = 0").drop("tree"), df.where("tree > 0"))
     assert {r.node: r.support for r in got.collect()} == want
     assert max(t.count() for t in wrote) <= 240  # never a row for each node and ancestor
+
+
+@pytest.mark.parametrize("name", ["resolve_conflicts", "suppress_competitors"])
+def test_long_intervals_lie_in_few_bins(spark, monkeypatch, name):
+    from lociweave.operators import regions as Z
+
+    rng = random.Random(25)
+    rows = [(n % 5, s, s + rng.randrange(900, 1100), n, n % 4, n % 17, n % 90, n % 3 + 1, n % 3 == 0) for n in range(200) for s in [rng.randrange(3000)]]
+    df = spark.createDataFrame(rows, "contig long, start long, stop long, name long, cluster long, bits long, pid long, size long, best boolean")
+    module = V if name == "resolve_conflicts" else Z
+    run = lambda width: sorted(map(tuple, (V.resolve_conflicts(df, ["bits"], width, 30) if module is V else Z.suppress_competitors(df, width)).collect()))
+    widths, join = [], V.overlap_join
+    monkeypatch.setattr(module, "overlap_join", lambda a, b, width: widths.append(width) or join(a, b, width))
+    assert run(200) == run(100_000)  # the width changes no row
+    assert widths[0] > 1800 and widths[1] == 100_000  # bins of 200 would hold an interval six times
