@@ -7,6 +7,10 @@ and a contig with very many intervals spreads over its bins.
 
 from __future__ import annotations
 
+import heapq
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
@@ -97,13 +101,48 @@ def resolve_conflicts(intervals: DataFrame, priority: list[str], width: int, lea
 def trim_by_priority(intervals: DataFrame, priority: str, width: int) -> DataFrame:
     """contig, name, priority, start, stop: intervals cut so that none overlap: a place belongs to the interval of the least priority there, then the earlier start, then the smaller name.
 
-    Of an interval's pieces the longest stays, then the first; one that owns no place goes.
+    Of an interval's pieces the longest stays, then the first; one that owns no place goes. A sweep along each contig holds the intervals
+    that are open there and no pairs, so width, the bins of a join, isn't needed any more.
     """
-    ends = intervals.select("contig", F.explode(F.array(F.col("start"), F.col("stop") + 1)).alias("start")).distinct()
-    parts = ends.withColumn("stop", F.lead("start").over(Window.partitionBy("contig").orderBy("start")) - 1).where("stop is not null")
-    over = overlap_join(parts, intervals.select("contig", "start", "stop", "name", priority), width)
-    won = over.groupBy("contig", F.col("l_start").alias("start"), F.col("l_stop").alias("stop")).agg(F.min(F.struct("r_" + priority, "r_start", "r_name")).alias("m"))
-    won = won.select("contig", "start", "stop", F.col("m.r_name").alias("name"), F.col("m.r_" + priority).alias(priority))
+    kinds = intervals.schema
+    columns = ["contig", "start", "stop", "name", priority]
+
+    def owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, at = None, 0
+        held: list[tuple] = []  # the first owns the places from `at` on
+        out: list[tuple] = []
+
+        def close(before: int | None) -> None:
+            nonlocal at
+            while held and (before is None or held[0][-1] < before):
+                stop, name, kind = held[0][-1], held[0][3], held[0][1]
+                out.append((here, at, stop, name, kind))
+                at = stop + 1
+                while held and held[0][-1] < at:
+                    heapq.heappop(held)
+
+        for b in batches:
+            types = b.schema.types
+            for contig, start, stop, name, kind in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if contig != here:
+                    close(None)
+                    here = contig
+                close(start)
+                new = (kind is not None, kind, start, name, stop)
+                if not held:
+                    at = start
+                elif new < held[0] and at < start:
+                    out.append((here, at, start - 1, held[0][3], held[0][1]))
+                    at = start
+                heapq.heappush(held, new)
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], types[k]) for k in range(5)], columns)
+            out.clear()
+        close(None)
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], types[k]) for k in range(5)], columns)
+
+    rows = intervals.where("contig is not null and start <= stop").select(*columns).repartition("contig").sortWithinPartitions("contig", "start", "stop")
+    won = rows.mapInArrow(owners, ", ".join(f"`{c}` {kinds[c].dataType.simpleString()}" for c in columns))
     w = Window.partitionBy("contig", "name").orderBy("start")
     run = won.withColumn("_new", F.when(F.lag("stop").over(w) + 1 == F.col("start"), 0).otherwise(1)).withColumn("_run", F.sum("_new").over(w))
     pieces = run.groupBy("contig", "name", priority, "_run").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))

@@ -550,3 +550,24 @@ def test_long_intervals_lie_in_few_bins(spark, monkeypatch, name):
     monkeypatch.setattr(module, "overlap_join", lambda a, b, width: widths.append(width) or join(a, b, width))
     assert run(200) == run(100_000)  # the width changes no row
     assert widths[0] > 1800 and widths[1] == 100_000  # bins of 200 would hold an interval six times
+
+
+def test_trimming_sweeps_contigs_without_pairs(spark):
+    rng = random.Random(23)
+    rows = [(c, s, s + rng.randint(-2, 60), n, rng.choice([None, 0, 1, 2])) for c in range(4) for n, s in enumerate(rng.randint(0, 300) for _ in range(60))] + [(5, 1, 3, 0, 1), (None, 1, 3, 0, 1)]
+    want = set()
+    for c in range(6):
+        mine = [r for r in rows if r[0] == c]
+        owner = {p: min(((k is not None, k or 0), s, n) for _, s, e, n, k in mine if s <= p <= e)[2] for p in range(400) if any(s <= p <= e for _, s, e, _, _ in mine)}
+        for _, _, _, n, k in mine:
+            runs = [list(g) for _, g in itertools.groupby(enumerate(p for p in sorted(owner) if owner[p] == n), lambda x: x[1] - x[0])]
+            if runs:
+                best = max(runs, key=lambda g: (len(g), -g[0][1]))
+                want.add((c, n, k, best[0][1], best[-1][1]))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        got = V.trim_by_priority(spark.createDataFrame(rows, "contig long, start long, stop long, name long, kind int"), "kind", 10)
+        assert {tuple(r) for r in got.collect()} == want
+        assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
