@@ -95,9 +95,10 @@ def best_match(bsr: DataFrame, strict: bool = True, share: float = 0.95, score:
 
 
 def reciprocal(best: DataFrame) -> DataFrame:
-    """qid, sid pairs that are best matches both ways."""
-    back = best.select(F.col("sid").alias("qid"), F.col("qid").alias("sid"))
-    return best.join(back, ["qid", "sid"], "left_semi")
+    """qid, sid pairs that are best matches both ways. Both directions of a pair meet in one window, so best is evaluated once."""
+    w = Window.partitionBy(F.least("qid", "sid"), F.greatest("qid", "sid"))
+    both = best.where("qid is not null and sid is not null").withColumns({"_there": F.max(F.col("qid") <= F.col("sid")).over(w), "_back": F.max(F.col("qid") >= F.col("sid")).over(w)})
+    return both.where("_there and _back").select(*best.columns)
 
 
 def best_two(pairs: DataFrame) -> DataFrame:

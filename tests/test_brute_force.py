@@ -571,3 +571,14 @@ def test_trimming_sweeps_contigs_without_pairs(spark):
         assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_reciprocal_evaluates_best_once(spark):
+    from lociweave.operators import hits as H
+
+    rng = random.Random(19)
+    pairs = [(rng.randrange(12), rng.randrange(12), n) for n in range(60)] + [(None, 1, 60), (3, None, 61)]
+    known = {p[:2] for p in pairs if None not in p}
+    got = H.reciprocal(spark.createDataFrame(pairs, "qid long, sid long, n long"))
+    assert sorted(map(tuple, got.collect())) == sorted(p for p in pairs if p[:2] in known and p[1::-1] in known)
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
