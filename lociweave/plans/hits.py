@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import hits as H
+from ..operators.graph import settle
 from .registry import query
 from .standin import HITS, hits, table
 
@@ -133,7 +134,7 @@ def f13(spark, sf_dir):
 
 @query("t04_medoids", f"{BSR}, m AS (SELECT DISTINCT qid AS id, qid % 40 AS cluster FROM bsr), t AS (SELECT a.cluster, qid, round(sum(bsr), 9) AS total FROM bsr JOIN m a ON a.id = qid JOIN m b ON b.id = sid AND a.cluster = b.cluster GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY total DESC, qid) AS r FROM t) SELECT cluster, qid AS medoid, round(total, 6) AS total FROM r WHERE r = 1")
 def t04(spark, sf_dir):
-    b = ratios(spark, sf_dir)
+    b = settle(ratios(spark, sf_dir).select("qid", "sid", "bsr"))
     return H.medoids(b, b.select(F.col("qid").alias("id"), (F.col("qid") % 40).alias("cluster")).distinct()).withColumn("total", F.round("total", 6))
 
 

@@ -582,3 +582,12 @@ def test_reciprocal_evaluates_best_once(spark):
     got = H.reciprocal(spark.createDataFrame(pairs, "qid long, sid long, n long"))
     assert sorted(map(tuple, got.collect())) == sorted(p for p in pairs if p[:2] in known and p[1::-1] in known)
     assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_medoids_evaluate_ratios_once(spark, sf_dir, monkeypatch):
+    from lociweave.plans import hits as P2
+
+    seen, settle = [], P2.settle
+    monkeypatch.setattr(P2, "settle", lambda df: seen.append(settle(df)) or seen[-1])
+    plan = registry.queries()["t04_medoids"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(seen) == 1 and "l_partkey" not in plan  # members and scores are read from what is written
