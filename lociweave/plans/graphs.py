@@ -68,7 +68,7 @@ def g05c(spark, sf_dir):
 
 @query("g08_representatives")
 def g08(spark, sf_dir):
-    p = links(spark, sf_dir)
+    p = G.settle(links(spark, sf_dir))
     order = p.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("rank", F.col("node"))
     return G.greedy_representatives(p, order)
 

@@ -591,3 +591,26 @@ def test_medoids_evaluate_ratios_once(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(P2, "settle", lambda df: seen.append(settle(df)) or seen[-1])
     plan = registry.queries()["t04_medoids"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert len(seen) == 1 and "l_partkey" not in plan  # members and scores are read from what is written
+
+
+@pytest.mark.parametrize("split", [0, 1, 3])
+def test_representatives_need_no_components_while_rounds_settle_all(spark, monkeypatch, split):
+    rng = random.Random(22)
+    pairs = [(a, 100 + b) for a in range(30) for b in range(40) if rng.random() < 0.2]  # settled by one round
+    chain = [(n, n + 1) for n in range(200, 240)]
+    called, components = [], G.components
+    monkeypatch.setattr(G, "components", lambda e: called.append(1) or components(e))
+    monkeypatch.setattr(G, "SPLIT", split)
+    for edges in (pairs, pairs + chain):
+        near = {}
+        for a, b in edges:
+            near.setdefault(a, set()).add(b)
+            near.setdefault(b, set()).add(a)
+        kept = set()
+        for n in sorted(near):
+            if not near[n] & kept:
+                kept.add(n)
+        order = spark.createDataFrame([(n, n) for n in near], "node long, rank long")
+        got = G.greedy_representatives(spark.createDataFrame(edges, "a long, b long"), order, 5)
+        assert {r.node for r in got.collect()} == kept
+        assert split == 0 or edges is not pairs or not called
