@@ -161,10 +161,11 @@ def rarefaction(members: DataFrame, combinations: DataFrame, core_percent: float
     """combo, size, core, dispensable, unique, pan, novel.
 
     combinations: combo, place (from 1), genome. core counts clusters in at least trunc(size x percent / 100)
-    of the genomes, at least one; novel those whose only genome is the last of the combination.
+    of the genomes, at least one; novel those whose only genome is the last of the combination. Members are dealt by cluster
+    before each is repeated for its combinations, so these rows are added up where they are.
     """
     size = combinations.groupBy("combo").agg(F.count(F.lit(1)).alias("size"))
-    got = combinations.join(members, "genome").groupBy("combo", "cluster").agg(F.count(F.lit(1)).alias("n"), F.max("place").alias("last"))
+    got = members.repartition("cluster").join(F.broadcast(combinations), "genome").groupBy("combo", "cluster").agg(F.count(F.lit(1)).alias("n"), F.max("place").alias("last"))
     got = got.join(size, "combo")
     base = F.floor(F.col("size") * core_percent / 100)
     need = F.greatest(F.when((F.col("size") < 10) & (base < F.col("size")), base + 1).otherwise(base), F.lit(1))

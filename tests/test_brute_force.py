@@ -614,3 +614,16 @@ def test_representatives_need_no_components_while_rounds_settle_all(spark, monke
         got = G.greedy_representatives(spark.createDataFrame(edges, "a long, b long"), order, 5)
         assert {r.node for r in got.collect()} == kept
         assert split == 0 or edges is not pairs or not called
+
+
+def _partitioned_by(plan):
+    """Keys of each shuffle in the text of a plan."""
+    import re
+
+    return re.findall(r"hashpartitioning\(([^)]*)\)", plan._jdf.queryExecution().executedPlan().toString())
+
+
+def test_members_are_dealt_by_cluster_before_they_are_repeated(spark, sf_dir):
+    keys = _partitioned_by(registry.queries()["a23_rarefaction"](spark, sf_dir))
+    assert any(k.startswith("cluster") and "combo" not in k and "genome" not in k for k in keys)
+    assert not any("combo" in k and "cluster" in k for k in keys)
