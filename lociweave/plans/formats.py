@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sequence as S
 from ..operators import membership as M
-from ..operators.graph import shared_folder
+from ..operators.graph import shared_folder, spread
 from ..sources import readers as R
 from ..sources import writers as W
 from .registry import query
@@ -169,7 +169,8 @@ def t09s(spark, sf_dir):
 
 @query("x07_canonical_kmers", f"{SEQ}, k AS (SELECT id, unnest(list_transform(range(1, length(seq) - 6), lambda i: seq[i:i + 7])) AS km FROM sequences WHERE length(seq) >= 8) SELECT id, count(*) AS n, count(DISTINCT least(km, reverse(translate(km, 'ACGT', 'TGCA')))) AS kinds FROM k GROUP BY 1")
 def x07(spark, sf_dir):
-    k = sequences(spark, sf_dir).select("id", F.explode(S.kmers(F.col("seq"), 8)).alias("k"))
+    seq = sequences(spark, sf_dir)
+    k = seq.repartition(spread(seq), "id").select("id", F.explode(S.kmers(F.col("seq"), 8)).alias("k"))  # sequences are shuffled, not their k-mers
     return k.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct(S.canonical(F.col("k"))).alias("kinds"))
 
 

@@ -627,3 +627,8 @@ def test_members_are_dealt_by_cluster_before_they_are_repeated(spark, sf_dir):
     keys = _partitioned_by(registry.queries()["a23_rarefaction"](spark, sf_dir))
     assert any(k.startswith("cluster") and "combo" not in k and "genome" not in k for k in keys)
     assert not any("combo" in k and "cluster" in k for k in keys)
+
+
+def test_sequences_are_shuffled_not_their_kmers(spark, sf_dir):
+    keys = _partitioned_by(registry.queries()["x07_canonical_kmers"](spark, sf_dir))
+    assert len(keys) == 1 and keys[0].startswith("id")
