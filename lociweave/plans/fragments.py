@@ -16,6 +16,7 @@ from .hits import BOUND, pairs
 from .more import REL, _relations
 from .order import EDGES, sizes
 from .order import edges as feature_edges
+from ..operators.graph import spread
 from .registry import query
 from .standin import HITS, INTERVALS, MEMBERS, features, hits, intervals, members, sequences, table
 
@@ -129,7 +130,8 @@ def j11(spark, sf_dir):
     t = lambda n: table(spark, sf_dir, n)
     o = t("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey")).join(t("customer").select("c_custkey", F.col("c_nationkey").alias("genome")), "c_custkey")
     li = t("lineitem").select("l_orderkey", F.col("l_partkey").alias("p_partkey")).join(t("part").select("p_partkey", F.col("p_brand").alias("brand")), "p_partkey")
-    return li.join(o, "l_orderkey").groupBy("genome", "brand").agg(F.countDistinct("l_orderkey").alias("loci"), F.count(F.lit(1)).alias("n"))
+    tasks = spread(t("lineitem"))  # orders lie in so many that the distinct ones of a task stay few
+    return li.repartition(tasks, "l_orderkey").join(o.repartition(tasks, "l_orderkey"), "l_orderkey").groupBy("genome", "brand").agg(F.countDistinct("l_orderkey").alias("loci"), F.count(F.lit(1)).alias("n"))
 
 
 @query("j22_pasted_columns", "WITH a AS (SELECT row_number() OVER (ORDER BY c_custkey) AS k, c_name FROM customer), b AS (SELECT row_number() OVER (ORDER BY p_partkey) AS k, p_name FROM part) SELECT k, c_name, p_name FROM a JOIN b USING (k)")

@@ -642,3 +642,10 @@ def test_states_are_dealt_into_more_tasks_as_they_grow(spark, monkeypatch):
     now = lambda n, k: (n * k) % 3 == 0
     assert {tuple(r) for r in got.collect()} == {(n, sum(now(n, k) and not now(n // 2, k) for k in range(4)), sum(now(n // 2, k) and not now(n, k) for k in range(4))) for n in range(2, 51)}
     assert "20), REPARTITION_BY_NUM" in got._jdf.queryExecution().executedPlan().toString()  # 200 states, 10 in a task
+
+
+def test_orders_are_dealt_into_more_tasks_as_they_grow(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(G, "SPREAD_ROWS", 500)
+    tasks = -(-spark.read.parquet(f"{sf_dir}/lineitem.parquet").count() // 500)
+    plan = registry.queries()["j11_cluster_member_attributes"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert tasks > 8 and plan.count(f"{tasks}), REPARTITION_BY_NUM") == 2
