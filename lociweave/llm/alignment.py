@@ -244,7 +244,7 @@ def blocks_of(docs: DataFrame, a: str, b: str) -> DataFrame:
                     if not places or not own[:, 3].all():
                         numbers.append((0, 0, 0))
                         digests.append("")
-                        found.append(links[:0])
+                        found.append(np.zeros(0, np.int64))  # no view of links, which would outlive the block
                         continue
                     numbers.append(own[:, :3].sum(0))
                     digests.append(hashlib.sha256(b"".join([aligner.groups[p] for p in places])[:-1]).hexdigest())

@@ -96,3 +96,12 @@ def test_one_block_a_document(spark, monkeypatch):
     df = spark.createDataFrame([(d, t, None, None) for _, d, t in blocks], DOCS).repartition(3)
     want, _ = plain([(d, t) for _, d, t in blocks])
     assert sorted(map(tuple, A.align(df).collect()), key=key) == sorted(want, key=key)
+
+
+def test_texts_without_tokens_in_many_blocks_of_a_task(spark, monkeypatch):
+    monkeypatch.setattr(A, "BLOCK_CHARS", 10)
+    texts = [None, None, "", "one two three", None, "four five six seven", "a▁▁b and more", "", "eight nine ten", "▁", "one two eleven", None]
+    df = spark.createDataFrame([(k, t, None, None) for k, t in enumerate(texts)], DOCS).coalesce(1)
+    out = A.align(df)
+    assert sorted(map(tuple, out.collect()), key=key) == sorted(plain(list(enumerate(texts)))[0], key=key)
+    assert sorted(map(tuple, A.align(df.where("text is null or text = ''")).collect()), key=key) == [(k, 0, 0, 0, 0, 0, 0, "") for k, t in enumerate(texts) if not t]
