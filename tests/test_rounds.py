@@ -405,6 +405,44 @@ def test_linkage_folds_few_pairs(spark, method):
     spark.sparkContext.setJobGroup("", "")
 
 
+def test_linkage_of_sets_by_blocks(spark, monkeypatch):
+    """Equal sets, items that share nothing with some or with all others, and clusters over parts of blocks; no table of all pairs is read."""
+    rng = random.Random(11)
+    sets = {n: frozenset(rng.sample(range(9 * (n % 2), 12 + 9 * (n % 2)), rng.randint(2, 6))) for n in range(60)}
+    sets |= {100 + n: sets[n % 7] for n in range(12)} | {200: frozenset([99]), 201: frozenset([98]), 202: frozenset([98])}
+    d = {(a, b): round(1 - len(sets[a] & sets[b]) * 100 / len(sets[a] | sets[b]) / 100, 9) for a in sets for b in sets if a < b and sets[a] & sets[b]}
+    df = spark.createDataFrame([(f"{n:03}", x if x != 3 else None) for n, s in sets.items() for x in [*s, min(s)]] + [(None, 5)], "item string, x long")
+    want = sorted((f"{a:03}", f"{b:03}", h, n) for a, b, h, n in plain_linkage(d, "complete"))
+    rows = lambda got: sorted((r.low, r.high, r.height, r.size) for r in got.collect())
+    assert rows(L.set_linkage(df)) == want
+    monkeypatch.setattr(L, "BLOCK_ITEMS", 20)
+    monkeypatch.setattr(L, "PART_ITEMS", (3, 5))
+    monkeypatch.setattr(L, "PART_ELEMENTS", 4)
+    assert rows(L.set_linkage(df, fold_pairs=100)) == want
+    assert L.set_linkage(df.limit(0)).count() == 0
+
+
+def test_shares_of_blocks_by_parts(monkeypatch):
+    import numpy as np
+
+    rng = random.Random(12)
+    sets = [[(c, frozenset(rng.sample(range(30), rng.randint(1, 3)))) for c in sorted(rng.choices(range(12), k=40))] for _ in range(2)]
+    packed = [(np.array([c for c, _ in s]), np.array([len(x) for _, x in s], "int32"), np.array([e for _, x in s for e in sorted(x)], "int32")) for s in sets]
+    every = [[[100 * len(x & y) / len(x | y) for c, x in sets[0] if c == a for e, y in sets[1] if e == b] for b in sorted({c for c, _ in sets[1]})] for a in sorted({c for c, _ in sets[0]})]
+    for parts, elements in (((128, 2048), 4096), ((3, 5), 4), ((1, 40), 7)):
+        monkeypatch.setattr(L, "PART_ITEMS", parts)
+        monkeypatch.setattr(L, "PART_ELEMENTS", elements)
+        least, meet = L._shares(*packed)
+        assert least.tolist() == [[min(v) for v in row] for row in every] and meet.tolist() == [[max(v) > 0 for v in row] for row in every]
+
+
+def test_linkage_of_users_has_no_table_of_pairs(spark, sf_dir, monkeypatch):
+    from lociweave.plans import rounds as R
+
+    monkeypatch.setattr(R, "user_distances", None)
+    assert R.g11_linkage(spark, sf_dir).count() > 0
+
+
 def same_newick(got, want):
     lengths = [[float(x) for x in re.findall(r":(-?[0-9.]+)", t)] for t in (got, want)]
     assert re.sub(r":-?[0-9.]+", "", got) == re.sub(r":-?[0-9.]+", "", want) and lengths[0] == pytest.approx(lengths[1], abs=2e-6)
