@@ -43,29 +43,42 @@ def overlap_share() -> Column:
     return (o / (F.col("l_stop") - F.col("l_start") + 1) + o / (F.col("r_stop") - F.col("r_start") + 1)) / 2
 
 
+def _mutual(left: DataFrame, right: DataFrame, width: int, least: float) -> DataFrame:
+    """As mutual_overlaps gives them, of tables that are read twice.
+
+    The pairs of a bin are added up to the best of each name where they are made, so names and shares of these are shuffled, not pairs; both
+    ways need the same columns of the sides, so the bins are shuffled once.
+    """
+    keys = ["contig", "name", "start", "stop"]
+    p = overlap_join(left.select(*keys), right.select(*keys), width).select("l_name", "r_name", F.round(overlap_share(), 9).alias("share")).where(F.col("share") >= least)
+    best = lambda a, b: p.groupBy(a).agg(F.min(F.struct((-F.col("share")).alias("minus"), b)).alias("m"))
+    one = best("l_name", "r_name").select("l_name", F.col("m.r_name").alias("r_name"), (-F.col("m.minus")).alias("share"))
+    two = best("r_name", "l_name").select(F.col("m.l_name").alias("_l"), F.col("r_name").alias("_r"))
+    return one.join(two, F.col("l_name").eqNullSafe(F.col("_l"))).where(F.col("r_name").eqNullSafe(F.col("_r"))).drop("_l", "_r")
+
+
 def mutual_overlaps(left: DataFrame, right: DataFrame, width: int, least: float = 0.5) -> DataFrame:
-    """Pairs that are each other's best overlap of at least the share; ties by name. Both sides need `name`."""
-    p = overlap_join(left, right, width).withColumn("share", F.round(overlap_share(), 9)).where(F.col("share") >= least)
-    best = lambda a, b: F.row_number().over(Window.partitionBy(a).orderBy(F.col("share").desc(), b))
-    return p.withColumns({"_l": best("l_name", "r_name"), "_r": best("r_name", "l_name")}).where("_l = 1 and _r = 1").drop("_l", "_r")
+    """l_name, r_name, share: pairs that are each other's best overlap of at least the share; ties by name. Both sides need `name`, once on a side. Bins are as wide as `measured` finds for either side."""
+    (left, one), (right, two) = measured(left, width), measured(right, width)
+    return _mutual(left, right, max(one, two), least)
 
 
 def annotation_difference(old: DataFrame, new: DataFrame, width: int, least: float = 0.5) -> DataFrame:
     """old_name, new_name, difference: SAME, DIFF_5P, DIFF_3P, BOTH, with _INVERT where strands differ (INVERT for SAME), NEW, REMOVED.
 
-    The sides and what they have in common are written once, as each is read several times.
+    The sides, a name once on each, are written once, as each is read several times; one join of either with the names of the mutual pairs gives what both have and what only one has.
     """
-    old, new = settle(old), settle(new)
-    m = mutual_overlaps(old, new, width, least)
+    (old, one), (new, two) = measured(old, width), measured(new, width)
+    met = _mutual(old, new, max(one, two), least).select(F.col("l_name").alias("_l"), F.col("r_name").alias("_r"))
+    side = lambda df, p: df.select(*(F.col(c).alias(p + c) for c in ("name", "start", "stop", "orient")), F.lit(True).alias(p + "here"))
+    left = side(old, "l_").join(met, F.col("l_name") == F.col("_l"), "left").drop("_l").withColumn("_k", F.xxhash64(F.coalesce("_r", "l_name")))  # deals those without a mate, too
+    both = left.join(side(new, "r_").withColumn("_n", F.xxhash64("r_name")), (F.col("_k") == F.col("_n")) & (F.col("_r") == F.col("r_name")), "full")
     kind = F.when((F.col("l_start") == F.col("r_start")) & (F.col("l_stop") == F.col("r_stop")), "SAME").when((F.col("l_start") != F.col("r_start")) & (F.col("l_stop") != F.col("r_stop")), "BOTH")
     kind = kind.when(F.col("l_start") != F.col("r_start"), "DIFF_5P").otherwise("DIFF_3P")
     turned = F.col("l_orient") != F.col("r_orient")
     kind = F.when(turned & (kind == "SAME"), "INVERT").when(turned, F.concat(kind, F.lit("_INVERT"))).otherwise(kind)
-    met = m.select(F.col("l_name").alias("old_name"), F.col("r_name").alias("new_name"), kind.alias("difference"))
-    met = settle(met)
-    gone = old.join(met, old["name"] == met["old_name"], "left_anti").select(F.col("name").alias("old_name"), F.lit(None).cast("long").alias("new_name"), F.lit("REMOVED").alias("difference"))
-    came = new.join(met, new["name"] == met["new_name"], "left_anti").select(F.lit(None).cast("long").alias("old_name"), F.col("name").alias("new_name"), F.lit("NEW").alias("difference"))
-    return met.union(gone).union(came)
+    kind = F.when(F.col("r_here").isNull(), "REMOVED").when(F.col("l_here").isNull(), "NEW").otherwise(kind)
+    return both.select(F.col("l_name").alias("old_name"), F.col("r_name").alias("new_name"), kind.alias("difference"))
 
 
 def union(intervals: DataFrame, touching: bool = True) -> DataFrame:

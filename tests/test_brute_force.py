@@ -482,6 +482,37 @@ def test_annotation_difference_reads_its_sides_once(spark, sf_dir):
     assert got.inputFiles() and all("/settled-" in f for f in got.inputFiles())
 
 
+def test_annotation_difference_shuffles_best_mates_not_pairs(spark):
+    """Long and short intervals, piles of equal shares and sides without a mate; the best of each name is an aggregation, not a window over all pairs."""
+    from lociweave.operators import intervals as V
+
+    rng = random.Random(21)
+    sides = []
+    for k in range(2):
+        rows = [(n % 3, start, start + rng.choice((9, 9, 30, 300)), 1000 * k + n, rng.choice((1, -1))) for n in range(70) for start in [10 * rng.randrange(40)]]
+        sides.append(rows + [(5 + k, 0, 9, 1000 * k + 90, 1)])
+    share = {}
+    for c, a0, a1, x, _ in sides[0]:
+        for _, b0, b1, y, _ in (r for r in sides[1] if r[0] == c and a0 <= r[2] and r[1] <= a1):
+            o = min(a1, b1) - max(a0, b0) + 1
+            if (v := round((o / (a1 - a0 + 1) + o / (b1 - b0 + 1)) / 2, 9)) >= 0.5:
+                share[x, y] = v
+    best = [{n: min((-v, p[1 - k]) for p, v in share.items() if p[k] == n)[1] for n in {p[k] for p in share}} for k in (0, 1)]
+    mutual = {x: y for x, y in best[0].items() if best[1][y] == x}
+    old, new = ({r[3]: r for r in side} for side in sides)
+    want = [(x, None, "REMOVED") for x in old if x not in mutual] + [(None, y, "NEW") for y in new if y not in mutual.values()]
+    for x, y in mutual.items():
+        (_, a0, a1, _, s), (_, b0, b1, _, t) = old[x], new[y]
+        kind = "SAME" if (a0, a1) == (b0, b1) else "BOTH" if a0 != b0 and a1 != b1 else "DIFF_5P" if a0 != b0 else "DIFF_3P"
+        want.append((x, y, kind if s == t else "INVERT" if kind == "SAME" else f"{kind}_INVERT"))
+    tables = [spark.createDataFrame(side, "contig long, start long, stop long, name long, orient int") for side in sides]
+    got = V.annotation_difference(*tables, 20)
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    pairs = V.mutual_overlaps(*tables, 20)
+    assert {(r.l_name, r.r_name): r.share for r in pairs.collect()} == {p: share[p] for p in mutual.items()}
+    assert not any("Window" in df._jdf.queryExecution().toString() for df in (got, pairs))
+
+
 def test_overlap_table_is_one_fold_over_sorted_candidates(spark):
     from lociweave.operators import intervals as V
     from lociweave.operators import synteny as Y
