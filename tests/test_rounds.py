@@ -162,6 +162,18 @@ def test_scoring_meets_a_pair_of_clusters_once_and_does_not_sort(spark):
     assert sorted(r[1:] for r in core.collect()) == [(0, 1, "b", None, 2), (1, -1, "a", False, 1), (1, 1, "b", None, 1), (2, -1, "a", False, 2)]
 
 
+def test_rounds_meet_clusters_by_number(spark, monkeypatch):
+    """Within the rounds a cluster is a number; names that sort otherwise, are in no column or only neighbours change nothing."""
+    kinds, scored = [], C.scored
+    monkeypatch.setattr(C, "scored", lambda state, hits, pairs, circular: kinds.append([state.schema["cluster"].dataType.simpleString(), *(pairs.schema[c].dataType.simpleString() for c in ("cluster", "neighbour"))]) or scored(state, hits, pairs, circular))
+    choices = spark.createDataFrame([(1, k, 0, 0, c, False, 95.0, 0.9) for k, c in enumerate(["b", "a", "é"])], "contig long, place long, choice int, part int, cluster string, inverted boolean, pid double, share double")
+    clusters = spark.createDataFrame([("é", 0.9, True), ("a", 0.8, True), ("b", 1.0, True), ("unused", 1.0, False)], "cluster string, prevalence double, core boolean")
+    neighbours = spark.createDataFrame([("a", 3, "near", "b", 5, 0.5, None), ("b", 3, "near", "elsewhere", 5, 0.5, None)], "cluster string, side int, kind string, neighbour string, end int, frequency double, distance double")
+    got = C.neighbour_rounds(choices, clusters, neighbours, spark.createDataFrame([], "contig long"), (C.Round(1.0, plain=True, final=True),))
+    assert sorted((r.place, r.cluster) for r in got.collect()) == [(0, "b"), (1, "a"), (2, "é")]
+    assert kinds == [["int", "int", "int"]]
+
+
 def test_neighbour_rounds_of_nothing(spark, sf_dir):
     choices, *rest = Q.consistency_input(spark, sf_dir)
     assert C.neighbour_rounds(choices.limit(0), *rest).count() == 0
